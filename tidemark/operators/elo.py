@@ -1,0 +1,267 @@
+"""Sequential power ratings of paired contests.
+
+Each game updates the ratings its teams' next games start from, so a league is an
+ordered recurrence. Spark pairs, checks and spreads the games; a league whose
+number of games is checked to fit one task is folded there in one pass. A larger
+league is rated in rounds of DataFrame joins, each taking every game that is the
+next one for both of its teams. Both ways give the same ratings.
+"""
+
+from __future__ import annotations
+
+import math
+from typing import NamedTuple
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.ratings import margin_multiplier, win_expectation
+from tidemark.operators.ordered import GROUP_LIMIT, sequence_within
+from tidemark.session import cut_lineage, new_path
+
+# Games of one league that a single task folds (about 200 bytes each).
+FOLD_LIMIT = 1_000_000
+
+# Rounds after which played games are dropped from the table of pending ones.
+COMPACT_EVERY = 16
+
+
+class EloParams(NamedTuple):
+    # Start rating, update speed, home bonus, pull towards the start at a new season.
+    base: float = 1500.0
+    k: float = 20.0
+    home_adv: float = 100.0
+    regress: float = 0.25
+
+
+SIDE = ("team_id", "team_game_sk", "season_key", "opponent_team_id", "is_home", "points", "win_flag")
+GAME_KEYS = ("league", "game_id", "game_date")
+
+
+def pair_games(contests: DataFrame, league: str | None = None) -> DataFrame:
+    """One row per game with sides ``a`` (lower team id) and ``b`` and the reason it cannot be rated, if any."""
+    rows = contests.withColumn("league", F.col(league).cast("string") if league else F.lit("all"))
+    side = F.struct(*SIDE, "game_date", "season_start_year")
+    games = rows.groupBy("league", "game_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(side, F.struct("team_id", "team_game_sk")).alias("a"),
+        F.max_by(side, F.struct("team_id", "team_game_sk")).alias("b"),
+    )
+    matched = (F.col("a.opponent_team_id") == F.col("b.team_id")) & (F.col("b.opponent_team_id") == F.col("a.team_id"))
+    reason = (
+        F.when(F.col("n") != 2, "not two sides")
+        .when((F.col("a.team_id") == F.col("b.team_id")) | ~F.coalesce(matched, F.lit(False)), "sides do not match")
+        .when(F.col("a.points").isNull() | F.col("b.points").isNull(), "no points")
+        .when(F.col("a.game_date").isNull(), "no date")
+    )
+    return games.withColumn("game_date", F.col("a.game_date")).withColumn("reason", reason)
+
+
+def unrated_games(contests: DataFrame, league: str | None = None) -> DataFrame:
+    """Games left out of the ratings, with the reason."""
+    return pair_games(contests, league).where("reason is not null").select("league", "game_id", "n", "reason")
+
+
+def _ratable(contests: DataFrame, league: str | None) -> DataFrame:
+    return (
+        pair_games(contests, league)
+        .where("reason is null")
+        .select(
+            *GAME_KEYS,
+            *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in (*SIDE, "season_start_year")],
+        )
+    )
+
+
+_FOLD_INPUT = (
+    "a_team_id", "b_team_id", "a_season_start_year", "b_season_start_year",
+    "a_is_home", "b_is_home", "a_points", "b_points", "a_win_flag", "b_win_flag",
+)
+
+
+def _fold(params: EloParams):
+    """The recurrence over one league's games in order, in plain numbers."""
+    base, k, home_adv, regress = params
+
+    def fold(games: pd.DataFrame) -> pd.DataFrame:
+        games = games.sort_values(["game_date", "game_id"], kind="stable", ignore_index=True)
+        ratings: dict[int, float] = {}
+        years: dict[int, int] = {}
+
+        def entering(team: int, year: int) -> float:
+            rating = ratings.get(team, base)
+            last = years.get(team)
+            years[team] = year
+            return rating if last is None or last == year else base + (1.0 - regress) * (rating - base)
+
+        def update(own: float, other: float, home: bool, margin: float, won) -> float:
+            bonus = home_adv if home else 0.0
+            expected = 1.0 / (1.0 + 10.0 ** ((other + home_adv - bonus - own - bonus) / 400.0))
+            if won is None or won != won:
+                return 0.0
+            gap = own + bonus - other
+            return k * (math.log(abs(margin) + 1.0) * (2.2 / (abs(gap) * 0.001 + 2.2))) * (won - expected)
+
+        pre_a, pre_b, up_a, up_b = [], [], [], []
+        for a, b, year_a, year_b, home_a, home_b, pts_a, pts_b, won_a, won_b in zip(
+            *(games[c].tolist() for c in _FOLD_INPUT), strict=True
+        ):
+            ra, rb = entering(a, year_a), entering(b, year_b)
+            da = update(ra, rb, home_a, pts_a - pts_b, won_a)
+            db = update(rb, ra, home_b, pts_b - pts_a, won_b)
+            ratings[a], ratings[b] = ra + da, rb + db
+            pre_a.append(ra)
+            pre_b.append(rb)
+            up_a.append(da)
+            up_b.append(db)
+        return games.assign(a_pre=pre_a, b_pre=pre_b, a_change=up_a, b_change=up_b)
+
+    return fold
+
+
+def _folded(games: DataFrame, params: EloParams) -> DataFrame:
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in games.schema)
+    schema = f"{ddl}, a_pre double, b_pre double, a_change double, b_change double"
+    return games.groupBy("league").applyInPandas(_fold(params), schema)
+
+
+def _side_columns(own: str, other: str, params: EloParams) -> tuple[Column, Column, Column]:
+    """(expectation, margin, change) of one side from the pre-game ratings of both."""
+    own_pre, other_pre = F.col(f"{own}_pre"), F.col(f"{other}_pre")
+    bonus = F.when(F.col(f"{own}_is_home"), F.lit(params.home_adv)).otherwise(F.lit(0.0))
+    expected = win_expectation(own_pre + bonus, other_pre + (params.home_adv - bonus))
+    margin = (F.col(f"{own}_points") - F.col(f"{other}_points")).cast("int")
+    won = F.col(f"{own}_win_flag")
+    change = params.k * margin_multiplier(margin, own_pre + bonus - other_pre) * (won - expected)
+    return expected, margin, F.coalesce(change, F.lit(0.0))
+
+
+def _in_rounds(games: DataFrame, params: EloParams) -> DataFrame:
+    """Rate by rounds: each takes the games that are next for both teams, all leagues at once."""
+    spark = games.sparkSession
+    plays = games.select(*GAME_KEYS, F.explode(F.array("a_team_id", "b_team_id")).alias("team"))
+    order = [F.col("game_date"), F.col("game_id")]
+    nth = cut_lineage(
+        sequence_within(plays, ["league", "team"], order, "nth", limit=GROUP_LIMIT).select(
+            "league", "game_id", "team", "nth"
+        )
+    )
+
+    def numbered(df: DataFrame, s: str) -> DataFrame:
+        side = nth.select("league", "game_id", F.col("team").alias(f"{s}_team_id"), F.col("nth").alias(f"{s}_nth"))
+        return df.join(side, ["league", "game_id", f"{s}_team_id"])
+
+    pending = cut_lineage(numbered(numbered(games, "a"), "b"))
+    state = cut_lineage(
+        nth.groupBy("league", "team").agg(
+            F.lit(0).alias("played"), F.lit(params.base).alias("rating"), F.lit(None).cast("int").alias("year")
+        )
+    )
+
+    def entering(s: str) -> Column:
+        stale = F.col(f"{s}_year") != F.col(f"{s}_season_start_year")
+        pulled = params.base + (1.0 - params.regress) * (F.col(f"{s}_rating") - params.base)
+        return F.when(stale, pulled).otherwise(F.col(f"{s}_rating"))
+
+    def state_of(s: str) -> DataFrame:
+        return state.select(
+            "league", F.col("team").alias(f"{s}_team_id"), *[F.col(c).alias(f"{s}_{c}") for c in ("played", "rating", "year")]
+        )
+
+    path, done = new_path(spark, "elo"), 0
+    while True:
+        ready = (
+            pending.join(state_of("a"), ["league", "a_team_id"])
+            .join(state_of("b"), ["league", "b_team_id"])
+            .where("a_nth = a_played + 1 and b_nth = b_played + 1")
+            .withColumns({"a_pre": entering("a"), "b_pre": entering("b")})
+        )
+        changes = {"a_change": _side_columns("a", "b", params)[2], "b_change": _side_columns("b", "a", params)[2]}
+        rated = ready.withColumns(changes).select(
+            *games.columns, "a_nth", "b_nth", "a_pre", "b_pre", "a_change", "b_change"
+        )
+        target = f"{path}/round={done}"
+        rated.write.mode("overwrite").parquet(target)
+        rated = spark.read.schema(rated.schema).parquet(target)
+        if rated.isEmpty():
+            break
+        after = rated.select(
+            "league",
+            F.explode(
+                F.array(
+                    *[
+                        F.struct(
+                            F.col(f"{s}_team_id").alias("team"),
+                            F.col(f"{s}_nth").alias("new_played"),
+                            (F.col(f"{s}_pre") + F.col(f"{s}_change")).alias("new_rating"),
+                            F.col(f"{s}_season_start_year").alias("new_year"),
+                        )
+                        for s in "ab"
+                    ]
+                )
+            ).alias("u"),
+        ).select("league", "u.*")
+        state = cut_lineage(
+            state.join(after, ["league", "team"], "left").select(
+                "league", "team", *[F.coalesce(f"new_{c}", c).alias(c) for c in ("played", "rating", "year")]
+            )
+        )
+        done += 1
+        if done % COMPACT_EVERY == 0:
+            pending = cut_lineage(
+                pending.join(state_of("a"), ["league", "a_team_id"]).where("a_nth > a_played").select(*pending.columns)
+            )
+    out = spark.read.schema(rated.schema).parquet(path)
+    return out.select(*games.columns, "a_pre", "b_pre", "a_change", "b_change")
+
+
+def _per_side(rated: DataFrame, params: EloParams) -> DataFrame:
+    """Two rounded output rows per rated game."""
+
+    def side(own: str, other: str) -> Column:
+        expected, margin, _ = _side_columns(own, other, params)
+        pre, change = F.col(f"{own}_pre"), F.col(f"{own}_change")
+        return F.struct(
+            F.col(f"{own}_team_game_sk").alias("team_game_sk"),
+            "game_id",
+            "game_date",
+            F.col(f"{own}_season_key").alias("season_key"),
+            F.col(f"{own}_team_id").cast("long").alias("team_id"),
+            F.col(f"{other}_team_id").cast("long").alias("opponent_team_id"),
+            F.coalesce(F.col(f"{own}_is_home"), F.lit(False)).alias("is_home"),
+            F.round(pre, 2).alias("elo_pre"),
+            F.round(F.col(f"{other}_pre"), 2).alias("opp_elo_pre"),
+            F.round(expected, 4).alias("win_expected"),
+            F.col(f"{own}_win_flag").cast("int").alias("won"),
+            margin.alias("margin"),
+            F.round(change, 2).alias("elo_change"),
+            F.round(pre + change, 2).alias("elo_post"),
+        )
+
+    return rated.select("league", F.explode(F.array(side("a", "b"), side("b", "a"))).alias("r")).select("league", "r.*")
+
+
+def elo_ratings(
+    contests: DataFrame,
+    league: str | None = None,
+    params: EloParams = EloParams(),
+    *,
+    fold_limit: int = FOLD_LIMIT,
+) -> DataFrame:
+    """Ratings before and after every game, one row per team and game.
+
+    ``contests`` has one row per side: team_game_sk, game_id, game_date, season_key,
+    season_start_year, team_id, opponent_team_id, is_home, points, win_flag. Leagues
+    are independent; without ``league`` all games form one.
+    """
+    games = _ratable(contests, league)
+    sizes = games.groupBy("league").agg(F.count(F.lit(1)).alias("n"))
+    if sizes.where(F.col("n") > fold_limit).isEmpty():
+        rated = _folded(games, params)
+    else:
+        large = cut_lineage(sizes.where(F.col("n") > fold_limit).select("league"))
+        small = games.join(large, "league", "left_anti")
+        rated = _folded(small, params).unionByName(_in_rounds(games.join(large, "league", "left_semi"), params))
+    out = _per_side(rated, params)
+    return out if league else out.drop("league")
