@@ -155,14 +155,12 @@ select {_BIN} as bin, count(*) as n, round(avg(win_prob), 9) as mean_pred, round
 from forecasts group by {_BIN}"""
 
 
-def _calibration_sql(by, columns):
-    g = ", season" if by else ""
+def _calibration_sql(by, columns, source=f"with {FORECASTS_SQL}", digits=9):
     key = "season" if by else "1"
     part = "partition by season" if by else ""
-    join = "using (season)" if by else "on true"
     cols = ", ".join(columns)
-    return f"""
-with {FORECASTS_SQL},
+    text = f"""
+{source},
 ranked as (
     select *, rank() over (p order by win_prob) + (count(*) over (p, win_prob) - 1) / 2.0::double as midrank
     from (select *, 0 as x from forecasts)),
@@ -182,13 +180,14 @@ measures as (
                / (sum(won) * (count(*) - sum(won))) as auc
     from rows_ group by 1),
 result as (
-    select {"m.season," if by else ""} m.n, round(base_rate, 9) as base_rate, round(brier, 9) as brier,
-           round(brier_baseline, 9) as brier_baseline, round(1 - brier / brier_baseline, 9) as brier_skill,
-           round(log_loss, 9) as log_loss, round(auc, 9) as auc, round(accuracy, 9) as accuracy, round(ece, 9) as ece
+    select {"m.season," if by else ""} m.n, round(base_rate, {digits}) as base_rate, round(brier, {digits}) as brier,
+           round(brier_baseline, {digits}) as brier_baseline, round(1 - brier / brier_baseline, {digits}) as brier_skill,
+           round(log_loss, {digits}) as log_loss, round(auc, {digits}) as auc, round(accuracy, {digits}) as accuracy, round(ece, {digits}) as ece
     from measures m join eces e on m.season = e.season)
 select {cols} from result""".replace("(p order by win_prob)", f"({part} order by win_prob)").replace(
         "(p, win_prob)", f"(partition by {'season, ' if by else ''}win_prob)"
     )
+    return text
 
 
 def weighted_error(spark, sf_dir):
@@ -223,6 +222,56 @@ def elo_calibration(spark, sf_dir):
     return rounded(calibration.calibration_summary(by_year, "win_expected", "won", by=["season"]), 6, *_MEASURES)
 
 
+# the recurrence as a recursive query: one step per game of a league, ratings in a map
+ELO_SQL = f"""
+with recursive {SIDES_SQL},
+games as (
+    select a.league, a.game_id, a.game_date, a.season_start_year as y, a.season_id, a.team_id as ta, b.team_id as tb,
+           a.is_home as ha, b.is_home as hb, a.points as pa, b.points as pb, a.win_flag as wa, b.win_flag as wb,
+           case when a.is_home then 100.0::double else 0 end as xa, case when b.is_home then 100.0::double else 0 end as xb,
+           row_number() over (partition by a.league order by a.game_date, a.game_id) as n
+    from sides a join sides b on a.game_id = b.game_id and a.team_id < b.team_id),
+fold as (
+    select distinct league, 0::bigint as n, map([]::bigint[], []::struct(r double, y int)[]) as state,
+           null::double as ra, null::double as rb, null::double as ea, null::double as eb, null::double as da,
+           null::double as db
+    from games
+    union all
+    select league, n, map_concat(state, map([ta, tb], [{{'r': ra + da, 'y': y}}, {{'r': rb + db, 'y': y}}])),
+           ra, rb, ea, eb, da, db
+    from (
+        select *,
+               case when wa is null then 0 else 20 * ln(abs(pa - pb) + 1)
+                   * (2.2::double / (abs(ra + xa - rb) * 0.001::double + 2.2::double)) * (wa - ea) end as da,
+               case when wb is null then 0 else 20 * ln(abs(pa - pb) + 1)
+                   * (2.2::double / (abs(rb + xb - ra) * 0.001::double + 2.2::double)) * (wb - eb) end as db
+        from (
+            select *, 1 / (1 + pow(10::double, (rb + (100 - xa) - (ra + xa)) / 400.0::double)) as ea,
+                   1 / (1 + pow(10::double, (ra + (100 - xb) - (rb + xb)) / 400.0::double)) as eb
+            from (
+                select f.league, g.n, f.state, g.ta, g.tb, g.y, g.pa, g.pb, g.wa, g.wb, g.xa, g.xb,
+                       case when f.state[g.ta] is null then 1500
+                            when f.state[g.ta].y <> g.y then 1500 + 0.75::double * (f.state[g.ta].r - 1500)
+                            else f.state[g.ta].r end as ra,
+                       case when f.state[g.tb] is null then 1500
+                            when f.state[g.tb].y <> g.y then 1500 + 0.75::double * (f.state[g.tb].r - 1500)
+                            else f.state[g.tb].r end as rb
+                from fold f join games g on g.league = f.league and g.n = f.n + 1)))),
+per_side as (
+    select g.league, g.game_id, g.game_date, g.season_id, ta as team_id, tb as opponent_team_id, ha as is_home, ra as pre,
+           rb as opp, ea as e, wa as won, pa - pb as margin, da as change
+    from games g join fold f on f.league = g.league and f.n = g.n
+    union all
+    select g.league, g.game_id, g.game_date, g.season_id, tb, ta, hb, rb, ra, eb, wb, pb - pa, db
+    from games g join fold f on f.league = g.league and f.n = g.n),
+rated as (
+    select league, {key_sql("game_id", "team_id")} as team_game_sk, game_id, game_date,
+           {key_sql("season_id")} as season_key, team_id, opponent_team_id, is_home, round(pre, 2) as elo_pre,
+           round(opp, 2) as opp_elo_pre, round(e, 4) as win_expected, won, margin,
+           round(change, 2) + 0 as elo_change, round(pre + change, 2) as elo_post
+    from per_side)"""
+
+
 # --- features --------------------------------------------------------------------------
 
 
@@ -453,6 +502,16 @@ ORACLE = {
     "auc_score": _calibration_sql(True, ["season", "auc"]),
     "ece_score": _calibration_sql(True, ["season", "ece"]),
     "weighted_error": WEIGHTED_SQL,
+    "elo_ratings": ELO_SQL + " select * from rated",
+    "elo_calibration": _calibration_sql(
+        True,
+        ["season", *_ALL],
+        ELO_SQL
+        + """,
+forecasts as (select win_expected as win_prob, won, cast(year(game_date) as int) as season from rated
+              where is_home and won is not null)""",
+        6,
+    ),
     "rolling_splits": ROLLING_SQL,
     "point_in_time_features": POINT_IN_TIME_SQL,
     "zone_efficiency": ZONE_SQL,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidemark.operators import quality
 from tidemark.plans.inputs import INGESTED_AT, SIDES_SQL, rounded, sides, table
@@ -194,7 +195,7 @@ def stream_quarantine(spark, sf_dir):
     )
     query.awaitTermination()
     kept = ingest.read_batches(spark, good, schema).select("event_id", F.lit("").alias("failed"))
-    held = ingest.read_batches(spark, bad, schema.add("_failed", "array<string>"))
+    held = ingest.read_batches(spark, bad, StructType([*schema, StructField("_failed", ArrayType(StringType()))]))
     return kept.unionByName(held.select("event_id", F.array_join("_failed", ",").alias("failed")))
 
 
