@@ -223,13 +223,14 @@ def elo_calibration(spark, sf_dir):
 
 
 # the recurrence as a recursive query: one step per game of a league, ratings in a map
-ELO_SQL = f"""
+def elo_sql(league="a.league"):
+    return f"""
 with recursive {SIDES_SQL},
 games as (
-    select a.league, a.game_id, a.game_date, a.season_start_year as y, a.season_id, a.team_id as ta, b.team_id as tb,
+    select {league} as league, a.game_id, a.game_date, a.season_start_year as y, a.season_id, a.team_id as ta, b.team_id as tb,
            a.is_home as ha, b.is_home as hb, a.points as pa, b.points as pb, a.win_flag as wa, b.win_flag as wb,
            case when a.is_home then 100.0::double else 0 end as xa, case when b.is_home then 100.0::double else 0 end as xb,
-           row_number() over (partition by a.league order by a.game_date, a.game_id) as n
+           row_number() over (partition by {league} order by a.game_date, a.game_id) as n
     from sides a join sides b on a.game_id = b.game_id and a.team_id < b.team_id),
 fold as (
     select distinct league, 0::bigint as n, map([]::bigint[], []::struct(r double, y int)[]) as state,
@@ -272,6 +273,9 @@ rated as (
     from per_side)"""
 
 
+ELO_SQL = elo_sql()
+
+
 # --- features --------------------------------------------------------------------------
 
 

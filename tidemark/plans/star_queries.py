@@ -104,7 +104,9 @@ def team_efficiency(spark, sf_dir):
     return _factors(sides_of(latest_lines(spark, sf_dir), table(spark, sf_dir, "orders")))
 
 
-def _factors_sql(ctes):
+def factor_columns_sql(without=()):
+    """The measures of side t against side o."""
+
     def poss(p=""):
         return f"({p}fga + 0.44::double * {p}fta - {p}oreb + {p}tov)"
 
@@ -128,10 +130,13 @@ def _factors_sql(ctes):
         "opp_oreb_pct": quotient("o.oreb", "o.oreb + t.dreb"),
         "opp_ft_rate": quotient("o.ftm", "o.fga"),
     }
-    cols = ", ".join(f"round({e}, 9) as {n}" for n, e in exprs.items())
+    return ", ".join(f"round({e}, 9) as {n}" for n, e in exprs.items() if n not in without)
+
+
+def _factors_sql(ctes):
     return f"""
 with {ctes}
-select t.game_id, t.team_id, t.opponent_team_id, t.game_date, t.is_home, t.win_flag, {cols}
+select t.game_id, t.team_id, t.opponent_team_id, t.game_date, t.is_home, t.win_flag, {factor_columns_sql()}
 from sides t join sides o on t.game_id = o.game_id and t.opponent_team_id = o.team_id"""
 
 
