@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import render_text
+from tidemark.functions.text import text_sql
 
 # Fixed value: stands for NULL inside a hashed key.
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
@@ -76,13 +76,11 @@ def row_params_json(df: DataFrame, params: Mapping[str, str]) -> Column:
     pieces = []
     for i, name in enumerate(sorted(params)):
         dtype = df.schema[params[name]].dataType
-        c = F.col(params[name])
+        value = F.expr(text_sql(params[name], dtype))
         if isinstance(dtype, T.BooleanType):
-            value = c.cast("string")
-        elif isinstance(dtype, T.IntegralType | T.FractionalType) and not isinstance(dtype, T.DecimalType):
-            value = render_text(c, dtype)
-        else:
-            value = _quoted(render_text(c, dtype))
+            value = F.lower(value)
+        elif not isinstance(dtype, T.IntegralType | T.FloatType | T.DoubleType):
+            value = _quoted(value)
         lead = ("{" if i == 0 else ", ") + json.dumps(name) + ": "
         pieces += [F.lit(lead), F.coalesce(value, F.lit("null"))]
     return F.concat(*pieces, F.lit("}")) if pieces else F.lit("{}")

@@ -13,33 +13,33 @@ def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def render_text(c: Column, dtype: T.DataType) -> Column:
-    """The text a value lands as in a raw table.
+def text_sql(name: str, dtype: T.DataType) -> str:
+    """SQL for the text a column's value lands as in a raw table.
 
     Numbers keep their type's spelling (23.0 stays '23.0'), floats switch to an
     exponent only below 1e-4 and from 1e16 on, booleans are capitalised, and
-    NaN, like NULL, lands as NULL.
+    NaN, like NULL, lands as NULL. SQL text, because a wide table would take
+    several calls into the JVM for each of its columns otherwise.
     """
+    c = f"`{name}`"
+    if isinstance(dtype, T.StringType):
+        return c
     if isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+        return f"initcap(cast({c} as string))"
     if isinstance(dtype, T.DoubleType | T.FloatType):
-        text = c.cast("string")
-        size = F.abs(c)
-        # a double written out in full: 16 digits before the point, 22 behind it
-        full = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0*$", "$1")
-        exponent = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "e+$1")
-        exponent = F.regexp_replace(exponent, r"E-(\d)$", "e-0$1")
-        exponent = F.regexp_replace(exponent, r"E-", "e-")
-        return (
-            F.when(F.isnan(c), F.lit(None))
-            .when(size == F.lit(float("inf")), F.when(c > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-            .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-            .when((size >= 1e-4) & (size < 1e16), full)
-            .otherwise(exponent)
-        )
+        text, size = f"cast({c} as string)", f"abs({c})"
+        # written out in full: 16 digits before the point, 22 behind it
+        full = f"regexp_replace(cast(try_cast({text} as decimal(38,22)) as string), '([.][0-9]+?)0*$', '$1')"
+        exponent = f"regexp_replace(replace({text}, '.0E', 'E'), 'E([0-9])', 'e+$1')"
+        exponent = f"replace(regexp_replace({exponent}, 'E-([0-9])$', 'e-0$1'), 'E-', 'e-')"
+        return f"""case when isnan({c}) then null
+            when {size} = double('infinity') then if({c} > 0, 'inf', '-inf')
+            when {size} = 0 or ({size} >= 1e-3 and {size} < 1e7) then {text}
+            when {size} >= 1e-4 and {size} < 1e16 then {full}
+            else {exponent} end"""
     if isinstance(dtype, T.ArrayType | T.MapType | T.StructType):
-        return F.to_json(c)
-    return c.cast("string")
+        return f"to_json({c})"
+    return f"cast({c} as string)"
 
 
 def duration_seconds(c: str | Column) -> Column:

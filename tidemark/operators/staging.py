@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import null_if
 from tidemark.operators.ordered import GROUP_LIMIT, sequence_within
 
 
@@ -21,17 +20,16 @@ class Field(NamedTuple):
     tolerant: bool = False
     sentinel: str | None = None
 
-    def column(self) -> Column:
-        raw = F.col(f"`{self.source}`")
+    def sql(self) -> str:
+        raw = f"`{self.source}`"
         if self.sentinel is not None:
-            raw = null_if(raw, self.sentinel)
-        typed = raw.try_cast(self.type) if self.tolerant else raw.cast(self.type)
-        return typed.alias(self.name)
+            raw = f"nullif({raw}, '{self.sentinel}')"
+        return f"{'try_cast' if self.tolerant else 'cast'}({raw} as {self.type}) as `{self.name}`"
 
 
 def typed_select(df: DataFrame, fields: Sequence[Field | Column]) -> DataFrame:
     """Rename and cast; plain columns pass through for derived values."""
-    return df.select(*[f.column() if isinstance(f, Field) else f for f in fields])
+    return df.select(*[F.expr(f.sql()) if isinstance(f, Field) else f for f in fields])
 
 
 def dedupe_latest(

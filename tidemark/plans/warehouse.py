@@ -1,13 +1,13 @@
 """A basketball warehouse built from the operators: raw tables to star schema and marts.
 
-Every function takes DataFrames and returns one; nothing runs until a table is
-written or read. Tables that several others use should be written first
-(:func:`write_tables`), the rest stay part of the plans that use them.
+Every function takes DataFrames and returns one. :class:`Warehouse` plans them
+lazily; :func:`write_tables` stores those that several others use.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -492,99 +492,163 @@ CLUSTER_BY = {
 }
 
 
-def build(
-    spark: SparkSession,
-    bronze: Mapping[str, DataFrame],
-    ts: Column,
-    snapshots: Mapping[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """All tables of the warehouse as lazy DataFrames, for one run at time ``ts``.
+class Warehouse:
+    """All tables of one run at time ``ts``, each planned when first asked for.
 
     ``snapshots`` are the snap_team / snap_player tables the previous run left.
+    Setting an attribute to a stored copy makes the tables after it read that.
     """
-    before = snapshots or {}
-    t: dict[str, DataFrame] = {}
-    t["stg_teams"] = stg_teams(bronze[TEAMS])
-    t["stg_players"] = stg_players(bronze[PLAYERS])
-    t["stg_team_game"] = stg_team_game(bronze[TEAM_GAMES])
-    t["stg_boxscore_player_traditional"] = stg_boxscore_player_traditional(bronze[BOX_SCORE])
-    t["stg_boxscore_player_advanced"] = stg_boxscore_player_advanced(bronze[BOX_SCORE_ADVANCED])
-    t["stg_play_by_play"] = stg_play_by_play(bronze[PLAY_BY_PLAY])
-    t["stg_player_career_season"] = stg_player_career_season(bronze[CAREER])
-    t["stg_team_roster"] = stg_team_roster(bronze[ROSTER])
-    t["stg_team_coach"] = stg_team_coach(bronze[COACHES])
-
-    t["snap_team"] = snap_team(before.get("snap_team"), t["stg_teams"], ts)
-    t["snap_player"] = snap_player(before.get("snap_player"), t["stg_players"], ts)
-    t["dim_team"] = dim_team(t["snap_team"])
-    t["dim_player"] = dim_player(t["snap_player"])
-    t["dim_date"] = generated.date_dim(generated.date_spine(spark))
-    t["dim_season"] = star.season_dim(t["stg_team_game"], "season_id")
-    t["dim_shot_zone"] = generated.zone_dim(generated.zone_rows(spark))
-    t["int_games__deduped"] = int_games_deduped(t["stg_team_game"])
-    t["dim_game"] = dim_game(t["int_games__deduped"], t["dim_team"], t["dim_season"])
-
-    t["int_player_game__unified"] = int_player_game_unified(
-        t["stg_boxscore_player_traditional"], t["stg_boxscore_player_advanced"]
-    )
-    t["fact_team_game"] = fact_team_game(t["stg_team_game"], t["int_games__deduped"], t["dim_team"], t["dim_season"])
-    t["fact_player_game"] = fact_player_game(t["int_player_game__unified"], t["dim_game"], t["dim_team"], t["dim_player"])
-    t["fact_play_by_play"] = fact_play_by_play(t["stg_play_by_play"], t["dim_game"], t["dim_team"], t["dim_player"])
-    t["fact_shot"] = fact_shot(t["stg_play_by_play"], t["dim_game"], t["dim_team"], t["dim_player"], t["dim_shot_zone"])
-    t["fact_player_season"] = fact_player_season(
-        t["stg_player_career_season"], t["dim_player"], t["dim_team"], t["dim_season"]
-    )
-    t["mart_team_four_factors"] = mart_team_four_factors(t["fact_team_game"])
-    t["mart_player_team_tenure"] = mart_player_team_tenure(t["fact_player_season"])
-    return t
 
+    def __init__(
+        self,
+        spark: SparkSession,
+        bronze: Mapping[str, DataFrame],
+        ts: Column,
+        snapshots: Mapping[str, DataFrame] | None = None,
+    ) -> None:
+        self.spark, self.bronze, self.ts, self.before = spark, bronze, ts, snapshots or {}
+
+    @cached_property
+    def stg_teams(self) -> DataFrame:
+        return stg_teams(self.bronze[TEAMS])
+
+    @cached_property
+    def stg_players(self) -> DataFrame:
+        return stg_players(self.bronze[PLAYERS])
+
+    @cached_property
+    def stg_team_game(self) -> DataFrame:
+        return stg_team_game(self.bronze[TEAM_GAMES])
+
+    @cached_property
+    def stg_boxscore_player_traditional(self) -> DataFrame:
+        return stg_boxscore_player_traditional(self.bronze[BOX_SCORE])
+
+    @cached_property
+    def stg_boxscore_player_advanced(self) -> DataFrame:
+        return stg_boxscore_player_advanced(self.bronze[BOX_SCORE_ADVANCED])
+
+    @cached_property
+    def stg_play_by_play(self) -> DataFrame:
+        return stg_play_by_play(self.bronze[PLAY_BY_PLAY])
+
+    @cached_property
+    def stg_player_career_season(self) -> DataFrame:
+        return stg_player_career_season(self.bronze[CAREER])
+
+    @cached_property
+    def stg_team_roster(self) -> DataFrame:
+        return stg_team_roster(self.bronze[ROSTER])
+
+    @cached_property
+    def stg_team_coach(self) -> DataFrame:
+        return stg_team_coach(self.bronze[COACHES])
+
+    @cached_property
+    def snap_team(self) -> DataFrame:
+        return snap_team(self.before.get("snap_team"), self.stg_teams, self.ts)
+
+    @cached_property
+    def snap_player(self) -> DataFrame:
+        return snap_player(self.before.get("snap_player"), self.stg_players, self.ts)
+
+    @cached_property
+    def dim_team(self) -> DataFrame:
+        return dim_team(self.snap_team)
+
+    @cached_property
+    def dim_player(self) -> DataFrame:
+        return dim_player(self.snap_player)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return generated.date_dim(generated.date_spine(self.spark))
+
+    @cached_property
+    def dim_season(self) -> DataFrame:
+        return star.season_dim(self.stg_team_game, "season_id")
 
-def write_tables(
-    spark: SparkSession,
-    bronze: Mapping[str, DataFrame],
-    root: str,
-    ts: Column,
-    snapshots: Mapping[str, DataFrame] | None = None,
-) -> dict[str, DataFrame]:
-    """Build layer by layer, each table written once below ``root`` and read back for the next layer.
+    @cached_property
+    def dim_shot_zone(self) -> DataFrame:
+        return generated.zone_dim(generated.zone_rows(self.spark))
+
+    @cached_property
+    def int_games__deduped(self) -> DataFrame:
+        return int_games_deduped(self.stg_team_game)
+
+    @cached_property
+    def dim_game(self) -> DataFrame:
+        return dim_game(self.int_games__deduped, self.dim_team, self.dim_season)
+
+    @cached_property
+    def int_player_game__unified(self) -> DataFrame:
+        return int_player_game_unified(self.stg_boxscore_player_traditional, self.stg_boxscore_player_advanced)
+
+    @cached_property
+    def fact_team_game(self) -> DataFrame:
+        return fact_team_game(self.stg_team_game, self.int_games__deduped, self.dim_team, self.dim_season)
+
+    @cached_property
+    def fact_player_game(self) -> DataFrame:
+        return fact_player_game(self.int_player_game__unified, self.dim_game, self.dim_team, self.dim_player)
+
+    @cached_property
+    def fact_play_by_play(self) -> DataFrame:
+        return fact_play_by_play(self.stg_play_by_play, self.dim_game, self.dim_team, self.dim_player)
+
+    @cached_property
+    def fact_shot(self) -> DataFrame:
+        return fact_shot(self.stg_play_by_play, self.dim_game, self.dim_team, self.dim_player, self.dim_shot_zone)
+
+    @cached_property
+    def fact_player_season(self) -> DataFrame:
+        return fact_player_season(self.stg_player_career_season, self.dim_player, self.dim_team, self.dim_season)
+
+    @cached_property
+    def mart_team_four_factors(self) -> DataFrame:
+        return mart_team_four_factors(self.fact_team_game)
+
+    @cached_property
+    def mart_player_team_tenure(self) -> DataFrame:
+        return mart_player_team_tenure(self.fact_player_season)
+
+    @cached_property
+    def analytics_team_elo(self) -> DataFrame:
+        return analytics_team_elo(self.fact_team_game, self.dim_season)
+
+
+# The stored tables in the order they are built.
+STORED = (
+    "stg_teams", "stg_players", "stg_team_roster", "stg_team_coach", "stg_team_game", "stg_play_by_play", "snap_team",
+    "snap_player", "dim_season", "dim_date", "dim_shot_zone", "dim_team", "dim_player", "dim_game", "fact_team_game",
+    "fact_player_game", "fact_play_by_play", "fact_shot", "fact_player_season",
+)
+MARTS = ("mart_team_four_factors", "mart_player_team_tenure", "analytics_team_elo")
+
+
+def write_tables(warehouse: Warehouse, root: str) -> Warehouse:
+    """Write every table below ``root``, later ones from the stored earlier ones.
 
     The data tests run before the marts are built, so a failure stops them. A
     run writes to its own root: the snapshots it reads are never overwritten.
     """
-    done: dict[str, DataFrame] = {}
 
-    def store(name: str, df: DataFrame) -> None:
-        path = f"{root}/{name}"
+    def store(name: str) -> None:
+        df, path = getattr(warehouse, name), f"{root}/{name}"
         if name in CLUSTER_BY:
             raw.write_clustered(df, path, CLUSTER_BY[name])
         else:
             df.write.mode("overwrite").parquet(path)
-        done[name] = raw.read_table(spark, path, df.schema)
-
-    plan = build(spark, bronze, ts, snapshots)
-    for name in (
-        "stg_team_game", "stg_play_by_play", "snap_team", "snap_player", "dim_season", "dim_date", "dim_shot_zone",
-    ):
-        store(name, plan[name])
-    store("dim_team", dim_team(done["snap_team"]))
-    store("dim_player", dim_player(done["snap_player"]))
-    games = int_games_deduped(done["stg_team_game"])
-    store("dim_game", dim_game(games, done["dim_team"], done["dim_season"]))
-    d = done
-    store("fact_team_game", fact_team_game(d["stg_team_game"], games, d["dim_team"], d["dim_season"]))
-    store("fact_player_game", fact_player_game(plan["int_player_game__unified"], d["dim_game"], d["dim_team"], d["dim_player"]))
-    store("fact_play_by_play", fact_play_by_play(d["stg_play_by_play"], d["dim_game"], d["dim_team"], d["dim_player"]))
-    store("fact_shot", fact_shot(d["stg_play_by_play"], d["dim_game"], d["dim_team"], d["dim_player"], d["dim_shot_zone"]))
-    store(
-        "fact_player_season",
-        fact_player_season(plan["stg_player_career_season"], d["dim_player"], d["dim_team"], d["dim_season"]),
-    )
-    quality.run_suite(checks({**{n: plan[n] for n in ("stg_teams", "stg_players", "stg_team_roster", "stg_team_coach")}, **done}))
-    store("mart_team_four_factors", mart_team_four_factors(d["fact_team_game"]))
-    store("mart_player_team_tenure", mart_player_team_tenure(d["fact_player_season"]))
-    store("analytics_team_elo", analytics_team_elo(d["fact_team_game"], d["dim_season"]))
-    quality.run_suite(mart_checks(done))
-    return done
+        setattr(warehouse, name, raw.read_table(warehouse.spark, path, df.schema))
+
+    for name in STORED:
+        store(name)
+    tables = {name: getattr(warehouse, name) for name in STORED}
+    quality.run_suite(checks(tables))
+    for name in MARTS:
+        store(name)
+    quality.run_suite(mart_checks(tables | {name: getattr(warehouse, name) for name in MARTS}))
+    return warehouse
 
 
 # --- data tests ----------------------------------------------------------------

@@ -2,44 +2,72 @@
 
 from __future__ import annotations
 
-from functools import partial
+from collections.abc import Mapping
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.rates import ratio
-from tidemark.functions.text import period_label, render_text
+from tidemark.functions.text import period_label
 from tidemark.plans import warehouse as wh
 from tidemark.plans.inputs import CAREERS_SQL, SIDES_SQL, careers, key_sql, rounded, sides, table
 from tidemark.plans.mart_queries import elo_sql
 from tidemark.plans.star_queries import factor_columns_sql
+from tidemark.sources.bronze import stringify
 
 RUN_DAY = "2002-01-01"
 
 
-def _text(df):
-    """All columns as raw text."""
-    return df.select(*[render_text(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
-
-
 def _tag(c):
     return F.concat(F.lit("T"), F.lpad((F.col(c) % 100).cast("string"), 2, "0"))
 
 
-def raw_tables(spark, sf_dir):
-    """The nine raw tables: suppliers as teams, customers and parts as players, shared orders as games."""
-    t = partial(table, spark, sf_dir)
-    col, lit = F.col, F.lit
-    no_text = lit(None).cast("string")
-    teams = t("supplier").select(
+class RawTables(Mapping):
+    """The nine raw tables: suppliers as teams, customers and parts as players, shared orders as games.
+
+    Each is planned when first asked for, with every column as text.
+    """
+
+    def __init__(self, spark, sf_dir):
+        self._spark, self._dir, self._done = spark, sf_dir, {}
+
+    def __getitem__(self, name):
+        if name not in self._done:
+            df = _RAW[name](self._spark, self._dir)
+            self._done[name] = df.select(*stringify(df))
+        return self._done[name]
+
+    def __iter__(self):
+        return iter(_RAW)
+
+    def __len__(self):
+        return len(_RAW)
+
+
+col, lit = F.col, F.lit
+
+
+def _no_text(*names):
+    return [F.expr(f"cast(null as string) as {n}") for n in names]
+
+
+def _blank(*names):
+    return [F.expr(f"'' as {n}") for n in names]
+
+
+def _raw_teams(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(
         col("s_suppkey").alias("ID"),
         col("s_name").alias("FULL_NAME"),
         _tag("s_suppkey").alias("ABBREVIATION"),
         F.concat(lit("N"), "s_nationkey").alias("NICKNAME"),
         F.concat(lit("City "), "s_nationkey").alias("CITY"),
-        no_text.alias("STATE"),
+        *_no_text("STATE"),
         (col("s_nationkey") + 1946).alias("YEAR_FOUNDED"),
     )
-    person = t("customer").select(
+
+
+def _raw_players(spark, sf_dir):
+    person = table(spark, sf_dir, "customer").select(
         col("c_custkey").alias("PERSON_ID"),
         col("c_name").alias("DISPLAY_FIRST_LAST"),
         F.concat("c_mktsegment", lit(", "), "c_name").alias("DISPLAY_LAST_COMMA_FIRST"),
@@ -49,10 +77,12 @@ def raw_tables(spark, sf_dir):
         (col("c_nationkey") + 1980).alias("FROM_YEAR"),
         F.lower("c_name").alias("PLAYER_SLUG"),
     )
-    players = person.withColumn("TO_YEAR", lit(2000)).unionByName(
-        person.where("ROSTERSTATUS = 1").withColumn("TO_YEAR", lit(1999)).withColumn("TEAM_ABBREVIATION", lit("OLD"))
-    )
-    games = sides(spark, sf_dir).select(
+    earlier = person.where("ROSTERSTATUS = 1").withColumns({"TO_YEAR": lit(1999), "TEAM_ABBREVIATION": lit("OLD")})
+    return person.withColumn("TO_YEAR", lit(2000)).unionByName(earlier)
+
+
+def _raw_team_games(spark, sf_dir):
+    return sides(spark, sf_dir).select(
         col("game_id").alias("GAME_ID"),
         col("team_id").alias("TEAM_ID"),
         _tag("team_id").alias("TEAM_ABBREVIATION"),
@@ -68,21 +98,26 @@ def raw_tables(spark, sf_dir):
         ratio(col("fg3m"), col("fg3m") + 1).alias("FG3_PCT"),
         ratio(col("ftm"), col("fta")).alias("FT_PCT"),
         (col("oreb") + col("dreb")).alias("REB"),
-        *[no_text.alias(c) for c in ("AST", "STL", "BLK", "PF", "PLUS_MINUS")],
+        *_no_text("AST", "STL", "BLK", "PF", "PLUS_MINUS"),
     )
-    line = t("lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey").agg(
+
+
+def _lines(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey").agg(
         F.sum("l_quantity").cast("int").alias("q"),
         F.max("l_returnflag").alias("flag"),
         F.count(lit(1)).alias("n"),
         F.max("l_linenumber").alias("no"),
     )
-    made = F.when(col("flag") == "N", col("q")).otherwise(0)
-    zeros = [
+
+
+def _raw_box(spark, sf_dir):
+    unset = [
         "fieldGoalsPercentage", "threePointersMade", "threePointersAttempted", "threePointersPercentage",
         "freeThrowsMade", "freeThrowsAttempted", "freeThrowsPercentage", "reboundsOffensive", "reboundsDefensive",
         "reboundsTotal", "assists", "steals", "blocks", "turnovers", "foulsPersonal", "plusMinusPoints",
     ]
-    box = line.select(
+    return _lines(spark, sf_dir).select(
         col("l_orderkey").alias("gameId"),
         col("l_suppkey").alias("teamId"),
         _tag("l_suppkey").alias("teamTricode"),
@@ -92,47 +127,51 @@ def raw_tables(spark, sf_dir):
         F.when(col("flag") == "R", "DNP").otherwise("").alias("comment"),
         col("no").alias("jerseyNum"),
         F.concat(lit("PT"), col("q").cast("string"), lit("M30.00S")).alias("minutes"),
-        made.alias("fieldGoalsMade"),
+        F.when(col("flag") == "N", col("q")).otherwise(0).alias("fieldGoalsMade"),
         col("q").alias("fieldGoalsAttempted"),
         col("q").alias("points"),
-        *[lit("").alias(c) for c in zeros],
+        *_blank(*unset),
     )
+
+
+def _raw_advanced(spark, sf_dir):
     unset = [
         "defensiveRating", "netRating", "assistPercentage", "assistToTurnover", "offensiveReboundPercentage",
         "defensiveReboundPercentage", "reboundPercentage", "turnoverRatio", "effectiveFieldGoalPercentage",
         "trueShootingPercentage", "usagePercentage", "pace",
     ]
-    advanced = line.where("flag <> 'A'").select(
+    return _lines(spark, sf_dir).where("flag <> 'A'").select(
         col("l_orderkey").alias("gameId"),
         col("l_partkey").alias("personId"),
         (col("q") / 2).alias("offensiveRating"),
         col("q").cast("double").alias("possessions"),
         (col("l_suppkey") / 4).alias("PIE"),
-        *[lit("").alias(c) for c in unset],
+        *_blank(*unset),
     )
+
+
+def _raw_events(spark, sf_dir):
     kind = col("event_type")
-    k = F.get_json_object("props", "$.k")
-    events = t("events").select(
+    return table(spark, sf_dir, "events").select(
         F.floor(col("event_id") / 10).alias("gameId"),
-        k.alias("actionNumber"),
+        F.get_json_object("props", "$.k").alias("actionNumber"),
         F.date_format("ts", "HH:mm").alias("clock"),
         (F.floor(F.hour("ts") / 6) + 1).alias("period"),
         F.when(kind == "signup", 0).otherwise(col("user_id")).alias("teamId"),
-        no_text.alias("teamTricode"),
         F.when(kind == "view", 0).otherwise(col("user_id")).alias("personId"),
         F.concat(lit("U"), col("user_id").cast("string")).alias("playerName"),
         kind.alias("actionType"),
-        no_text.alias("subType"),
         F.when(kind == "error", "Jump 3PT shot").when(kind != "click", F.concat(lit("Shot "), kind)).alias("description"),
-        lit("").alias("scoreHome"),
-        lit("").alias("scoreAway"),
         F.when(kind == "signup", "0").when(kind == "view", "TRUE").otherwise("1").alias("isFieldGoal"),
         F.when(col("value") > 30, "Made").when(col("value") > 5, "Missed").alias("shotResult"),
         F.when(col("value") < 100, col("value")).alias("shotDistance"),
-        lit("").alias("xLegacy"),
-        lit("").alias("yLegacy"),
+        *_no_text("teamTricode", "subType"),
+        *_blank("scoreHome", "scoreAway", "xLegacy", "yLegacy"),
     )
-    career = careers(spark, sf_dir).select(
+
+
+def _raw_career(spark, sf_dir):
+    return careers(spark, sf_dir).select(
         col("player_id").alias("PLAYER_ID"),
         period_label("season").alias("SEASON_ID"),
         col("team_id").alias("TEAM_ID"),
@@ -140,67 +179,76 @@ def raw_tables(spark, sf_dir):
         lit("23.0").alias("PLAYER_AGE"),
         col("gp").alias("GP"),
         col("points").alias("PTS"),
-        *[lit("").alias(c) for c in ("GS", "MIN", "REB", "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG3M", "FG3A", "FTM", "FTA")],
+        *_blank("GS", "MIN", "REB", "AST", "STL", "BLK", "TOV", "FGM", "FGA", "FG3M", "FG3A", "FTM", "FTA"),
     )
-    roster = t("customer").select(
+
+
+def _raw_roster(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(
         col("c_nationkey").alias("TeamID"),
         lit("1999").alias("SEASON"),
         col("c_custkey").alias("PLAYER_ID"),
         col("c_name").alias("PLAYER"),
         F.when(col("c_acctbal") < 0, "R").otherwise(F.floor("c_acctbal").cast("string")).alias("EXP"),
-        *[no_text.alias(c) for c in ("NICKNAME", "PLAYER_SLUG", "NUM", "POSITION", "HEIGHT", "BIRTH_DATE", "SCHOOL")],
+        *_no_text("NICKNAME", "PLAYER_SLUG", "NUM", "POSITION", "HEIGHT", "BIRTH_DATE", "SCHOOL"),
         col("c_mktsegment").alias("HOW_ACQUIRED"),
         lit("n/a").alias("WEIGHT"),
         col("c_acctbal").alias("AGE"),
     )
-    coaches = t("supplier").select(
+
+
+def _raw_coaches(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(
         col("s_nationkey").alias("TEAM_ID"),
         lit("2009").alias("SEASON"),
         col("s_suppkey").alias("COACH_ID"),
-        no_text.alias("FIRST_NAME"),
-        no_text.alias("LAST_NAME"),
+        *_no_text("FIRST_NAME", "LAST_NAME"),
         col("s_name").alias("COACH_NAME"),
         F.when(col("s_acctbal") > 5000, "Head Coach").when(col("s_acctbal") > 0, "Assistant Coach").alias("COACH_TYPE"),
         lit("2").alias("IS_ASSISTANT"),
-        lit("").alias("SORT_SEQUENCE"),
+        *_blank("SORT_SEQUENCE"),
         lit("3").alias("SUB_SORT_SEQUENCE"),
     )
-    tables = (teams, players, games, box, advanced, events, career, roster, coaches)
-    names = (
-        wh.TEAMS, wh.PLAYERS, wh.TEAM_GAMES, wh.BOX_SCORE, wh.BOX_SCORE_ADVANCED, wh.PLAY_BY_PLAY, wh.CAREER, wh.ROSTER,
-        wh.COACHES,
-    )
-    return {name: _text(df) for name, df in zip(names, tables, strict=True)}
+
+
+_RAW = {
+    wh.TEAMS: _raw_teams,
+    wh.PLAYERS: _raw_players,
+    wh.TEAM_GAMES: _raw_team_games,
+    wh.BOX_SCORE: _raw_box,
+    wh.BOX_SCORE_ADVANCED: _raw_advanced,
+    wh.PLAY_BY_PLAY: _raw_events,
+    wh.CAREER: _raw_career,
+    wh.ROSTER: _raw_roster,
+    wh.COACHES: _raw_coaches,
+}
+
+
+def warehouse(spark, sf_dir):
+    return wh.Warehouse(spark, RawTables(spark, sf_dir), F.lit(f"{RUN_DAY} 00:00:00").cast("timestamp_ntz"))
 
 
 def _table(name):
     def query(spark, sf_dir):
-        ts = F.lit(f"{RUN_DAY} 00:00:00").cast("timestamp_ntz")
-        return wh.build(spark, raw_tables(spark, sf_dir), ts)[name]
+        return getattr(warehouse(spark, sf_dir), name)
 
     query.__name__ = name
     return query
 
 
 def mart_team_four_factors(spark, sf_dir):
-    out = _table("mart_team_four_factors")(spark, sf_dir)
+    out = warehouse(spark, sf_dir).mart_team_four_factors
     return rounded(out, 9, *[c for c in out.columns if c not in wh.EFFICIENCY_KEYS])
 
 
-def analytics_team_elo(spark, sf_dir):
-    ts = F.lit(f"{RUN_DAY} 00:00:00").cast("timestamp_ntz")
-    t = wh.build(spark, raw_tables(spark, sf_dir), ts)
-    return wh.analytics_team_elo(t["fact_team_game"], t["dim_season"])
-
-
 QUERIES = {
     name: _table(name)
     for name in (
         "stg_team_roster", "stg_team_coach", "dim_team", "dim_player", "dim_game", "fact_team_game", "fact_player_game",
-        "fact_play_by_play", "fact_shot", "fact_player_season", "mart_player_team_tenure",
+        "fact_play_by_play", "fact_shot", "fact_player_season", "mart_player_team_tenure", "analytics_team_elo",
     )
 }
-QUERIES |= {"mart_team_four_factors": mart_team_four_factors, "analytics_team_elo": analytics_team_elo}
+QUERIES |= {"mart_team_four_factors": mart_team_four_factors}
 
 # --- the same in SQL --------------------------------------------------------------
 

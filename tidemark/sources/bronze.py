@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import params_json, row_params_json, slice_hash
-from tidemark.functions.text import render_text
+from tidemark.functions.text import text_sql
 
 # The lineage columns of every raw row.
 LINEAGE = ("_endpoint", "_result_set", "_params_json", "_param_hash", "_ingested_at", "_run_id")
@@ -24,7 +24,7 @@ def raw_table_name(endpoint: str, result_set: str) -> str:
 
 def stringify(df: DataFrame) -> list[Column]:
     """Every column as the text it lands as."""
-    return [render_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema]
+    return [F.expr(f"{text_sql(f.name, f.dataType)} as `{f.name}`") for f in df.schema]
 
 
 def to_bronze(
