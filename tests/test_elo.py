@@ -1,0 +1,135 @@
+"""Ratings against an independent fold, by both ways of computing them."""
+
+import datetime
+import math
+import random
+
+import pytest
+
+from tidemark.operators import elo
+
+SCHEMA = (
+    "team_game_sk string, game_id string, game_date date, season_key string, season_start_year int, team_id long, "
+    "opponent_team_id long, is_home boolean, points int, win_flag int, league string"
+)
+
+
+def make_games(leagues=("x", "y"), games=120, teams=7, seed=5):
+    rng, rows = random.Random(seed), []
+    for league in leagues:
+        for i in range(games):
+            a, b = rng.sample(range(1, teams + 1), 2)
+            day = datetime.date(2020, 1, 1) + datetime.timedelta(days=rng.randrange(900))
+            pa, pb = rng.randrange(60, 130), rng.randrange(60, 130)
+            unknown = rng.random() < 0.1
+            neutral = rng.random() < 0.1
+            gid = f"{league}{i:04d}"
+            for me, other, home, p, q in ((a, b, not neutral, pa, pb), (b, a, False, pb, pa)):
+                won = None if unknown or p == q else int(p > q)
+                rows.append((f"{gid}-{me}", gid, day, f"k{day.year}", day.year, me, other, home, p, won, league))
+    return rows
+
+
+def brute(rows, base=1500.0, k=20.0, home_adv=100.0, regress=0.25):
+    out = {}
+    for league in {r[-1] for r in rows}:
+        games = {}
+        for r in rows:
+            if r[-1] == league:
+                games.setdefault((r[2], r[1]), []).append(r)
+        rating, year = {}, {}
+        for key in sorted(games):
+            pair = sorted(games[key], key=lambda r: r[5])
+            if len(pair) != 2:
+                continue
+            pre = {}
+            for r in pair:
+                now = rating.get(r[5], base)
+                if r[5] in year and year[r[5]] != r[4]:
+                    now = base + (1 - regress) * (now - base)
+                pre[r[5]], year[r[5]] = now, r[4]
+            for me, other in (pair, pair[::-1]):
+                bonus = home_adv if me[7] else 0.0
+                diff = pre[other[5]] + (home_adv - bonus) - pre[me[5]] - bonus
+                e = 1 / (1 + 10 ** (diff / 400))
+                margin = me[8] - other[8]
+                mult = math.log(abs(margin) + 1) * 2.2 / (abs(pre[me[5]] + bonus - pre[other[5]]) * 0.001 + 2.2)
+                change = k * mult * ((e if me[9] is None else me[9]) - e)
+                rating[me[5]] = pre[me[5]] + change
+                out[me[0]] = (pre[me[5]], pre[other[5]], e, me[9], margin, change, rating[me[5]])
+    return out
+
+
+def check(got, want):
+    assert len(got) == len(want)
+    for r in got:
+        pre, opp, e, won, margin, change, post = want[r.team_game_sk]
+        assert r.elo_pre == pytest.approx(pre, abs=0.00501) and r.opp_elo_pre == pytest.approx(opp, abs=0.00501)
+        assert r.win_expected == pytest.approx(e, abs=0.0000501)
+        assert (r.won, r.margin) == (won, margin)
+        assert r.elo_change == pytest.approx(change, abs=0.00501) and r.elo_post == pytest.approx(post, abs=0.00501)
+
+
+def test_fold_matches_brute_force(spark):
+    rows = make_games()
+    got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA).repartition(13), "league").collect()
+    check(got, brute(rows))
+
+
+def test_rounds_match_brute_force(spark):
+    rows = make_games(games=40)
+    got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA), "league", fold_limit=0).collect()
+    check(got, brute(rows))
+
+
+def test_large_league_beside_a_small_one(spark, monkeypatch):
+    monkeypatch.setattr(elo, "COMPACT_EVERY", 3)
+    rows = make_games(("big",), games=30) + make_games(("small",), games=10)
+    got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA), "league", fold_limit=20).collect()
+    check(got, brute(rows))
+
+
+def test_one_league_and_output_columns(spark):
+    rows = make_games(("x",), games=20)
+    out = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA))
+    assert out.columns == [
+        "team_game_sk", "game_id", "game_date", "season_key", "team_id", "opponent_team_id", "is_home", "elo_pre",
+        "opp_elo_pre", "win_expected", "won", "margin", "elo_change", "elo_post",
+    ]
+    check(out.collect(), brute(rows))
+
+
+def test_updates_are_not_zero_sum(spark):
+    """The margin damping adds the home bonus on the home row only."""
+    rows = [r for r in make_games(("x",), games=5, seed=8) if r[9] is not None][:2]
+    changes = [r.elo_change for r in elo.elo_ratings(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert changes[0] != -changes[1]
+
+
+def test_unratable_games_are_reported(spark):
+    rows = make_games(("x",), games=6)
+    single = rows[0]
+    no_points = [tuple(None if i == 8 else v for i, v in enumerate(rows[j])) for j in (2, 3)]
+    triple = [*rows[4:6], rows[4]]
+    strangers = [rows[6], tuple(99 if i == 6 else v for i, v in enumerate(rows[7]))]
+    df = spark.createDataFrame([single, *no_points, *triple, *strangers, *rows[8:]], SCHEMA)
+    reasons = {r.game_id: r.reason for r in elo.unrated_games(df, "league").collect()}
+    assert reasons == {
+        "x0000": "not two sides", "x0001": "no points", "x0002": "not two sides", "x0003": "sides do not match",
+    }
+    check(elo.elo_ratings(df, "league").collect(), brute(rows[8:]))
+
+
+def test_unknown_result_changes_nothing(spark):
+    day = datetime.date(2020, 1, 1)
+    rows = [("a", "g", day, "k", 2020, 1, 2, True, 100, None, "x"), ("b", "g", day, "k", 2020, 2, 1, False, 90, None, "x")]
+    got = {r.team_game_sk: r for r in elo.elo_ratings(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got["a"].elo_change, got["a"].won, got["a"].elo_post) == (0.0, None, 1500.0)
+    assert got["a"].win_expected == 0.6401 and got["b"].win_expected == 0.3599
+
+
+def test_params(spark):
+    rows = make_games(("x",), games=25)
+    params = elo.EloParams(base=1000.0, k=10.0, home_adv=50.0, regress=0.5)
+    got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA), params=params).collect()
+    check(got, brute(rows, 1000.0, 10.0, 50.0, 0.5))
