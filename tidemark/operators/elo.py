@@ -63,14 +63,11 @@ def unrated_games(contests: DataFrame, league: str | None = None) -> DataFrame:
     return pair_games(contests, league).where("reason is not null").select("league", "game_id", "n", "reason")
 
 
-def _ratable(contests: DataFrame, league: str | None) -> DataFrame:
-    return (
-        pair_games(contests, league)
-        .where("reason is null")
-        .select(
-            *GAME_KEYS,
-            *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in (*SIDE, "season_start_year")],
-        )
+def ratable_games(pairs: DataFrame) -> DataFrame:
+    """The pairs without a reason against them, one flat row per game."""
+    return pairs.where("reason is null").select(
+        *GAME_KEYS,
+        *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in (*SIDE, "season_start_year")],
     )
 
 
@@ -84,10 +81,10 @@ def _fold(params: EloParams):
     """The recurrence over one league's games in order, in plain numbers."""
     base, k, home_adv, regress = params
 
-    def fold(games: pd.DataFrame) -> pd.DataFrame:
+    def fold(games: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         games = games.sort_values(["game_date", "game_id"], kind="stable", ignore_index=True)
-        ratings: dict[int, float] = {}
-        years: dict[int, int] = {}
+        ratings: dict[int, float] = dict(zip(state["team"].tolist(), state["rating"].tolist(), strict=True))
+        years: dict[int, int] = dict(zip(state["team"].tolist(), state["year"].tolist(), strict=True))
 
         def entering(team: int, year: int) -> float:
             rating = ratings.get(team, base)
@@ -120,10 +117,20 @@ def _fold(params: EloParams):
     return fold
 
 
-def _folded(games: DataFrame, params: EloParams) -> DataFrame:
+def _folded(games: DataFrame, state: DataFrame, params: EloParams) -> DataFrame:
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in games.schema)
     schema = f"{ddl}, a_pre double, b_pre double, a_change double, b_change double"
-    return games.groupBy("league").applyInPandas(_fold(params), schema)
+    # only teams that play again travel with the games, so a task's state is bounded by its games
+    playing = games.select("league", F.explode(F.array("a_team_id", "b_team_id")).alias("team")).distinct()
+    carried = state.join(playing, ["league", "team"], "left_semi").select("league", "team", "rating", "year")
+    return games.groupBy("league").cogroup(carried.groupBy("league")).applyInPandas(_fold(params), schema)
+
+
+def _folded_from_start(games: DataFrame, params: EloParams) -> DataFrame:
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in games.schema)
+    schema = f"{ddl}, a_pre double, b_pre double, a_change double, b_change double"
+    fold, nobody = _fold(params), pd.DataFrame({"team": [], "rating": [], "year": []})
+    return games.groupBy("league").applyInPandas(lambda league: fold(league, nobody), schema)
 
 
 def _side_columns(own: str, other: str, params: EloParams) -> tuple[Column, Column, Column]:
@@ -137,7 +144,7 @@ def _side_columns(own: str, other: str, params: EloParams) -> tuple[Column, Colu
     return expected, margin, F.coalesce(change, F.lit(0.0))
 
 
-def _in_rounds(games: DataFrame, params: EloParams) -> DataFrame:
+def _in_rounds(games: DataFrame, state_before: DataFrame | None, params: EloParams) -> DataFrame:
     """Rate by rounds: each takes the games that are next for both teams, all leagues at once."""
     spark = games.sparkSession
     plays = games.select(*GAME_KEYS, F.explode(F.array("a_team_id", "b_team_id")).alias("team"))
@@ -153,9 +160,14 @@ def _in_rounds(games: DataFrame, params: EloParams) -> DataFrame:
         return df.join(side, ["league", "game_id", f"{s}_team_id"])
 
     pending = cut_lineage(numbered(numbered(games, "a"), "b"))
+    teams = nth.select("league", "team").distinct()
+    if state_before is None:
+        started = teams.select("*", F.lit(None).cast("double").alias("rating"), F.lit(None).cast("int").alias("year"))
+    else:
+        started = teams.join(state_before.select("league", "team", "rating", "year"), ["league", "team"], "left")
     state = cut_lineage(
-        nth.groupBy("league", "team").agg(
-            F.lit(0).alias("played"), F.lit(params.base).alias("rating"), F.lit(None).cast("int").alias("year")
+        started.select(
+            "league", "team", F.lit(0).alias("played"), F.coalesce("rating", F.lit(params.base)).alias("rating"), "year"
         )
     )
 
@@ -216,7 +228,7 @@ def _in_rounds(games: DataFrame, params: EloParams) -> DataFrame:
     return out.select(*games.columns, "a_pre", "b_pre", "a_change", "b_change")
 
 
-def _per_side(rated: DataFrame, params: EloParams) -> DataFrame:
+def ratings_per_side(rated: DataFrame, params: EloParams) -> DataFrame:
     """Two rounded output rows per rated game."""
 
     def side(own: str, other: str) -> Column:
@@ -242,6 +254,45 @@ def _per_side(rated: DataFrame, params: EloParams) -> DataFrame:
     return rated.select("league", F.explode(F.array(side("a", "b"), side("b", "a"))).alias("r")).select("league", "r.*")
 
 
+def rate_games(
+    games: DataFrame,
+    params: EloParams = EloParams(),
+    *,
+    fold_limit: int = FOLD_LIMIT,
+    state: DataFrame | None = None,
+) -> DataFrame:
+    """Append unrounded ratings to ratable games, starting from the teams' ``state`` if there is one."""
+
+    def folded(part: DataFrame) -> DataFrame:
+        return _folded_from_start(part, params) if state is None else _folded(part, state, params)
+
+    sizes = games.groupBy("league").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_limit).select("league")
+    if sizes.isEmpty():
+        return folded(games)
+    large = cut_lineage(sizes)
+    spread = _in_rounds(games.join(large, "league", "left_semi"), state, params)
+    return folded(games.join(large, "league", "left_anti")).unionByName(spread)
+
+
+def state_after(rated: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Each team's rating, season year and last game after the rated games."""
+    sides = [
+        F.struct(
+            F.col(f"{s}_team_id").alias("team"),
+            (F.col(f"{s}_pre") + F.col(f"{s}_change")).alias("rating"),
+            F.col(f"{s}_season_start_year").alias("year"),
+            F.col("game_date").alias("last_date"),
+            F.col("game_id").alias("last_game"),
+        )
+        for s in "ab"
+    ]
+    rows = rated.select("league", F.explode(F.array(*sides)).alias("r")).select("league", "r.*")
+    if state is not None:
+        rows = rows.unionByName(state)
+    last = F.max_by(F.struct("rating", "year", "last_date", "last_game"), F.struct("last_date", "last_game"))
+    return rows.groupBy("league", "team").agg(last.alias("s")).select("league", "team", "s.*")
+
+
 def elo_ratings(
     contests: DataFrame,
     league: str | None = None,
@@ -255,13 +306,6 @@ def elo_ratings(
     season_start_year, team_id, opponent_team_id, is_home, points, win_flag. Leagues
     are independent; without ``league`` all games form one.
     """
-    games = _ratable(contests, league)
-    sizes = games.groupBy("league").agg(F.count(F.lit(1)).alias("n"))
-    if sizes.where(F.col("n") > fold_limit).isEmpty():
-        rated = _folded(games, params)
-    else:
-        large = cut_lineage(sizes.where(F.col("n") > fold_limit).select("league"))
-        small = games.join(large, "league", "left_anti")
-        rated = _folded(small, params).unionByName(_in_rounds(games.join(large, "league", "left_semi"), params))
-    out = _per_side(rated, params)
+    rated = rate_games(ratable_games(pair_games(contests, league)), params, fold_limit=fold_limit)
+    out = ratings_per_side(rated, params)
     return out if league else out.drop("league")

@@ -1,0 +1,90 @@
+"""Ratings kept up to date by a stream of contest sides."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark.operators.elo import (
+    FOLD_LIMIT,
+    EloParams,
+    pair_games,
+    ratable_games,
+    rate_games,
+    ratings_per_side,
+    state_after,
+)
+from tidemark.session import cut_lineage
+
+OUTPUTS = ("ratings", "state", "waiting", "unrated")
+
+
+def _folder(root: str, output: str, batch_id: int) -> str:
+    return f"{root}/{output}/_batch={batch_id}"
+
+
+def _latest(spark: SparkSession, root: str, output: str, batch_id: int) -> DataFrame | None:
+    return None if batch_id == 0 else spark.read.parquet(_folder(root, output, batch_id - 1))
+
+
+def rate_batch(
+    sides: DataFrame,
+    batch_id: int,
+    root: str,
+    league: str | None,
+    params: EloParams = EloParams(),
+    fold_limit: int = FOLD_LIMIT,
+) -> None:
+    """Rate the games that one batch completes.
+
+    Sides wait until the other one arrives. A game that is not after its league's
+    last rated one comes too late to be rated and is set aside with the reason.
+    Every output has a folder per batch, written from the folders of the batch
+    before, so a replayed batch writes the same again.
+    """
+    spark = sides.sparkSession
+    waiting, state = _latest(spark, root, "waiting", batch_id), _latest(spark, root, "state", batch_id)
+    known = sides if waiting is None else sides.unionByName(waiting)
+    pairs = pair_games(known, league)
+    alone = pairs.where("n = 1").select(F.col("game_id").alias("_game"), F.col("league").alias("_league"))
+    in_league = F.col(league).cast("string") if league else F.lit("all")
+    still = known.join(alone, (F.col("game_id") == F.col("_game")) & (in_league == F.col("_league")), "left_semi")
+
+    place = F.struct("game_date", "game_id")
+    judged = pairs.where("n > 1")
+    if state is not None:
+        marks = state.groupBy("league").agg(
+            F.max(F.struct(F.col("last_date").alias("game_date"), F.col("last_game").alias("game_id"))).alias("_mark")
+        )
+        judged = judged.join(marks, "league", "left").withColumn(
+            "reason", F.coalesce("reason", F.when(place <= F.col("_mark"), F.lit("late")))
+        )
+    games = cut_lineage(ratable_games(judged))
+    rated = cut_lineage(rate_games(games, params, fold_limit=fold_limit, state=state))
+    unrated = judged.where("reason is not null").select("league", "game_id", "game_date", "n", "reason")
+    for output, df in zip(
+        OUTPUTS, (ratings_per_side(rated, params), state_after(rated, state), still, unrated), strict=True
+    ):
+        df.write.mode("overwrite").parquet(_folder(root, output, batch_id))
+
+
+def rate_stream(
+    stream: DataFrame,
+    root: str,
+    log: str,
+    league: str | None = None,
+    params: EloParams = EloParams(),
+    fold_limit: int = FOLD_LIMIT,
+) -> StreamingQuery:
+    """Rate arriving contest sides until the available input is used up."""
+
+    def rate(batch: DataFrame, batch_id: int) -> None:
+        rate_batch(batch, batch_id, root, league, params, fold_limit)
+
+    return stream.writeStream.foreachBatch(rate).option("checkpointLocation", log).trigger(availableNow=True).start()
+
+
+def read_output(spark: SparkSession, root: str, output: str) -> DataFrame:
+    """All batches of an append-only output ('ratings' or 'unrated')."""
+    return spark.read.parquet(f"{root}/{output}").drop("_batch")
