@@ -27,15 +27,14 @@ def text_sql(name: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.BooleanType):
         return f"initcap(cast({c} as string))"
     if isinstance(dtype, T.DoubleType | T.FloatType):
-        text, size = f"cast({c} as string)", f"abs({c})"
+        # kept short, as all columns of a table share one generated method
+        text = f"cast({c} as string)"
+        digits, power = f"substring_index({text}, 'E', 1)", f"cast(substring_index({text}, 'E', -1) as int)"
         # written out in full: 16 digits before the point, 22 behind it
-        full = f"regexp_replace(cast(try_cast({text} as decimal(38,22)) as string), '([.][0-9]+?)0*$', '$1')"
-        exponent = f"regexp_replace(replace({text}, '.0E', 'E'), 'E([0-9])', 'e+$1')"
-        exponent = f"replace(regexp_replace({exponent}, 'E-([0-9])$', 'e-0$1'), 'E-', 'e-')"
-        return f"""case when isnan({c}) then null
-            when {size} = double('infinity') then if({c} > 0, 'inf', '-inf')
-            when {size} = 0 or ({size} >= 1e-3 and {size} < 1e7) then {text}
-            when {size} >= 1e-4 and {size} < 1e16 then {full}
+        full = f"regexp_replace(try_cast({text} as decimal(38,22)), '([.][0-9]+?)0*$', '$1')"
+        exponent = f"concat(regexp_replace({digits}, '[.]0$', ''), 'e', format_string('%+03d', {power}))"
+        return f"""case when instr({text}, 'E') = 0 then nullif(replace({text}, 'Infinity', 'inf'), 'NaN')
+            when abs({c}) >= 1e-4 and abs({c}) < 1e16 then {full}
             else {exponent} end"""
     if isinstance(dtype, T.ArrayType | T.MapType | T.StructType):
         return f"to_json({c})"

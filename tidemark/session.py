@@ -17,6 +17,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the JIT compiler gives up on longer methods; wide projections then run faster uncollapsed
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # recording the Python call site of every column costs more than planning the queries
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
