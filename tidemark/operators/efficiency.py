@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rates
-from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, running
+from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, limit_for, running, sequence_within
 
 OPPONENT_INPUTS = ("points", "fgm", "fga", "fg3m", "fta", "ftm", "oreb", "dreb", "tov")
 
@@ -54,6 +54,7 @@ def rolling_splits(
     limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Averages over the last n rows of the entity and over its period so far, the row included."""
+    limit = limit_for(df, [entity], limit)
     ranking = [F.col(c) for c in order]
     longest = max(spans)
     recent = framed(
@@ -90,6 +91,7 @@ def point_in_time_features(
     limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Features known before the row: rest days, prior rolling average, record against the opponent."""
+    limit = limit_for(df, [entity], limit)
     ranking = [F.col(c) for c in order]
     prior = framed(
         df,
@@ -165,34 +167,43 @@ def stint_intervals(
 
     Every change point gets its number within the game, so a presence becomes a
     range of stretch numbers and is expanded to just the stretches it covers.
+    Games of moderate size pass through one shuffle.
     """
     present = df.where(F.col(start) < F.col(stop)).select(game, member, start, stop)
-    points = (
-        present.select(game, F.explode(F.array(start, stop)).alias("_point")).distinct()
+    ends = present.withColumn("_point", F.explode(F.array(start, stop)))
+    limit = limit_for(ends, [game], limit)
+    at = [F.col("_point")]
+    if limit is None:
+        numbered = ends.withColumn("_no", F.dense_rank().over(Window.partitionBy(game).orderBy(*at)))
+    else:
+        points = ends.select(game, "_point").distinct()
+        numbers = sequence_within(points, [game], at, "_no", limit=limit)
+        numbered = ends.join(numbers, [game, "_point"])
+    spans = numbered.groupBy(game, member, start, stop).agg(F.min("_no").alias("_from"), F.max("_no").alias("_to"))
+    # a presence marks the times of both its ends and its member in the stretches between
+    nothing = F.lit(None)
+    marks = F.array(
+        F.struct(F.col("_from").alias("no"), F.col(start).alias("point"), nothing.alias("member")),
+        F.struct(F.col("_to").alias("no"), F.col(stop).alias("point"), nothing.alias("member")),
     )
-    numbered = framed(
-        running(points, [game], [F.col("_point")], {"_no": Running("sum", F.lit(1))}, limit=limit),
+    inside = F.transform(
+        F.sequence("_from", F.col("_to") - 1),
+        lambda no: F.struct(no.alias("no"), nothing.alias("point"), F.col(member).alias("member")),
+    )
+    stretches = (
+        spans.select(game, F.explode(F.concat(marks, inside)).alias("_m"))
+        .groupBy(game, F.col("_m.no").alias("stint_no"))
+        .agg(F.max("_m.point").alias("stint_start"), F.array_sort(F.collect_set("_m.member")).alias("lineup"))
+    )
+    closed = framed(
+        stretches,
         [game],
-        [F.col("_point")],
-        lambda w: [F.lead("_point").over(w).alias("_next")],
+        [F.col("stint_no")],
+        lambda w: [F.lead("stint_start").over(w).alias("stint_end")],
         ahead=1,
         limit=limit,
     )
-    at = numbered.select(F.col(game).alias("_g"), F.col("_point").alias("_p"), F.col("_no").alias("_i"))
-    spans = (
-        present.join(at, (F.col(game) == F.col("_g")) & (F.col(start) == F.col("_p")))
-        .select(game, member, stop, F.col("_i").alias("_from"))
-        .join(at, (F.col(game) == F.col("_g")) & (F.col(stop) == F.col("_p")))
-        .select(game, member, F.explode(F.sequence("_from", F.col("_i") - 1)).alias("_no"))
-    )
-    lineups = spans.groupBy(game, "_no").agg(F.array_sort(F.collect_set(member)).alias("lineup"))
-    return numbered.join(lineups, [game, "_no"]).select(
-        game,
-        F.col("_no").cast("int").alias("stint_no"),
-        F.col("_point").alias("stint_start"),
-        F.col("_next").alias("stint_end"),
-        "lineup",
-    )
+    return closed.where(F.size("lineup") > 0).select(game, "stint_no", "stint_start", "stint_end", "lineup")
 
 
 # A stretch no longer decides the game from these margins on, by period,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ratings import margin_multiplier, win_expectation
-from tidemark.operators.ordered import GROUP_LIMIT, sequence_within
+from tidemark.operators.ordered import GROUP_LIMIT, limit_for, sequence_within
 from tidemark.session import cut_lineage, new_path
 
 # Games of one league that a single task folds (about 200 bytes each).
@@ -306,6 +306,10 @@ def elo_ratings(
     season_start_year, team_id, opponent_team_id, is_home, points, win_flag. Leagues
     are independent; without ``league`` all games form one.
     """
-    rated = rate_games(ratable_games(pair_games(contests, league)), params, fold_limit=fold_limit)
+    sides = [league] if league else []
+    # a game has two sides, so this count of the input bounds the games before they are paired
+    fits = limit_for(contests, sides, 2 * fold_limit) is None
+    games = ratable_games(pair_games(contests, league))
+    rated = _folded_from_start(games, params) if fits else rate_games(games, params, fold_limit=fold_limit)
     out = ratings_per_side(rated, params)
     return out if league else out.drop("league")

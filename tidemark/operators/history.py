@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import surrogate_key
-from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, largest_group, running
+from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, largest_group, limit_for, running
 
 # Versions of one key up to which a plain equi-join on the key stays small.
 JOINABLE_VERSIONS = 32
@@ -55,6 +55,7 @@ def scd2_history(
     log: DataFrame, key: str, check: Sequence[str], ts: str, *, limit: int | None = GROUP_LIMIT
 ) -> DataFrame:
     """The versions that repeated snapshots of an ordered change log would leave."""
+    limit = limit_for(log, [key], limit)
     state = F.struct(*check)
     flagged = framed(
         log,

@@ -41,6 +41,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
+def limit_for(df: DataFrame, keys: Sequence[str], limit: int | None) -> int | None:
+    """None if no group exceeds the limit, else the limit.
+
+    For operators with several ordered steps whose groups are all parts of these:
+    one check then stands for the checks of every step.
+    """
+    if limit is None or df.groupBy(*keys).count().where(F.col("count") > limit).isEmpty():
+        return None
+    return limit
+
+
 def _split(df: DataFrame, keys: Sequence[str], limit: int | None):
     """(rows of ordinary groups, rows of huge groups, number of the latter), or None if there are none."""
     if limit is None:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import GROUP_LIMIT, sequence_within
+from tidemark.operators.ordered import GROUP_LIMIT, limit_for, sequence_within
 
 
 class Field(NamedTuple):
@@ -58,6 +58,7 @@ def event_sequence(
 
     The remaining columns break ties after ``order``, so the numbering is unique.
     """
+    limit = limit_for(df, keys, limit)
     distinct = df.dropDuplicates()
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranking = [F.col(c).asc_nulls_last() for c in [*order, *rest]]

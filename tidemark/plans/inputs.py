@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import NULL_KEY
+from tidemark.session import written
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -102,6 +103,11 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
 
 
+def written_sides(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The sides as a written table, for operators that check group sizes before they run."""
+    return written(sides(spark, sf_dir).select(*(columns or ["*"])), "sides")
+
+
 def sides_sql(lines: str = "lineitem") -> str:
     counts = ", ".join(f"cast({('t.' + e) if ' ' not in e else '2 * t.lines'} as int) as {n}" for n, e in _SIDE_COUNTS.items())
     return f"""

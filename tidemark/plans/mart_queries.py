@@ -15,6 +15,7 @@ from tidemark.plans.inputs import (
     rounded,
     sides,
     table,
+    written_sides,
 )
 from tidemark.plans.typing_queries import ZONED_SHOTS_SQL, zoned_shots
 from tidemark.functions.keys import surrogate_key
@@ -206,7 +207,7 @@ from forecasts group by season"""
 
 
 def contests(spark, sf_dir):
-    return sides(spark, sf_dir).withColumns(
+    return written_sides(spark, sf_dir).withColumns(
         {"team_game_sk": surrogate_key("game_id", "team_id"), "season_key": surrogate_key("season_id")}
     )
 
@@ -280,7 +281,7 @@ ELO_SQL = elo_sql()
 
 
 def rolling_splits(spark, sf_dir):
-    base = sides(spark, sf_dir).select("game_id", "team_id", "game_date", "season_start_year", "points")
+    base = written_sides(spark, sf_dir, "game_id", "team_id", "game_date", "season_start_year", "points")
     out = efficiency.rolling_splits(base, "team_id", "season_start_year", ["game_date", "game_id"], "points")
     return rounded(out, 9, "points_last5", "points_last10", "points_period")
 
@@ -296,7 +297,9 @@ from sides window w as (partition by team_id order by game_date, game_id)"""
 
 
 def point_in_time_features(spark, sf_dir):
-    base = sides(spark, sf_dir).select("game_id", "team_id", "opponent_team_id", "game_date", "points", "win_flag")
+    base = written_sides(
+        spark, sf_dir, "game_id", "team_id", "opponent_team_id", "game_date", "points", "win_flag"
+    )
     out = efficiency.point_in_time_features(
         base, "team_id", "opponent_team_id", "game_date", ["game_date", "game_id"], "points", "win_flag"
     )
@@ -441,7 +444,7 @@ select vec_id, round(similarity, 6) as similarity from s order by s.similarity d
 
 
 def holdout_split(spark, sf_dir):
-    games = sides(spark, sf_dir).select("game_id", "team_id", "opponent_team_id", "game_date")
+    games = written_sides(spark, sf_dir, "game_id", "team_id", "opponent_team_id", "game_date")
     tagged = incremental.temporal_split(games, "team_id", ["game_date", "game_id"], 60)
     train, test = tagged.where("split = 'train'"), tagged.where("split = 'test'")
     novel = incremental.novel_pairs(train, test, "team_id", "opponent_team_id")

@@ -12,6 +12,7 @@ from tidemark.plans import warehouse as wh
 from tidemark.plans.inputs import CAREERS_SQL, SIDES_SQL, careers, key_sql, rounded, sides, table
 from tidemark.plans.mart_queries import elo_sql
 from tidemark.plans.star_queries import factor_columns_sql
+from tidemark.session import written
 from tidemark.sources.bronze import stringify
 
 RUN_DAY = "2002-01-01"
@@ -103,12 +104,15 @@ def _raw_team_games(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey").agg(
+    # numbers in place of the flag's text keep the aggregate hashed
+    rank = F.when(col("l_returnflag") == "R", 3).when(col("l_returnflag") == "N", 2).otherwise(1)
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey").agg(
         F.sum("l_quantity").cast("int").alias("q"),
-        F.max("l_returnflag").alias("flag"),
+        F.max(rank).alias("rank"),
         F.count(lit(1)).alias("n"),
         F.max("l_linenumber").alias("no"),
     )
+    return lines.withColumn("flag", F.element_at(F.array(lit("A"), lit("N"), lit("R")), col("rank")))
 
 
 def _raw_box(spark, sf_dir):
@@ -241,14 +245,20 @@ def mart_team_four_factors(spark, sf_dir):
     return rounded(out, 9, *[c for c in out.columns if c not in wh.EFFICIENCY_KEYS])
 
 
+def analytics_team_elo(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    w.fact_team_game = written(w.fact_team_game, "fact_team_game")
+    return w.analytics_team_elo
+
+
 QUERIES = {
     name: _table(name)
     for name in (
         "stg_team_roster", "stg_team_coach", "dim_team", "dim_player", "dim_game", "fact_team_game", "fact_player_game",
-        "fact_play_by_play", "fact_shot", "fact_player_season", "mart_player_team_tenure", "analytics_team_elo",
+        "fact_play_by_play", "fact_shot", "fact_player_season", "mart_player_team_tenure",
     )
 }
-QUERIES |= {"mart_team_four_factors": mart_team_four_factors}
+QUERIES |= {"mart_team_four_factors": mart_team_four_factors, "analytics_team_elo": analytics_team_elo}
 
 # --- the same in SQL --------------------------------------------------------------
 

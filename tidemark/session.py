@@ -56,3 +56,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and return a reader of it.
+
+    For a costly table that several steps read: each then scans just the columns it needs.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
