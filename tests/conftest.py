@@ -11,7 +11,7 @@ from tidemark.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=os.environ.get("TEST_CPUS", "8"), shuffle_partitions=8)
+    session = local_session(cores=os.environ.get("TEST_CPUS", "8"), shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -83,6 +83,8 @@ def test_contract(spark):
     declared = bronze.contract_rows(spark, {"e": {"R": ["a", "b"], "S": []}, "f": {"R": ["c"]}})
     s = bronze.contract_summary(declared).first()
     assert (s.endpoints, s.result_sets, s.bronze_tables) == (2, 3, 3)
+    assert bronze.contract_duplicates(declared).isEmpty()
+    assert [r.table_name for r in bronze.contract_duplicates(declared.union(declared.limit(1))).collect()] == ["e__R"]
     actual = spark.createDataFrame([("e__R", "a"), ("e__R", "z"), ("f__R", "c")], "table_name string, column_name string")
     got = {(r.table_name, r.column_name): r.status for r in bronze.contract_coverage(bronze.contract_columns(declared), actual).collect()}
     assert got == {("e__R", "a"): "present", ("e__R", "b"): "missing", ("e__R", "z"): "undeclared", ("f__R", "c"): "present"}

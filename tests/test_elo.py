@@ -77,14 +77,14 @@ def test_fold_matches_brute_force(spark):
 
 
 def test_rounds_match_brute_force(spark):
-    rows = make_games(games=40)
+    rows = make_games(games=20)
     got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA), "league", fold_limit=0).collect()
     check(got, brute(rows))
 
 
 def test_large_league_beside_a_small_one(spark, monkeypatch):
     monkeypatch.setattr(elo, "COMPACT_EVERY", 3)
-    rows = make_games(("big",), games=30) + make_games(("small",), games=10)
+    rows = make_games(("big",), games=24) + make_games(("small",), games=10)
     got = elo.elo_ratings(spark.createDataFrame(rows, SCHEMA), "league", fold_limit=20).collect()
     check(got, brute(rows))
 

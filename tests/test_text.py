@@ -64,7 +64,7 @@ def test_rollup_filter_drops_nulls(spark):
     assert [tuple(r) for r in drop_rollups(df, "label", "TOT", "id").collect()] == [("B", 4)]
 
 
-@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=True, allow_infinity=True), min_size=1, max_size=40))
 def test_floats_land_as_python_writes_them(spark, values):
     extra = [0.0, -0.0, 23.0, 1e7, 12345678.25, 9.99e15, 1e16, 1.5e16, 1e-3, 1e-4, 1.234567890123456e-4, 9e-5, 1e-10, 5e-324]
@@ -86,7 +86,7 @@ def test_slice_hash_of_literals():
     assert keys.params_json(params) == '{"league_id": "00", "season": "2023-24"}'
 
 
-@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=12), min_size=1, max_size=20))
 def test_row_hash_equals_python(spark, names):
     names = [n for n in names if not any(0xD800 <= ord(c) <= 0xDFFF for c in n)] or ["é\U0001f600\"\\\n\x7f\x01"]

@@ -83,6 +83,11 @@ def most_recent(df: DataFrame, by: str, key: str, n: int) -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col(key)).limit(n)
 
 
+def top_n(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
+    """The n rows with the largest measure, rows without it last, ties by key."""
+    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(key)).limit(n)
+
+
 def last_periods(df: DataFrame, period: str, n: int) -> DataFrame:
     """Rows of the n latest distinct periods."""
     latest = df.select(period).distinct().orderBy(F.col(period).desc()).limit(n)

@@ -480,6 +480,14 @@ def analytics_team_elo(team_game: DataFrame, seasons: DataFrame) -> DataFrame:
     return elo.elo_ratings(rows)
 
 
+def top_scorers(player_season: DataFrame, season: str, n: int = 10) -> DataFrame:
+    """The players with most points in a season, over all their teams."""
+    totals = player_season.where(F.col("season") == season).groupBy("player_id").agg(
+        F.max("player_name").alias("player_name"), F.sum("points").alias("points"), F.sum("gp").alias("games")
+    )
+    return staging.top_n(totals, "points", "player_id", n)
+
+
 # --- the whole warehouse -------------------------------------------------------
 
 # The columns tables are clustered by when written.

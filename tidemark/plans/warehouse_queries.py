@@ -251,6 +251,10 @@ def analytics_team_elo(spark, sf_dir):
     return w.analytics_team_elo
 
 
+def top_scorers(spark, sf_dir):
+    return wh.top_scorers(warehouse(spark, sf_dir).fact_player_season, "1998-99", 50)
+
+
 QUERIES = {
     name: _table(name)
     for name in (
@@ -259,6 +263,7 @@ QUERIES = {
     )
 }
 QUERIES |= {"mart_team_four_factors": mart_team_four_factors, "analytics_team_elo": analytics_team_elo}
+QUERIES |= {"top_scorers": top_scorers}
 
 # --- the same in SQL --------------------------------------------------------------
 
@@ -436,5 +441,9 @@ from player_season group by player_id, team_id""",
     + f"""
 select {", ".join("t." + c for c in wh.EFFICIENCY_KEYS)}, {factor_columns_sql(without=["opp_poss"])}
 from team_game t join team_game o on t.game_id = o.game_id and t.opponent_team_id = o.team_id""",
+    "top_scorers": _BASE
+    + """
+select player_id, max(player_name) as player_name, cast(sum(points) as bigint) as points, cast(sum(gp) as bigint) as games
+from player_season where season = '1998-99' group by player_id order by points desc, player_id limit 50""",
     "analytics_team_elo": elo_sql("'all'") + " select * exclude (league) from rated",
 }

@@ -172,6 +172,12 @@ def contract_summary(contract: DataFrame) -> DataFrame:
     )
 
 
+def contract_duplicates(contract: DataFrame) -> DataFrame:
+    """Raw tables that the contract declares more than once."""
+    names = contract.groupBy(F.concat("endpoint", F.lit("__"), "result_set").alias("table_name"))
+    return names.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def contract_coverage(declared: DataFrame, actual: DataFrame) -> DataFrame:
     """Compare declared and actual (table_name, column_name) rows: present, missing or undeclared."""
     keys = ["table_name", "column_name"]
