@@ -19,6 +19,7 @@ from tidemark.plans.inputs import (
 )
 from tidemark.plans.typing_queries import ZONED_SHOTS_SQL, zoned_shots
 from tidemark.functions.keys import surrogate_key
+from tidemark.session import written
 
 # --- tenure and cohorts ------------------------------------------------------------
 
@@ -85,21 +86,26 @@ counts as (
 """
 
 
-def cohort_attribution(spark, sf_dir):
-    return marts.attribute_cohort(careers(spark, sf_dir), "player_id", "team_id", "season")
+def _spells(spark, sf_dir):
+    """The careers' keys as a written table: the cohort operators read them several times."""
+    return written(careers(spark, sf_dir).select("player_id", "team_id", "season", "label"), "careers")
 
 
-def cohort_summary(spark, sf_dir):
-    return marts.cohort_summary(careers(spark, sf_dir), "player_id", "season")
+def _counts(spells):
+    return marts.cohort_counts(spells, "player_id", "team_id", "season", "label")
+
+
+def cohort_attribution(spark, sf_dir):
+    return marts.attribute_cohort(_spells(spark, sf_dir), "player_id", "team_id", "season")
 
 
-def _counts(spark, sf_dir):
-    return marts.cohort_counts(careers(spark, sf_dir), "player_id", "team_id", "season", "label")
+def cohort_summary(spark, sf_dir):
+    return marts.cohort_summary(_spells(spark, sf_dir), "player_id", "season")
 
 
 def cohort_pivot(spark, sf_dir):
-    periods = marts.latest_values(table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("season")), "season")
-    return marts.cohort_matrix(_counts(spark, sf_dir), "label", "season", periods)
+    spells = _spells(spark, sf_dir)
+    return marts.cohort_matrix(_counts(spells), "label", "season", marts.latest_values(spells, "season"))
 
 
 # the reports' columns are the years of the orders
@@ -110,8 +116,9 @@ select label, {cols} from counts group by label""".format(
 
 
 def cohort_share(spark, sf_dir):
-    summary = marts.cohort_summary(careers(spark, sf_dir), "player_id", "season")
-    return marts.cohort_share(_counts(spark, sf_dir), summary, "label", "season")
+    spells = _spells(spark, sf_dir)
+    summary = marts.cohort_summary(spells, "player_id", "season")
+    return marts.cohort_share(_counts(spells), summary, "label", "season")
 
 
 def running_distinct(spark, sf_dir):

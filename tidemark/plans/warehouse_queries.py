@@ -228,13 +228,17 @@ _RAW = {
 }
 
 
-def warehouse(spark, sf_dir):
-    return wh.Warehouse(spark, RawTables(spark, sf_dir), F.lit(f"{RUN_DAY} 00:00:00").cast("timestamp_ntz"))
+def warehouse(spark, sf_dir, stored=("stg_team_game",)):
+    """The warehouse of one run; tables that its queries read several times are written first."""
+    w = wh.Warehouse(spark, RawTables(spark, sf_dir), F.lit(f"{RUN_DAY} 00:00:00").cast("timestamp_ntz"))
+    for name in stored:
+        setattr(w, name, written(getattr(w, name), name))
+    return w
 
 
-def _table(name):
+def _table(name, stored=("stg_team_game",)):
     def query(spark, sf_dir):
-        return getattr(warehouse(spark, sf_dir), name)
+        return getattr(warehouse(spark, sf_dir, stored), name)
 
     query.__name__ = name
     return query
@@ -255,11 +259,12 @@ def top_scorers(spark, sf_dir):
     return wh.top_scorers(warehouse(spark, sf_dir).fact_player_season, "1998-99", 50)
 
 
-QUERIES = {
+QUERIES = {name: _table(name, stored=()) for name in ("stg_team_roster", "stg_team_coach", "dim_team", "dim_player")}
+QUERIES |= {
     name: _table(name)
     for name in (
-        "stg_team_roster", "stg_team_coach", "dim_team", "dim_player", "dim_game", "fact_team_game", "fact_player_game",
-        "fact_play_by_play", "fact_shot", "fact_player_season", "mart_player_team_tenure",
+        "dim_game", "fact_team_game", "fact_player_game", "fact_play_by_play", "fact_shot", "fact_player_season",
+        "mart_player_team_tenure",
     )
 }
 QUERIES |= {"mart_team_four_factors": mart_team_four_factors, "analytics_team_elo": analytics_team_elo}
