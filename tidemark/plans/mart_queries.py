@@ -87,7 +87,7 @@ counts as (
 
 
 def _spells(spark, sf_dir):
-    """The careers' keys as a written table: the cohort operators read them several times."""
+    """The careers' keys as a written table: the cohort matrix and shares read them several times."""
     return written(careers(spark, sf_dir).select("player_id", "team_id", "season", "label"), "careers")
 
 
@@ -96,11 +96,11 @@ def _counts(spells):
 
 
 def cohort_attribution(spark, sf_dir):
-    return marts.attribute_cohort(_spells(spark, sf_dir), "player_id", "team_id", "season")
+    return marts.attribute_cohort(careers(spark, sf_dir), "player_id", "team_id", "season")
 
 
 def cohort_summary(spark, sf_dir):
-    return marts.cohort_summary(_spells(spark, sf_dir), "player_id", "season")
+    return marts.cohort_summary(careers(spark, sf_dir), "player_id", "season")
 
 
 def cohort_pivot(spark, sf_dir):
