@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, quality, sharding
+from tidemark.llm import line_dedup, packing, quality, sharding, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.packed_documents(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048)
+
+
 def op3_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of equal row counts and one mixture of sources."""
     sharded = sharding.stratified_shards(_table(spark, sf_dir, "documents"), shards=8, seed=17)
@@ -25,11 +36,25 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored segment of all documents in packed rows of 2048 ids."""
+    return token_output.packed_segments(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the three-line passages that occur earlier."""
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
 
 
-QUERIES = {f.__name__: f for f in (op3_stratified_interleaving, op5_quality_cascade, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_exact_complement_packing,
+        op3_stratified_interleaving,
+        op5_quality_cascade,
+        op6_token_output,
+        op10_line_dedup,
+    )
+}
 
 ORACLE = {"op10_line_dedup": line_dedup.ORACLE}
