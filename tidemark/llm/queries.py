@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, quality, sharding, token_output
+from tidemark.llm import line_dedup, packing, quality, sharding, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,18 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_segments(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the three-line passages that occur earlier."""
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
@@ -53,6 +65,7 @@ QUERIES = {
         op3_stratified_interleaving,
         op5_quality_cascade,
         op6_token_output,
+        op8_toxicity,
         op10_line_dedup,
     )
 }
