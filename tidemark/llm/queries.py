@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, quality, sharding, token_output, toxicity
+from tidemark.llm import decontamination, html, line_dedup, packing, quality, sharding, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op3_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the edits of its best passage."""
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.quality_verdicts(_table(spark, sf_dir, "documents"))
@@ -53,6 +58,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract_articles(_table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the three-line passages that occur earlier."""
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
@@ -63,9 +73,11 @@ QUERIES = {
     for f in (
         op2_exact_complement_packing,
         op3_stratified_interleaving,
+        op4_decontamination,
         op5_quality_cascade,
         op6_token_output,
         op8_toxicity,
+        op9_html_extraction,
         op10_line_dedup,
     )
 }
