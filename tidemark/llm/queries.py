@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html, line_dedup, packing, quality, sharding, token_output, toxicity
+from tidemark.llm import decontamination, html, jaccard, line_dedup, packing, quality, sharding, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_segments(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document under links of 0.9 between sets of three-word shingles."""
+    return jaccard.similar_groups(_table(spark, sf_dir, "documents"), words=3, least=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learned from labels that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,6 +81,7 @@ QUERIES = {
         op4_decontamination,
         op5_quality_cascade,
         op6_token_output,
+        op7_ngram_jaccard,
         op8_toxicity,
         op9_html_extraction,
         op10_line_dedup,
