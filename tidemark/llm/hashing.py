@@ -43,6 +43,21 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
+def compacted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.LargeStringArray]:
+    """The texts' bytes, their bounds in them from 0, and the texts as an array of its own; null texts are empty.
+
+    String functions of a slice can return bounds that do not fit its bytes, so slices are copied first.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2]
+    size = int(bounds[-1] - bounds[0])
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if size else np.zeros(0, np.uint8)
+    bounds = bounds - bounds[0]
+    own = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw.tobytes()))
+    return raw, bounds, own
+
+
 def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash, never 0, of each word of the texts in order, and the texts' bounds in them.
 
@@ -50,13 +65,9 @@ def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray
     ``letters_only``, letters beyond ASCII are lowered too, ASCII signs and general
     punctuation are left out, and words of nothing else are no words. A null text has none.
     """
-    texts = pc.fill_null(texts.cast(pa.large_binary() if not letters_only else pa.large_string()), b"" if not letters_only else "")
+    raw, offsets, own = compacted(texts)
     if letters_only:
-        texts = pc.utf8_lower(texts)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
+        raw, offsets, _ = compacted(pc.utf8_lower(own))
     value = _TABLES[letters_only][raw]
     if letters_only and len(raw):
         value[_signs(raw)] = 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -12,18 +13,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.llm.common import pick
+from tidemark.llm.hashing import compacted
+from tidemark.llm.merges import Merges
 
 #: Bytes of text that are encoded at a time; one longer text is encoded alone.
-CHUNK_BYTES = 4 << 20
-#: Words that a worker remembers the ids of.
-KNOWN_WORDS = 400_000
+CHUNK_BYTES = 6 << 20
+
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _signs_apart(texts: pa.Array) -> pa.Array:
+    """The texts with a space between a last letter and the point or comma that ends a word.
+
+    Such a sign is encoded by itself anyway, and the words before it become fewer.
+    """
+    raw, offsets, texts = compacted(texts)
+    if not len(raw):
+        return texts
+    sign = (raw == 46) | (raw == 44)
+    sign[1:] &= _LETTER[raw[:-1]]
+    sign[0] = False
+    last = np.zeros(len(raw) + 1, bool)
+    last[:-1] = _BLANK[raw]
+    last[offsets] = True  # the next text begins, or all end
+    first = np.zeros(len(raw) + 1, bool)
+    first[offsets] = True
+    at = np.flatnonzero(sign & last[1:] & ~first[:-1])
+    new = np.insert(raw, at, 32)
+    moved = offsets + np.searchsorted(at, offsets)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(moved.astype(np.int64)), pa.py_buffer(new))
 
 
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and encodes words apart.
 
-    Text is cut at ASCII white space; each distinct word is encoded once while it is
-    remembered. Code 0 stands for the closing id.
+    Text is cut at ASCII white space, and each distinct word of a batch is encoded once.
+    Where the tokenizer's model allows it, words of Latin letters are merged side by side.
     """
 
     def __init__(self, path: str, closing: int):
@@ -31,50 +59,50 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.closing = closing
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ids[0], self.used = self.closing, 1
-        self.starts, self.sizes = [0], [1]
-
-    def _learn(self, words: list[str]) -> None:
-        # a word of letters with a final point or comma is that word's ids and the sign's
-        parts = [((w[:-1], w[-1]) if w[-1:] in (".", ",") and w[:-1].isalpha() else (w, "")) for w in words]
-        parts = [((a.lower() if a.isascii() and a.isalpha() else a), b) for a, b in parts]
-        single = list(dict.fromkeys([x for p in parts for x in p if x]))
-        found = {x: e.ids for x, e in zip(single, self.tokenizer.encode_batch(single, add_special_tokens=False), strict=True)}
-        found[""] = []
-        for word, (a, b) in zip(words, parts, strict=True):
-            got = found[a] + found[b]
-            while self.used + len(got) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(got)] = got
-            self.codes[word] = len(self.starts)
-            self.starts.append(self.used)
-            self.sizes.append(len(got))
-            self.used += len(got)
+        about = json.loads(self.tokenizer.to_str())
+        model = about["model"]
+        kinds = [x["type"] for x in (about["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        lowered = [x["type"] for x in (about["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        usual = model["type"] == "BPE" and model.get("end_of_word_suffix") and not model["dropout"] and not model["ignore_merges"]
+        self.merges = None
+        if usual and lowered and kinds == ["Split", "ByteLevel"]:
+            self.merges = Merges(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids in a row, and how many each has."""
+        # letters up to U+017F are composed and have simple lower cases, but for U+0130
+        plain = np.fromiter((w.isalpha() and max(w) <= "\u017f" and "\u0130" not in w for w in words), bool, len(words))
+        plain &= self.merges is not None
+        ids, sizes = self.merges.encode([w.lower() for w, p in zip(words, plain, strict=True) if p]) if plain.any() else (np.zeros(0, np.uint32), 0)
+        found = [e.ids for e in self.tokenizer.encode_batch([w for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False)]
+        size = np.zeros(len(words), np.int64)
+        size[plain] = sizes
+        size[~plain] = [len(f) for f in found]
+        start = np.zeros(len(words), np.int64)
+        start[plain] = np.cumsum(size[plain]) - size[plain]
+        start[~plain] = len(ids) + np.cumsum(size[~plain]) - size[~plain]
+        ids = np.concatenate([ids, np.fromiter((i for f in found for i in f), np.uint32)])
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return ids[at], size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's closed, and the texts' bounds in them."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        texts = compacted(texts)[2]
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # else a special token could arise
+            texts = pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(_signs_apart(texts))
         bounds = words.offsets.to_numpy()
         flat = words.flatten().dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
-        if len(self.codes) + len(distinct) > KNOWN_WORDS:
-            self.forget()
-        new = [w for w in distinct if w not in self.codes]
-        if new:
-            self._learn(new)
-        code = np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
-        code = code[flat.indices.to_numpy()] if len(distinct) else code
-        code = np.insert(code, bounds[1:] - bounds[0], 0)
-        size = np.asarray(self.sizes, np.int64)[code]
-        ends = np.cumsum(size)
-        at = np.repeat(np.asarray(self.starts, np.int64)[code] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        ids, size = self._of_words(flat.dictionary.to_pylist())
+        ids, size = np.append(ids, np.uint32(self.closing)), np.append(size, 1)
+        start = np.cumsum(size) - size
+        code = np.insert(flat.indices.to_numpy(zero_copy_only=False), bounds[1:] - bounds[0], len(size) - 1)
+        length = size[code]
+        ends = np.cumsum(length)
+        at = np.repeat((start[code] - ends + length).astype(np.int32), length)
+        at += np.arange(len(at), dtype=np.int32)
         last = bounds[1:] - bounds[0] + np.arange(len(texts))
-        return self.ids[at], np.concatenate([[0], ends[last]]).astype(np.int64)
+        return ids[at], np.concatenate([[0], ends[last]]).astype(np.int64)
 
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}

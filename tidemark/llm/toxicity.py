@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import SPLIT_WORDS, pick
+from tidemark.llm.hashing import compacted
 from tidemark.llm.tokens import chunks
 from tidemark.session import written
 
@@ -152,7 +153,7 @@ class Scorer:
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """One row of FEATURES for each text."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        words = pc.ascii_split_whitespace(compacted(texts)[2])
         bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
         flat = words.flatten().dictionary_encode()
         distinct = flat.dictionary.to_pylist()
