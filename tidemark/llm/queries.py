@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html, jaccard, line_dedup, packing, quality, sharding, token_output, toxicity
+from tidemark.llm import chat, decontamination, html, jaccard, line_dedup, packing, quality, sharding, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All exchanges of all conversations as tool calls and results."""
+    messages = _table(spark, sf_dir, "conversations")
+    return chat.link_tool_calls(chat.exchanged_calls(messages), chat.exchanged_results(messages), chat.TOOLS)
+
+
 def op2_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.packed_documents(_table(spark, sf_dir, "documents"), _vocabulary(), capacity=2048)
@@ -76,6 +82,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_tool_calls,
         op2_exact_complement_packing,
         op3_stratified_interleaving,
         op4_decontamination,
@@ -88,4 +95,4 @@ QUERIES = {
     )
 }
 
-ORACLE = {"op10_line_dedup": line_dedup.ORACLE}
+ORACLE = {"op1_tool_calls": chat.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
