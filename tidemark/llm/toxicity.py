@@ -30,8 +30,10 @@ from tidemark.session import written
 WINDOW = 8
 #: Lexicon entries kept, automaton states and words remembered by a worker.
 MOST_TERMS, MOST_STATES, MOST_WORDS = 1000, 100_000, 300_000
-STEMS = (4, 5, 6)
-FEATURES = ("exact", "near", "quoted", "share")
+STEMS = (4, 5, 6, 7, 8)
+FEATURES = ("abuse", "near", "quoted", "share")
+#: What each edit leaves of a hit's weight; the model can take more off by the feature ``near``.
+EDIT_DISCOUNT = 0.6
 
 _RUN = re.compile(r"[^\W_]+")
 _OPENS, _CLOSES = "\"'“”„«»‘‹", "\"'“”»«’›"
@@ -176,7 +178,8 @@ class Scorer:
             if quoted(before, after):
                 out[text, 2] += weight
             else:
-                out[text, 0 if edits == 0 else 1] += weight
+                out[text, 0] += weight * EDIT_DISCOUNT**edits
+                out[text, 1] += weight if edits else 0
         size = np.maximum(np.diff(bounds), 1)
         out[:, 3] = out[:, 0] / size * 100
         return np.log1p(out)
@@ -247,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, id_col: s
     uneven = F.col("bad") * F.log(F.col("bad") / (seen * base))
     uneven += F.when(F.col("good") == 0, F.lit(0.0)).otherwise(F.col("good") * F.log(F.col("good") / (seen * (1 - base))))
     strong = (
-        terms.where((F.col("bad") >= 3) & (odds >= 2.0) & (uneven >= math.log(max(1, terms.count())) + 3) & (F.length("term") >= 4))
+        terms.where((F.col("bad") >= 3) & (odds >= 3.0) & (uneven >= math.log(max(1, terms.count())) + 3) & (F.length("term") >= 4))
         .select("term", "bad", odds.alias("odds"))
         .orderBy(F.desc("bad"), "term")
         .limit(MOST_TERMS)
@@ -275,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, id_col: s
             near = [(m := automaton.match(t)) is not None and m[1] > 0 for t in batch.column("term").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("term").filter(pa.array(near, pa.bool_()))], names=["term"])
 
-    clean = terms.where((F.col("good") > 0) & (odds < 2.0) & ~F.col("term").endswith("*")).select("term")
+    clean = terms.where((F.col("good") > 0) & (odds < 3.0) & ~F.col("term").endswith("*")).select("term")
     model = Model(weights, frozenset(r.term for r in clean.mapInArrow(confusable, "term string").collect()))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
