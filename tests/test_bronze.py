@@ -44,9 +44,15 @@ def test_written_slices_are_idempotent(spark):
     bronze.write_slices(landed(spark, [("d1", 1), ("d2", 2)]), path)
     for _ in range(2):
         bronze.write_slices(landed(spark, [("d2", 7), ("d2", 8)], "s"), path)
-    assert content(spark.read.parquet(path)) == [("d1", "1", "r"), ("d2", "7", "s"), ("d2", "8", "s")]
+    schema = landed(spark, [("d1", 1)]).schema
+    assert content(bronze.read_slices(spark, path, schema)) == [("d1", "1", "r"), ("d2", "7", "s"), ("d2", "8", "s")]
     bronze.write_slices(landed(spark, [("d3", 5)]), path, replace=False)
-    assert spark.read.parquet(path).count() == 4
+    assert bronze.read_slices(spark, path, schema).count() == 4
+    # a slice that came back empty is cleared, and hashes of digits keep their type
+    fetched = landed(spark, [("d1", 0), ("d2", 0)])
+    bronze.write_slices(fetched.limit(0), path, slices=fetched)
+    left = bronze.read_slices(spark, path, schema)
+    assert content(left) == [("d3", "5", "r")] and left.dtypes == spark.createDataFrame([], schema).dtypes
 
 
 def test_another_column_set_is_refused(spark):

@@ -1,15 +1,11 @@
 """Streams land the same rows as batches, and replayed batches change nothing."""
 
-import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
-from test_elo import SCHEMA, brute, check, make_games
-from tidemark.operators import elo
 from tidemark.session import new_path
-from tidemark.sources.bronze import to_bronze
-from tidemark.streaming import ingest, ratings
+from tidemark.sources.bronze import read_slices, to_bronze
+from tidemark.streaming import ingest
 
 STAMP = {"run_id": "r", "ingested_at": "2024-01-01T00:00:00+00:00"}
 
@@ -58,43 +54,7 @@ def test_slice_stream_replaces_slices(spark):
         drop_files(spark, source, [to_bronze(spark.createDataFrame(rows, schema), "e", "R", params_from={"day": "day"}, **{**STAMP, "run_id": run})])
         raw = spark.read.parquet(source).schema
         ingest.upsert_slices(ingest.file_stream(spark, source, raw, max_files=1), sink, log, ["_endpoint", "_param_hash"]).awaitTermination()
-        return sorted((r.day, r.v, r._run_id) for r in spark.read.parquet(sink).collect())
+        return sorted((r.day, r.v, r._run_id) for r in read_slices(spark, sink, raw).collect())
 
     assert land([("a", 1), ("b", 2)], "r1") == [("a", "1", "r1"), ("b", "2", "r1")]
     assert land([("b", 3)], "r2") == [("a", "1", "r1"), ("b", "3", "r2")]
-
-
-@pytest.mark.parametrize("fold_limit", [10**6, 10])
-def test_rating_stream_equals_batch(spark, fold_limit):
-    rows = sorted(make_games(("x", "y"), games=18), key=lambda r: (r[2], r[1], r[5]))
-    root = new_path(spark, "elo")
-    # the cut falls inside a game: its first side waits for the second
-    cuts = [rows[:33], rows[33:]]
-    for i, part in enumerate(cuts):
-        ratings.rate_batch(spark.createDataFrame(part, SCHEMA), i, root, "league", fold_limit=fold_limit)
-        ratings.rate_batch(spark.createDataFrame(part, SCHEMA), i, root, "league", fold_limit=fold_limit)
-    check(ratings.read_output(spark, root, "ratings").collect(), brute(rows))
-    assert ratings.read_output(spark, root, "unrated").isEmpty()
-
-
-def test_rating_stream_from_files_sets_late_games_aside(spark):
-    rows = sorted(make_games(("x",), games=12), key=lambda r: (r[2], r[1], r[5]))
-    late = rows[:2]
-    source, root, log = (new_path(spark, n) for n in ("src", "elo", "log"))
-    schema = spark.createDataFrame([], SCHEMA).schema
-    for part in (rows[2:10], rows[10:], late):
-        drop_files(spark, source, [spark.createDataFrame(part, SCHEMA)])
-        ratings.rate_stream(ingest.file_stream(spark, source, schema), root, log, "league").awaitTermination()
-    check(ratings.read_output(spark, root, "ratings").collect(), brute(rows[2:]))
-    unrated = ratings.read_output(spark, root, "unrated").collect()
-    assert [(r.game_id, r.reason) for r in unrated] == [(late[0][1], "late")]
-
-
-def test_state_carries_over(spark):
-    rows = sorted(make_games(("x",), games=20), key=lambda r: (r[2], r[1], r[5]))
-    first, second = spark.createDataFrame(rows[:20], SCHEMA), spark.createDataFrame(rows[20:], SCHEMA)
-    rated = elo.rate_games(elo.ratable_games(elo.pair_games(first, "league")))
-    state = elo.state_after(rated)
-    after = elo.rate_games(elo.ratable_games(elo.pair_games(second, "league")), state=state)
-    check(elo.ratings_per_side(rated.unionByName(after), elo.EloParams()).collect(), brute(rows))
-    assert state.where(F.col("last_date") > F.lit(datetime.date(2030, 1, 1))).isEmpty()

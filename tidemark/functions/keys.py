@@ -65,7 +65,7 @@ def _quoted(text: Column) -> Column:
             )
         )
 
-    plain = text.rlike(r'^[ !#-\[\]-~]*$')
+    plain = text.rlike(r'\A[ !#-\[\]-~]*\z')
     chars = F.filter(F.split(text, ""), lambda ch: ch != "")
     body = F.when(plain, text).otherwise(F.array_join(F.transform(chars, escape), ""))
     return F.concat(F.lit('"'), body, F.lit('"'))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rates
-from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, limit_for, running, sequence_within
+from tidemark.operators.ordered import Running, framed, running
 
 OPPONENT_INPUTS = ("points", "fgm", "fga", "fg3m", "fta", "ftm", "oreb", "dreb", "tov")
 
@@ -50,20 +50,14 @@ def rolling_splits(
     order: Sequence[str],
     measure: str,
     spans: Sequence[int] = (5, 10),
-    *,
-    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Averages over the last n rows of the entity and over its period so far, the row included."""
-    limit = limit_for(df, [entity], limit)
     ranking = [F.col(c) for c in order]
-    longest = max(spans)
     recent = framed(
         df,
         [entity],
         ranking,
         lambda w: [F.avg(measure).over(w.rowsBetween(1 - n, 0)).alias(f"{measure}_last{n}") for n in spans],
-        back=longest - 1,
-        limit=limit,
     )
     total = running(
         recent,
@@ -73,7 +67,6 @@ def rolling_splits(
             "_sum": Running("sum", F.col(measure).cast("double")),
             "_n": Running("sum", F.when(F.col(measure).isNotNull(), 1).otherwise(0)),
         },
-        limit=limit,
     )
     return total.withColumn(f"{measure}_period", rates.ratio(F.col("_sum"), F.col("_n"))).drop("_sum", "_n")
 
@@ -87,11 +80,8 @@ def point_in_time_features(
     measure: str,
     won: str,
     span: int = 5,
-    *,
-    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Features known before the row: rest days, prior rolling average, record against the opponent."""
-    limit = limit_for(df, [entity], limit)
     ranking = [F.col(c) for c in order]
     prior = framed(
         df,
@@ -101,8 +91,6 @@ def point_in_time_features(
             F.date_diff(F.col(date), F.lag(date).over(w)).alias("rest_days"),
             F.avg(measure).over(w.rowsBetween(-span, -1)).alias(f"{measure}_prior{span}"),
         ],
-        back=span,
-        limit=limit,
     )
     wins = F.coalesce(F.col(won), F.lit(0)).cast("long")
     meetings = running(
@@ -110,7 +98,6 @@ def point_in_time_features(
         [entity, opponent],
         ranking,
         {"_met": Running("sum", F.lit(1)), "_won": Running("sum", wins)},
-        limit=limit,
     )
     # the running values include the row itself, which is not known beforehand
     return meetings.select(
@@ -127,7 +114,7 @@ def zone_efficiency(df: DataFrame, entity: str, zone: str, made: str, value: str
     """
     totals = df.groupBy(entity, zone).agg(
         F.count(F.lit(1)).alias("attempts"),
-        F.sum(F.col(made).cast("long")).alias("makes"),
+        F.count_if(F.col(made)).alias("makes"),
         F.sum(F.when(F.col(made), F.col(value)).otherwise(0)).alias("points"),
     )
     base = totals.groupBy(zone).agg(
@@ -160,50 +147,23 @@ def zscore_impute(df: DataFrame, group: str, measure: str) -> DataFrame:
     )
 
 
-def stint_intervals(
-    df: DataFrame, game: str, member: str, start: str, stop: str, *, limit: int | None = GROUP_LIMIT
-) -> DataFrame:
+def stint_intervals(df: DataFrame, game: str, member: str, start: str, stop: str) -> DataFrame:
     """Stretches of a game with an unchanged set of members, as sorted id arrays.
 
-    Every change point gets its number within the game, so a presence becomes a
-    range of stretch numbers and is expanded to just the stretches it covers.
-    Games of moderate size pass through one shuffle.
+    Every change point gets its number within the game, so a presence becomes a range of numbers and is
+    expanded to rows of the stretches it covers. A game's change points, and a stretch's
+    members, are bounded by their meaning.
     """
     present = df.where(F.col(start) < F.col(stop)).select(game, member, start, stop)
     ends = present.withColumn("_point", F.explode(F.array(start, stop)))
-    limit = limit_for(ends, [game], limit)
-    at = [F.col("_point")]
-    if limit is None:
-        numbered = ends.withColumn("_no", F.dense_rank().over(Window.partitionBy(game).orderBy(*at)))
-    else:
-        points = ends.select(game, "_point").distinct()
-        numbers = sequence_within(points, [game], at, "_no", limit=limit)
-        numbered = ends.join(numbers, [game, "_point"])
+    numbered = ends.withColumn("_no", F.dense_rank().over(Window.partitionBy(game).orderBy("_point")))
     spans = numbered.groupBy(game, member, start, stop).agg(F.min("_no").alias("_from"), F.max("_no").alias("_to"))
-    # a presence marks the times of both its ends and its member in the stretches between
-    nothing = F.lit(None)
-    marks = F.array(
-        F.struct(F.col("_from").alias("no"), F.col(start).alias("point"), nothing.alias("member")),
-        F.struct(F.col("_to").alias("no"), F.col(stop).alias("point"), nothing.alias("member")),
-    )
-    inside = F.transform(
-        F.sequence("_from", F.col("_to") - 1),
-        lambda no: F.struct(no.alias("no"), nothing.alias("point"), F.col(member).alias("member")),
-    )
-    stretches = (
-        spans.select(game, F.explode(F.concat(marks, inside)).alias("_m"))
-        .groupBy(game, F.col("_m.no").alias("stint_no"))
-        .agg(F.max("_m.point").alias("stint_start"), F.array_sort(F.collect_set("_m.member")).alias("lineup"))
-    )
-    closed = framed(
-        stretches,
-        [game],
-        [F.col("stint_no")],
-        lambda w: [F.lead("stint_start").over(w).alias("stint_end")],
-        ahead=1,
-        limit=limit,
-    )
-    return closed.where(F.size("lineup") > 0).select(game, "stint_no", "stint_start", "stint_end", "lineup")
+    inside = spans.select(game, F.explode(F.sequence("_from", F.col("_to") - 1)).alias("stint_no"), F.col(member).alias("_member"))
+    lineups = inside.groupBy(game, "stint_no").agg(F.array_sort(F.collect_set("_member")).alias("lineup"))
+    points = numbered.groupBy(game, F.col("_no").alias("stint_no")).agg(F.first("_point").alias("stint_start"))
+    closed = framed(points, [game], [F.col("stint_no")], lambda w: [F.lead("stint_start").over(w).alias("stint_end")])
+    found = closed.join(lineups.withColumnsRenamed({game: "_game", "stint_no": "_no"}), F.col(game).eqNullSafe(F.col("_game")) & (F.col("stint_no") == F.col("_no")))
+    return found.where(F.size("lineup") > 0).select(game, "stint_no", "stint_start", "stint_end", "lineup")
 
 
 # A stretch no longer decides the game from these margins on, by period,

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import surrogate_key
-from tidemark.operators.ordered import GROUP_LIMIT, Running, framed, largest_group, limit_for, running
+from tidemark.operators.ordered import Running, framed, running
 
-# Versions of one key up to which a plain equi-join on the key stays small.
-JOINABLE_VERSIONS = 32
+# Seconds of one slice of a key's facts in the merge with its versions.
+SLICE_SECONDS = 30 * 86400
 
 
 def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, check: Sequence[str], ts: Column) -> DataFrame:
@@ -51,24 +51,17 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, check:
     return closed.unionByName(rows)
 
 
-def scd2_history(
-    log: DataFrame, key: str, check: Sequence[str], ts: str, *, limit: int | None = GROUP_LIMIT
-) -> DataFrame:
+def scd2_history(log: DataFrame, key: str, check: Sequence[str], ts: str) -> DataFrame:
     """The versions that repeated snapshots of an ordered change log would leave."""
-    limit = limit_for(log, [key], limit)
     state = F.struct(*check)
     flagged = framed(
         log,
         [key],
         [F.col(ts)],
         lambda w: [F.lag(state).over(w).alias("_before"), F.lag(ts).over(w).isNull().alias("_first")],
-        back=1,
-        limit=limit,
     )
     opened = flagged.where(F.col("_first") | ~state.eqNullSafe(F.col("_before"))).drop("_before", "_first")
-    versions = framed(
-        opened, [key], [F.col(ts)], lambda w: [F.lead(ts).over(w).alias("valid_to")], ahead=1, limit=limit
-    )
+    versions = framed(opened, [key], [F.col(ts)], lambda w: [F.lead(ts).over(w).alias("valid_to")])
     return versions.withColumnRenamed(ts, "valid_from")
 
 
@@ -84,37 +77,23 @@ def scd2_dim(versions: DataFrame, key: str, sk: str) -> DataFrame:
     )
 
 
-def asof_lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    ts: str,
-    take: str,
-    *,
-    out: str | None = None,
-    joinable: int = JOINABLE_VERSIONS,
-    limit: int | None = GROUP_LIMIT,
-) -> DataFrame:
+def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, take: str, *, out: str | None = None) -> DataFrame:
     """Append the value of the version that was valid at the row's time.
 
-    Few versions per key (checked) are joined on the key and filtered by time.
-    Otherwise facts and versions are merged in time order and each fact reads the
-    latest version start at or before it, so no (fact, version) pairs arise.
+    Facts and versions are merged in time order, slice by slice, and each fact reads the version that
+    started last at or before it (of several that started then, the one that ends last, an open one first), so no (fact,
+    version) pairs arise. A fact gets NULL if that version has ended by its time, even where an
+    older version is still open. NULL keys and times get NULL.
     """
     out = out or take
-    if largest_group(dim, [key]) <= joinable:
-        side = dim.select(
-            F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col(take).alias(out)
-        )
-        when = F.col(ts)
-        valid = (when >= F.col("_from")) & (F.col("_to").isNull() | (when < F.col("_to")))
-        return fact.join(side, (fact[key] == side["_key"]) & valid, "left").drop("_key", "_from", "_to")
-
     type_of = dict(fact.dtypes)
     version = F.struct(
-        F.col("valid_from").alias("start"), F.col("valid_to").alias("stop"), F.col(take).alias("value")
+        F.col("valid_from").alias("start"),
+        F.col("valid_to").isNull().alias("open"),
+        F.col("valid_to").alias("stop"),
+        F.col(take).alias("value"),
     )
-    starts = dim.where(F.col(key).isNotNull()).select(
+    starts = dim.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
         F.col(key).cast(type_of[key]).alias("_key"),
         F.col("valid_from").alias("_at"),
         F.lit(0).alias("_late"),
@@ -135,7 +114,7 @@ def asof_lookup(
         ["_key"],
         [F.col("_at"), F.col("_late"), F.col("_tie")],
         {"_seen": Running("max", F.col("_version"))},
-        limit=limit,
+        slice_by=F.floor(F.unix_seconds(F.col("_at").cast("timestamp")) / F.lit(SLICE_SECONDS)),
     ).where("_late = 1")
     alive = F.col("_seen.stop").isNull() | (F.col("_at") < F.col("_seen.stop"))
-    return merged.select("_fact.*", F.when(alive & F.col("_key").isNotNull(), F.col("_seen.value")).alias(out))
+    return merged.select("_fact.*", F.when(alive & F.col("_key").isNotNull() & F.col("_at").isNotNull(), F.col("_seen.value")).alias(out))

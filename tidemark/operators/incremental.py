@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import GROUP_LIMIT, sequence_within
-
-# Fixed value: high-water mark of an empty target.
-BEFORE_ALL = "1900-01-01"
+from tidemark.operators.ordered import same_keys, sequence_within
+from tidemark.operators.staging import dedupe_latest
 
 
 def incremental_merge(
@@ -19,20 +17,23 @@ def incremental_merge(
     """The target after merging source rows newer than its latest date, by key.
 
     The comparison is strict, so rows arriving late for the latest date are missed
-    unless ``lookback_days`` reaches back over them. The mark is a scalar subquery,
-    pushed into the source's scan as a filter.
+    unless ``lookback_days`` reaches back over them. Without a mark, in an empty target or one
+    without dates, all rows are new, and rows without a date always are. Of several new rows of a key the
+    latest stays, ties by a hash of the row. NULL keys are keys. The mark is a
+    scalar subquery, pushed into the source's scan as a filter.
     """
-    mark = target.agg(
-        F.date_sub(F.coalesce(F.max(F.col(date).cast("date")), F.lit(BEFORE_ALL).cast("date")), lookback_days).alias("m")
-    )
-    fresh = source.where(F.col(date).cast("date") > mark.scalar())
-    kept = target.join(fresh.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(fresh)
+    mark = target.agg(F.date_sub(F.max(F.col(date).cast("date")), lookback_days).alias("m"))
+    day = F.col(date).cast("date")
+    fresh = source.where(day.isNull() | mark.scalar().isNull() | (day > mark.scalar()))
+    fresh = dedupe_latest(fresh, keys, [F.col(date).desc_nulls_last()])
+    new = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    kept = target.join(new, same_keys(target, new, [(k, f"_new_{k}") for k in keys]), "left_anti")
+    return kept.select(*target.columns).unionByName(fresh)
 
 
-def temporal_split(df: DataFrame, entity: str, order: Sequence[str], first: int, *, limit: int | None = GROUP_LIMIT) -> DataFrame:
+def temporal_split(df: DataFrame, entity: str, order: Sequence[str], first: int) -> DataFrame:
     """Tag each entity's first rows as 'train' and the later ones as 'test'."""
-    ranked = sequence_within(df, [entity], [F.col(c) for c in order], "_nth", limit=limit)
+    ranked = sequence_within(df, [entity], [F.col(c) for c in order], "_nth")
     return ranked.withColumn("split", F.when(F.col("_nth") <= first, "train").otherwise("test")).drop("_nth")
 
 

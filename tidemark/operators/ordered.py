@@ -1,16 +1,14 @@
-"""Ordered computations within groups that stay spread out when one group is huge.
-
-A window hands each group to one task. That is the right plan while every group
-is of moderate size, which one column-pruned, map-side combined count proves.
-Rows of the groups beyond the limit take another way with the same result: they
-are range-partitioned by (keys, order), so a group spans many partitions, each
-partition is handled on its own, and small per-partition totals carry the state
-from one to the next.
+"""Ordered computations within groups.
+
+A group is handed to one task where its size is bounded by its meaning: the versions
+of an entity, the events of a game, the games of a team. Where it is not, the caller names
+``slices``: columns that cut the order into consecutive parts, such as the month of a
+timestamp. Each slice is then handled on its own and one small total for each
+slice carries the state over. Both are one lazy plan, whatever the data.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -18,11 +16,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
-
-# Rows of one group that a single task may sort; beyond it a group is split.
-GROUP_LIMIT = 2_000_000
-
 
 class Running(NamedTuple):
     """A running aggregate from the start of the group up to the row: 'sum' or 'max'."""
@@ -36,38 +29,8 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; 0 for an empty table."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def limit_for(df: DataFrame, keys: Sequence[str], limit: int | None) -> int | None:
-    """None if no group exceeds the limit, else the limit.
-
-    For operators with several ordered steps whose groups are all parts of these:
-    one check then stands for the checks of every step.
-    """
-    if limit is None or df.groupBy(*keys).count().where(F.col("count") > limit).isEmpty():
-        return None
-    return limit
-
-
-def _split(df: DataFrame, keys: Sequence[str], limit: int | None):
-    """(rows of ordinary groups, rows of huge groups, number of the latter), or None if there are none."""
-    if limit is None:
-        return None
-    counts = df.groupBy(*keys).count().where(F.col("count") > limit)
-    rows = counts.agg(F.sum("count")).first()[0]
-    if not rows:
-        return None
-    # at most (all rows / limit) keys; the planner broadcasts them if their size allows
-    huge = cut_lineage(counts.select(*[F.col(k).alias(f"_huge_{k}") for k in keys]))
-    on = same_keys(df, huge, [(k, f"_huge_{k}") for k in keys])
-    return df.join(huge, on, "left_anti"), df.join(huge, on, "left_semi"), rows
-
-
-def _running_aggregate(measure: Running, window: WindowSpec) -> Column:
-    return {"sum": F.sum, "max": F.max}[measure.kind](measure.value).over(window)
+def _aggregate(kind: str, value: Column) -> Column:
+    return {"sum": F.sum, "max": F.max}[kind](value)
 
 
 def _combine(kind: str, before: Column, here: Column) -> Column:
@@ -76,107 +39,42 @@ def _combine(kind: str, before: Column, here: Column) -> Column:
     return F.greatest(before, here)
 
 
-def _running_spread(df, keys, order, measures: dict[str, Running], pieces: int) -> DataFrame:
-    # the stored copy pins the partition number, which then names a bounded slice of the sort order
-    pinned = cut_lineage(
-        df.select("*", *[m.value.alias(f"_v_{out}") for out, m in measures.items()])
-        .repartitionByRange(pieces, *keys, *order)
-        .withColumn("_piece", F.spark_partition_id())
-    )
-    values = {out: Running(m.kind, F.col(f"_v_{out}")) for out, m in measures.items()}
-    here = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = pinned.select("*", *[_running_aggregate(m, here).alias(f"_l_{out}") for out, m in values.items()])
+def running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: dict[str, Running], *, slice_by: Column | None = None
+) -> DataFrame:
+    """Append running aggregates over each group in the given order.
 
-    totals = pinned.groupBy(*keys, "_piece").agg(
-        *[{"sum": F.sum, "max": F.max}[m.kind](m.value).alias(f"_t_{out}") for out, m in values.items()]
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    ``slice_by`` must never fall from one row of the order to the next; a group then needs
+    one row for each of its slices in one task, and one slice's rows in another.
+    """
+    if slice_by is None:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[_aggregate(m.kind, m.value).over(window).alias(out) for out, m in measures.items()])
+    sliced = df.select("*", slice_by.alias("_slice"), *[m.value.alias(f"_v_{out}") for out, m in measures.items()])
+    here = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.select("*", *[_aggregate(m.kind, F.col(f"_v_{out}")).over(here).alias(f"_l_{out}") for out, m in measures.items()])
+    totals = sliced.groupBy(*keys, "_slice").agg(*[_aggregate(m.kind, F.col(f"_v_{out}")).alias(f"_t_{out}") for out, m in measures.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_piece").alias("_k_piece"),
-        *[_running_aggregate(Running(m.kind, F.col(f"_t_{out}")), earlier).alias(f"_b_{out}") for out, m in values.items()],
+        F.col("_slice").alias("_k_slice"),
+        *[_aggregate(m.kind, F.col(f"_t_{out}")).over(earlier).alias(f"_b_{out}") for out, m in measures.items()],
     )
-    on = same_keys(local, before, [(k, f"_k_{k}") for k in keys] + [("_piece", "_k_piece")])
-    joined = local.join(before, on)
-    return joined.select(
+    on = same_keys(local, before, [(k, f"_k_{k}") for k in keys] + [("_slice", "_k_slice")])
+    return local.join(before, on).select(
         *[F.col(c) for c in df.columns],
-        *[_combine(m.kind, F.col(f"_b_{out}"), F.col(f"_l_{out}")).alias(out) for out, m in values.items()],
+        *[_combine(m.kind, F.col(f"_b_{out}"), F.col(f"_l_{out}")).alias(out) for out, m in measures.items()],
     )
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    measures: dict[str, Running],
-    *,
-    limit: int | None = GROUP_LIMIT,
-) -> DataFrame:
-    """Append running aggregates over each group in the given order.
-
-    ``limit=None`` skips the size check, for groups that are bounded by their meaning.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-
-    def ordinary(part: DataFrame) -> DataFrame:
-        return part.select("*", *[_running_aggregate(m, window).alias(out) for out, m in measures.items()])
+def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """Append 1, 2, 3, … over each group in the given order; groups are bounded by their meaning."""
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
-    split = _split(df, keys, limit)
-    if split is None:
-        return ordinary(df)
-    rest, huge, rows = split
-    spread = _running_spread(huge, keys, order, measures, pieces=2 * math.ceil(rows / limit))
-    return ordinary(rest).unionByName(spread)
 
-
-def sequence_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, *, limit: int | None = GROUP_LIMIT
-) -> DataFrame:
-    """Append 1, 2, 3, … over each group in the given order."""
-    return running(df, keys, order, {out: Running("sum", F.lit(1))}, limit=limit).withColumn(
-        out, F.col(out).cast("int")
-    )
-
-
-def framed(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    columns: Callable[[WindowSpec], Sequence[Column]],
-    *,
-    back: int = 0,
-    ahead: int = 0,
-    limit: int | None = GROUP_LIMIT,
-) -> DataFrame:
-    """Append window columns that look at most ``back`` rows up and ``ahead`` rows down.
+def framed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Callable[[WindowSpec], Sequence[Column]]) -> DataFrame:
+    """Append window columns over each group; groups are bounded by their meaning.
 
     ``columns`` gets the ordered window and may narrow it with ``rowsBetween``.
-    Huge groups are cut into numbered blocks, each with copies of the few
-    neighbouring rows its edges look at.
     """
-    if back < 0 or ahead < 0:
-        raise ValueError("back and ahead count rows and cannot be negative")
-    window = Window.partitionBy(*keys).orderBy(*order)
-    split = _split(df, keys, limit)
-    if split is None:
-        return df.select("*", *columns(window))
-    rest, huge, rows = split
-    size = max(limit // 2, back, ahead, 1)
-    numbered = _running_spread(
-        huge, keys, order, {"_n": Running("sum", F.lit(1))}, pieces=2 * math.ceil(rows / limit)
-    )
-    place = F.col("_n") - 1
-    block, offset = F.floor(place / size), place % size
-    copies = [F.struct(block.alias("block"), F.lit(True).alias("own"))]
-    if back:
-        copies.append(F.when(offset >= size - back, F.struct((block + 1).alias("block"), F.lit(False).alias("own"))))
-    if ahead:
-        copies.append(F.when(offset < ahead, F.struct((block - 1).alias("block"), F.lit(False).alias("own"))))
-    blocked = numbered.withColumn("_copy", F.explode(F.filter(F.array(*copies), lambda c: c.isNotNull())))
-    blocked = blocked.withColumn("_block", F.col("_copy.block"))
-    spread = (
-        blocked.select("*", *columns(Window.partitionBy(*keys, "_block").orderBy("_n")))
-        .where(F.col("_copy.own"))
-        .drop("_n", "_copy", "_block")
-    )
-    return rest.select("*", *columns(window)).unionByName(spread)
+    return df.select("*", *columns(Window.partitionBy(*keys).orderBy(*order)))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rates import ratio
@@ -98,15 +98,16 @@ def profile(df: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(period).agg(rows.alias("n"), *measures)
 
 
-def profile_drift(df: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
-    """The profile with its change against the period before.
+def profile_drift(df: DataFrame, period: str, columns: Sequence[str], before: Column) -> DataFrame:
+    """The profile with its change against the period ``before`` (an expression of ``period``).
 
-    The window runs over one row per period, not over the table.
+    Changes are NULL where that period has no rows. Periods are joined, so that a fine period fits too.
     """
     stats = profile(df, period, columns)
-    window = Window.orderBy(period)
     watched = ["n", *[f"{c}_{m}" for c in columns for m in ("null_rate", "mean")]]
-    return stats.select(*stats.columns, *[(F.col(c) - F.lag(c).over(window)).alias(f"{c}_change") for c in watched])
+    earlier = stats.select(F.col(period).alias("_period"), *[F.col(c).alias(f"_{c}") for c in watched])
+    joined = stats.withColumn("_before", before).join(earlier, F.col("_before") == F.col("_period"), "left")
+    return joined.select(*stats.columns, *[(F.col(c) - F.col(f"_{c}")).alias(f"{c}_change") for c in watched])
 
 
 def quarantine_split(df: DataFrame, expectations: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import GROUP_LIMIT, limit_for, sequence_within
+from tidemark.operators.ordered import sequence_within
 
 
 class Field(NamedTuple):
@@ -51,18 +51,16 @@ def event_sequence(
     keys: Sequence[str],
     order: Sequence[str],
     out: str = "action_seq",
-    *,
-    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Drop identical rows, then number the rows that share a natural key.
 
-    The remaining columns break ties after ``order``, so the numbering is unique.
+    The remaining columns break ties after ``order``, so the numbering is unique. Rows are hashed by
+    the key once, for both steps.
     """
-    limit = limit_for(df, keys, limit)
-    distinct = df.dropDuplicates()
+    distinct = df.repartition(*keys).dropDuplicates()
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranking = [F.col(c).asc_nulls_last() for c in [*order, *rest]]
-    return sequence_within(distinct, keys, ranking, out, limit=limit)
+    return sequence_within(distinct, keys, ranking, out)
 
 
 def drop_rollups(df: DataFrame, label: str, rollup: str, required: str) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import NULL_KEY
-from tidemark.session import written
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -29,7 +28,7 @@ def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
-# --- contests: orders shared by exactly two suppliers -------------------------
+# --- contests: an order's first supplier against all its others ----------------
 
 _SIDE_COUNTS = {
     "points": "qty",
@@ -45,30 +44,34 @@ _SIDE_COUNTS = {
 
 
 def sides_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per side of a contest, from line rows.
+    """One row per side of a contest, from all line rows.
 
-    Lines collapse per (order, supplier) first; both sides then meet in one
-    aggregate per order, so no table is joined to itself.
+    The lines of an order's smallest supplier are the home side, those of its other
+    suppliers the away side, named by the largest of them. Orders of one supplier give a
+    single side without an opponent. Lines collapse per (order, supplier) first; both sides
+    then meet in one aggregate per order, so no table is joined to itself.
     """
 
     def amount(test: Column) -> Column:
         return F.sum(F.when(test, F.col("l_quantity")).otherwise(0.0))
 
-    totals = lines.groupBy("l_orderkey", "l_suppkey").agg(
-        F.sum("l_quantity").alias("qty"),
-        amount(F.col("l_returnflag") == "N").alias("n_qty"),
-        amount(F.col("l_returnflag") == "A").alias("a_qty"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col("l_linestatus") == "O").alias("o_lines"),
-        F.count_if(F.col("l_linestatus") == "F").alias("f_lines"),
-        F.count_if(F.col("l_discount") > 0.05).alias("d_lines"),
-    )
-    row = F.struct(*[c for c in totals.columns if c != "l_orderkey"])
-    pairs = (
-        totals.groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("n"), F.min_by(row, "l_suppkey").alias("h"), F.max_by(row, "l_suppkey").alias("a"))
-        .where("n = 2")
+    measures = {
+        "qty": F.sum("l_quantity"),
+        "n_qty": amount(F.col("l_returnflag") == "N"),
+        "a_qty": amount(F.col("l_returnflag") == "A"),
+        "lines": F.count(F.lit(1)),
+        "o_lines": F.count_if(F.col("l_linestatus") == "O"),
+        "f_lines": F.count_if(F.col("l_linestatus") == "F"),
+        "d_lines": F.count_if(F.col("l_discount") > 0.05),
+    }
+    totals = lines.groupBy("l_orderkey", "l_suppkey").agg(*[m.alias(k) for k, m in measures.items()])
+    both = totals.groupBy("l_orderkey").agg(
+        F.min_by(F.struct("l_suppkey", *measures), "l_suppkey").alias("h"),
+        F.max("l_suppkey").alias("last"),
+        *[F.sum(k).alias(f"all_{k}") for k in measures],
     )
+    away = F.struct(F.col("last").alias("l_suppkey"), *[(F.col(f"all_{k}") - F.col(f"h.{k}")).alias(k) for k in measures])
+    pairs = both.select("l_orderkey", "h", F.when(F.col("last") != F.col("h.l_suppkey"), away).alias("a"))
     games = pairs.join(orders, pairs["l_orderkey"] == orders["o_orderkey"])
 
     def side(own: str, other: str, home: bool) -> Column:
@@ -95,7 +98,7 @@ def sides_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat(kind, year.cast("string")).alias("season_id"),
         F.col("o_orderpriority").alias("league"),
         (240 + 25 * (F.col("l_orderkey") % 3)).cast("int").alias("team_minutes"),
-        F.explode(F.array(side("h", "a", True), side("a", "h", False))).alias("s"),
+        F.explode(F.filter(F.array(side("h", "a", True), side("a", "h", False)), lambda s: s.team_id.isNotNull())).alias("s"),
     ).select("*", "s.*").drop("s")
 
 
@@ -103,26 +106,20 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sides_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
 
 
-def written_sides(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The sides as a written table, for operators that check group sizes before they run."""
-    return written(sides(spark, sf_dir).select(*(columns or ["*"])), "sides")
-
-
 def sides_sql(lines: str = "lineitem") -> str:
     counts = ", ".join(f"cast({('t.' + e) if ' ' not in e else '2 * t.lines'} as int) as {n}" for n, e in _SIDE_COUNTS.items())
     return f"""
+    order_teams as (
+        select l_orderkey as k, min(l_suppkey) as h, max(l_suppkey) as a from {lines} group by l_orderkey),
     line_totals as (
-        select l_orderkey, l_suppkey, sum(l_quantity) as qty,
+        select l_orderkey, case when l_suppkey = h then h else a end as l_suppkey, sum(l_quantity) as qty,
                sum(case when l_returnflag = 'N' then l_quantity else 0 end) as n_qty,
                sum(case when l_returnflag = 'A' then l_quantity else 0 end) as a_qty,
                count(*) as lines,
                count(*) filter (where l_linestatus = 'O') as o_lines,
                count(*) filter (where l_linestatus = 'F') as f_lines,
                count(*) filter (where l_discount > 0.05) as d_lines
-        from {lines} group by l_orderkey, l_suppkey),
-    contests as (
-        select l_orderkey, min(l_suppkey) as h, max(l_suppkey) as a
-        from line_totals group by l_orderkey having count(*) = 2),
+        from {lines} join order_teams on l_orderkey = k group by l_orderkey, case when l_suppkey = h then h else a end),
     sides as (
         select cast(t.l_orderkey as varchar) as game_id, cast(o.o_orderdate as date) as game_date,
                cast(year(o.o_orderdate) as int) as season_start_year,
@@ -133,8 +130,8 @@ def sides_sql(lines: str = "lineitem") -> str:
                {counts},
                case when t.qty > u.qty then 1 when t.qty < u.qty then 0 end as win_flag
         from line_totals t
-        join contests c on t.l_orderkey = c.l_orderkey
-        join line_totals u on u.l_orderkey = t.l_orderkey and u.l_suppkey <> t.l_suppkey
+        join order_teams c on t.l_orderkey = c.k
+        left join line_totals u on u.l_orderkey = t.l_orderkey and u.l_suppkey <> t.l_suppkey
         join orders o on o.o_orderkey = t.l_orderkey)"""
 
 

@@ -4,21 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import calibration, efficiency, elo, incremental, marts, similarity, staging
+from tidemark.operators import calibration, efficiency, incremental, marts, similarity, staging
 from tidemark.plans.inputs import (
     CAREERS_SQL,
     FORECASTS_SQL,
     SIDES_SQL,
     careers,
     forecasts,
-    key_sql,
     rounded,
     sides,
     table,
-    written_sides,
 )
 from tidemark.plans.typing_queries import ZONED_SHOTS_SQL, zoned_shots
-from tidemark.functions.keys import surrogate_key
+from tidemark.functions.ratings import win_expectation
 from tidemark.session import written
 
 # --- tenure and cohorts ------------------------------------------------------------
@@ -210,85 +208,34 @@ select season, round(sum(value), 6) as weight,
        round(sum(value * abs(win_prob - won)) / sum(value), 6) as mae
 from forecasts group by season"""
 
-# --- ratings -------------------------------------------------------------------------
+# --- expectations ------------------------------------------------------------------
 
 
-def contests(spark, sf_dir):
-    return written_sides(spark, sf_dir).withColumns(
-        {"team_game_sk": surrogate_key("game_id", "team_id"), "season_key": surrogate_key("season_id")}
+def elo_calibration(spark, sf_dir):
+    """Expectations of home sides under given strengths, the suppliers' balances, scored per season."""
+    teams = table(spark, sf_dir, "supplier")
+    own = teams.select(F.col("s_suppkey").alias("team_id"), (1500 + F.col("s_acctbal") / 20).alias("own"))
+    other = teams.select(F.col("s_suppkey").alias("opponent_team_id"), (1500 + F.col("s_acctbal") / 20).alias("other"))
+    games = sides(spark, sf_dir).where("is_home and win_flag is not null").join(own, "team_id").join(other, "opponent_team_id")
+    scored = games.select(
+        F.round(win_expectation(F.col("own") + 100.0, F.col("other")), 4).alias("p"), F.col("win_flag").alias("won"), F.col("season_start_year").alias("season")
     )
+    return rounded(calibration.calibration_summary(scored, "p", "won", by=["season"]), 6, *_MEASURES)
 
 
-def elo_ratings(spark, sf_dir):
-    return elo.elo_ratings(contests(spark, sf_dir), league="league")
-
-
-def elo_calibration(spark, sf_dir):
-    """The pre-game expectations of home sides, scored per season."""
-    rated = elo.elo_ratings(contests(spark, sf_dir), league="league").where("is_home and won is not null")
-    by_year = rated.withColumn("season", F.year("game_date"))
-    return rounded(calibration.calibration_summary(by_year, "win_expected", "won", by=["season"]), 6, *_MEASURES)
-
-
-# the recurrence as a recursive query: one step per game of a league, ratings in a map
-def elo_sql(league="a.league"):
-    return f"""
-with recursive {SIDES_SQL},
-games as (
-    select {league} as league, a.game_id, a.game_date, a.season_start_year as y, a.season_id, a.team_id as ta, b.team_id as tb,
-           a.is_home as ha, b.is_home as hb, a.points as pa, b.points as pb, a.win_flag as wa, b.win_flag as wb,
-           case when a.is_home then 100.0::double else 0 end as xa, case when b.is_home then 100.0::double else 0 end as xb,
-           row_number() over (partition by {league} order by a.game_date, a.game_id) as n
-    from sides a join sides b on a.game_id = b.game_id and a.team_id < b.team_id),
-fold as (
-    select distinct league, 0::bigint as n, map([]::bigint[], []::struct(r double, y int)[]) as state,
-           null::double as ra, null::double as rb, null::double as ea, null::double as eb, null::double as da,
-           null::double as db
-    from games
-    union all
-    select league, n, map_concat(state, map([ta, tb], [{{'r': ra + da, 'y': y}}, {{'r': rb + db, 'y': y}}])),
-           ra, rb, ea, eb, da, db
-    from (
-        select *,
-               case when wa is null then 0 else 20 * ln(abs(pa - pb) + 1)
-                   * (2.2::double / (abs(ra + xa - rb) * 0.001::double + 2.2::double)) * (wa - ea) end as da,
-               case when wb is null then 0 else 20 * ln(abs(pa - pb) + 1)
-                   * (2.2::double / (abs(rb + xb - ra) * 0.001::double + 2.2::double)) * (wb - eb) end as db
-        from (
-            select *, 1 / (1 + pow(10::double, (rb + (100 - xa) - (ra + xa)) / 400.0::double)) as ea,
-                   1 / (1 + pow(10::double, (ra + (100 - xb) - (rb + xb)) / 400.0::double)) as eb
-            from (
-                select f.league, g.n, f.state, g.ta, g.tb, g.y, g.pa, g.pb, g.wa, g.wb, g.xa, g.xb,
-                       case when f.state[g.ta] is null then 1500
-                            when f.state[g.ta].y <> g.y then 1500 + 0.75::double * (f.state[g.ta].r - 1500)
-                            else f.state[g.ta].r end as ra,
-                       case when f.state[g.tb] is null then 1500
-                            when f.state[g.tb].y <> g.y then 1500 + 0.75::double * (f.state[g.tb].r - 1500)
-                            else f.state[g.tb].r end as rb
-                from fold f join games g on g.league = f.league and g.n = f.n + 1)))),
-per_side as (
-    select g.league, g.game_id, g.game_date, g.season_id, ta as team_id, tb as opponent_team_id, ha as is_home, ra as pre,
-           rb as opp, ea as e, wa as won, pa - pb as margin, da as change
-    from games g join fold f on f.league = g.league and f.n = g.n
-    union all
-    select g.league, g.game_id, g.game_date, g.season_id, tb, ta, hb, rb, ra, eb, wb, pb - pa, db
-    from games g join fold f on f.league = g.league and f.n = g.n),
-rated as (
-    select league, {key_sql("game_id", "team_id")} as team_game_sk, game_id, game_date,
-           {key_sql("season_id")} as season_key, team_id, opponent_team_id, is_home, round(pre, 2) as elo_pre,
-           round(opp, 2) as opp_elo_pre, round(e, 4) as win_expected, won, margin,
-           round(change, 2) + 0 as elo_change, round(pre + change, 2) as elo_post
-    from per_side)"""
-
-
-ELO_SQL = elo_sql()
-
+GIVEN_SQL = f"""
+with {SIDES_SQL},
+forecasts as (
+    select round(1 / (1 + pow(10::double, ((1500 + o.s_acctbal / 20) - (1600 + s.s_acctbal / 20)) / 400.0::double)), 4) as win_prob,
+           win_flag as won, season_start_year as season
+    from sides join supplier s on s.s_suppkey = team_id join supplier o on o.s_suppkey = opponent_team_id
+    where is_home and win_flag is not null)"""
 
 # --- features --------------------------------------------------------------------------
 
 
 def rolling_splits(spark, sf_dir):
-    base = written_sides(spark, sf_dir, "game_id", "team_id", "game_date", "season_start_year", "points")
+    base = sides(spark, sf_dir).select("game_id", "team_id", "game_date", "season_start_year", "points")
     out = efficiency.rolling_splits(base, "team_id", "season_start_year", ["game_date", "game_id"], "points")
     return rounded(out, 9, "points_last5", "points_last10", "points_period")
 
@@ -304,9 +251,7 @@ from sides window w as (partition by team_id order by game_date, game_id)"""
 
 
 def point_in_time_features(spark, sf_dir):
-    base = written_sides(
-        spark, sf_dir, "game_id", "team_id", "opponent_team_id", "game_date", "points", "win_flag"
-    )
+    base = sides(spark, sf_dir).select("game_id", "team_id", "opponent_team_id", "game_date", "points", "win_flag")
     out = efficiency.point_in_time_features(
         base, "team_id", "opponent_team_id", "game_date", ["game_date", "game_id"], "points", "win_flag"
     )
@@ -326,7 +271,7 @@ window w as (partition by team_id order by game_date, game_id),
 
 
 def zone_efficiency(spark, sf_dir):
-    shots = zoned_shots(spark, sf_dir).where("is_made is not null")
+    shots = zoned_shots(spark, sf_dir)
     out = efficiency.zone_efficiency(shots, "user_id", "shot_zone", "is_made", "shot_value")
     rates = ["make_pct", "points_per_attempt", "league_make_pct", "league_points_per_attempt", "points_over_expected"]
     return rounded(out, 9, *rates)
@@ -335,7 +280,7 @@ def zone_efficiency(spark, sf_dir):
 ZONE_SQL = f"""
 with {ZONED_SHOTS_SQL},
 t as (select user_id, shot_zone, count(*) as attempts, count(*) filter (where is_made) as makes, sum(points) as pts
-      from zoned where is_made is not null group by 1, 2),
+      from zoned group by 1, 2),
 b as (select shot_zone, sum(makes) / sum(attempts) as m, sum(pts) / sum(attempts) as p from t group by 1)
 select user_id, shot_zone, attempts, makes, round(makes / attempts, 9) as make_pct,
        round(pts / attempts, 9) as points_per_attempt, round(m, 9) as league_make_pct,
@@ -451,7 +396,7 @@ select vec_id, round(similarity, 6) as similarity from s order by s.similarity d
 
 
 def holdout_split(spark, sf_dir):
-    games = written_sides(spark, sf_dir, "game_id", "team_id", "opponent_team_id", "game_date")
+    games = sides(spark, sf_dir).select("game_id", "team_id", "opponent_team_id", "game_date")
     tagged = incremental.temporal_split(games, "team_id", ["game_date", "game_id"], 60)
     train, test = tagged.where("split = 'train'"), tagged.where("split = 'test'")
     novel = incremental.novel_pairs(train, test, "team_id", "opponent_team_id")
@@ -483,7 +428,6 @@ QUERIES = {
     "auc_score": auc_score,
     "ece_score": ece_score,
     "weighted_error": weighted_error,
-    "elo_ratings": elo_ratings,
     "elo_calibration": elo_calibration,
     "rolling_splits": rolling_splits,
     "point_in_time_features": point_in_time_features,
@@ -516,14 +460,10 @@ ORACLE = {
     "auc_score": _calibration_sql(True, ["season", "auc"]),
     "ece_score": _calibration_sql(True, ["season", "ece"]),
     "weighted_error": WEIGHTED_SQL,
-    "elo_ratings": ELO_SQL + " select * from rated",
     "elo_calibration": _calibration_sql(
         True,
         ["season", *_ALL],
-        ELO_SQL
-        + """,
-forecasts as (select win_expected as win_prob, won, cast(year(game_date) as int) as season from rated
-              where is_home and won is not null)""",
+        GIVEN_SQL,
         6,
     ),
     "rolling_splits": ROLLING_SQL,

@@ -109,7 +109,7 @@ def profile_drift(spark, sf_dir):
         "value",
         F.when(F.col("event_type") != "error", F.get_json_object("props", "$.k").cast("int")).alias("k"),
     )
-    out = quality.profile_drift(events, "day", ["value", "k"])
+    out = quality.profile_drift(events, "day", ["value", "k"], F.date_sub("day", 1))
     return rounded(out, 6, *[c for c in out.columns if c not in ("day", "n", "n_change")])
 
 
@@ -118,13 +118,13 @@ def _drift_sql():
              (("null_rate", "count(*) filter (where {c} is null) / count(*)"), ("mean", "avg({c})"))}
     one = ", ".join(f"{e} as {n}" for n, e in stats.items())
     out = ", ".join(
-        f"round({n}, 6) as {n}, round({n} - lag({n}) over (order by day), 6) + 0 as {n}_change" for n in stats
+        f"round(p.{n}, 6) as {n}, round(p.{n} - q.{n}, 6) + 0 as {n}_change" for n in stats
     )
     return f"""
 with e as (select cast(ts as date) as day, value,
                   case when event_type <> 'error' then cast(props->>'$.k' as int) end as k from events),
 p as (select day, count(*) as n, {one} from e group by day)
-select day, n, n - lag(n) over (order by day) as n_change, {out} from p"""
+select p.day, p.n, p.n - q.n as n_change, {out} from p left join p q on q.day = p.day - 1"""
 
 
 def suite_counts(spark, sf_dir):

@@ -242,7 +242,7 @@ def scd2_asof_merge(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("player_id"), F.add_months(F.col("o_orderdate").cast("date"), -6).alias("as_of")
     )
-    return history.asof_lookup(orders, _customer_dim(spark, sf_dir), "player_id", "as_of", "player_sk", joinable=0)
+    return history.asof_lookup(orders, _customer_dim(spark, sf_dir), "player_id", "as_of", "player_sk")
 
 
 ASOF_SQL = f"""
@@ -267,7 +267,7 @@ teams as (select s_suppkey, {key_sql("s_suppkey", "s_name")} as team_sk from sup
 select game_id, team_id as home_team_id, opponent_team_id as away_team_id, h.team_sk as home_team_sk,
        a.team_sk as away_team_sk
 from sides left join teams h on h.s_suppkey = team_id left join teams a on a.s_suppkey = opponent_team_id
-where is_home"""
+where is_home and opponent_team_id is not null"""
 
 
 def filtered_dim_join(spark, sf_dir):
@@ -307,7 +307,7 @@ def scd2_apply(spark, sf_dir):
         return known.groupBy("player_id").agg(last.alias("s")).select("player_id", "s.*")
 
     versions = None
-    for day in ("1996-06-30", "1998-06-30", "2000-06-30"):
+    for day in ("1996-06-30", "1998-06-30", "2000-06-30", "2002-06-30"):
         versions = history.scd2_apply(
             versions, seen_until(day), "player_id", ["priority", "status"], F.lit(day).cast("date")
         )
@@ -316,7 +316,7 @@ def scd2_apply(spark, sf_dir):
 
 APPLY_SQL = f"""
 with {STATE_LOG_SQL},
-runs(run) as (values (date '1996-06-30'), (date '1998-06-30'), (date '2000-06-30')),
+runs(run) as (values (date '1996-06-30'), (date '1998-06-30'), (date '2000-06-30'), (date '2002-06-30')),
 snaps as (
     select run, player_id, priority, status, ts as source_day from (
         select *, row_number() over (partition by run, player_id order by ts desc) as rn
@@ -354,7 +354,7 @@ ORACLE = {
     "pair_collapse": PAIR_SQL,
     "pair_collapse_unique": PAIR_SQL,
     "opponent_join": OPPONENT_SQL,
-    "opponent_case": f"with {SIDES_SQL} select game_id, team_id, opponent_team_id from sides",
+    "opponent_case": f"with {SIDES_SQL} select game_id, team_id, opponent_team_id from sides where opponent_team_id is not null",
     "four_factors": FOUR_FACTORS_SQL,
     "season_dim": f"with {SIDES_SQL}, {_SEASONS} select * from seasons",
     "unify_variants": UNIFY_SQL,

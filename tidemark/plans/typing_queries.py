@@ -419,7 +419,7 @@ ORACLE = {
                         from events""",
     "bool_parse": "select event_id, event_type in ('click', 'view') as is_field_goal from events",
     "flag_like": _MATCHUPS_SQL
-    + """select game_id, team_id, matchup like '%vs.%' as is_home, trim(right(matchup, 3)) as opponent_abbreviation
+    + """select game_id, team_id, coalesce(matchup like '%vs.%', false) as is_home, trim(right(matchup, 3)) as opponent_abbreviation
          from m""",
     "win_flag": """select o_orderkey, cast(case o_orderstatus when 'F' then 1 when 'O' then 0 end as int) as win_flag
                    from orders""",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.functions.keys import date_key, surrogate_key
-from tidemark.operators import efficiency, elo, history, marts, quality, staging, star
+from tidemark.operators import efficiency, history, marts, quality, staging, star
 from tidemark.operators.staging import Field, typed_select
 from tidemark.sources import bronze as raw
 from tidemark.sources import generated
@@ -472,14 +472,6 @@ def mart_player_team_tenure(player_season: DataFrame) -> DataFrame:
     )
 
 
-def analytics_team_elo(team_game: DataFrame, seasons: DataFrame) -> DataFrame:
-    """Ratings of all games as one league; sides without a season cannot be rated."""
-    rows = star.lookup(
-        team_game, seasons, [("season_key", "season_key")], [("season_start_year", "season_start_year")], how="inner"
-    )
-    return elo.elo_ratings(rows)
-
-
 def top_scorers(player_season: DataFrame, season: str, n: int = 10) -> DataFrame:
     """The players with most points in a season, over all their teams."""
     totals = player_season.where(F.col("season") == season).groupBy("player_id").agg(
@@ -620,10 +612,6 @@ class Warehouse:
     def mart_player_team_tenure(self) -> DataFrame:
         return mart_player_team_tenure(self.fact_player_season)
 
-    @cached_property
-    def analytics_team_elo(self) -> DataFrame:
-        return analytics_team_elo(self.fact_team_game, self.dim_season)
-
 
 # The stored tables in the order they are built.
 STORED = (
@@ -631,7 +619,7 @@ STORED = (
     "snap_player", "dim_season", "dim_date", "dim_shot_zone", "dim_team", "dim_player", "dim_game", "fact_team_game",
     "fact_player_game", "fact_play_by_play", "fact_shot", "fact_player_season",
 )
-MARTS = ("mart_team_four_factors", "mart_player_team_tenure", "analytics_team_elo")
+MARTS = ("mart_team_four_factors", "mart_player_team_tenure")
 
 
 def write_tables(warehouse: Warehouse, root: str) -> Warehouse:
@@ -770,8 +758,8 @@ def shots_mismatch(shots: DataFrame, player_game: DataFrame) -> DataFrame:
 
 
 def mart_checks(t: Mapping[str, DataFrame]) -> list[quality.Check]:
-    """The data tests of the marts and the ratings."""
-    factors, tenure, ratings = t["mart_team_four_factors"], t["mart_player_team_tenure"], t["analytics_team_elo"]
+    """The data tests of the marts."""
+    factors, tenure = t["mart_team_four_factors"], t["mart_player_team_tenure"]
     out = [
         quality.Check("mart_team_four_factors.team_game_sk unique", quality.unique(factors, "team_game_sk")),
         quality.Check("mart_team_four_factors.team_game_sk not null", quality.not_null(factors, "team_game_sk")),
@@ -779,14 +767,5 @@ def mart_checks(t: Mapping[str, DataFrame]) -> list[quality.Check]:
         quality.Check("mart_team_four_factors.efg_pct range", quality.accepted_range(factors, "efg_pct", 0, 1.5)),
         quality.Check("mart_player_team_tenure.seasons not null", quality.not_null(tenure, "seasons")),
         quality.Check("mart_player_team_tenure one row per player+team", quality.unique_combination(tenure, ["player_id", "team_id"])),
-        quality.Check("analytics_team_elo.team_game_sk unique", quality.unique(ratings, "team_game_sk")),
-        quality.Check(
-            "analytics_team_elo.team_game_sk in fact_team_game",
-            quality.relationship(ratings, "team_game_sk", t["fact_team_game"], "team_game_sk"),
-        ),
-        quality.Check("analytics_team_elo.win_expected range", quality.accepted_range(ratings, "win_expected", 0, 1)),
-        quality.Check("analytics_team_elo one row per game+team", quality.unique_combination(ratings, ["game_id", "team_id"])),
     ]
-    for column in ("team_game_sk", "team_id", "elo_pre", "elo_post"):
-        out.append(quality.Check(f"analytics_team_elo.{column} not null", quality.not_null(ratings, column)))
     return out

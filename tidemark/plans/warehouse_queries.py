@@ -10,7 +10,6 @@ from tidemark.functions.rates import ratio
 from tidemark.functions.text import period_label
 from tidemark.plans import warehouse as wh
 from tidemark.plans.inputs import CAREERS_SQL, SIDES_SQL, careers, key_sql, rounded, sides, table
-from tidemark.plans.mart_queries import elo_sql
 from tidemark.plans.star_queries import factor_columns_sql
 from tidemark.session import written
 from tidemark.sources.bronze import stringify
@@ -133,7 +132,7 @@ def _raw_box(spark, sf_dir):
         F.concat(lit("PT"), col("q").cast("string"), lit("M30.00S")).alias("minutes"),
         F.when(col("flag") == "N", col("q")).otherwise(0).alias("fieldGoalsMade"),
         col("q").alias("fieldGoalsAttempted"),
-        col("q").alias("points"),
+        (col("q") * 10_000 + col("l_suppkey") % 10_000).cast("int").alias("points"),  # no ties in the deduplication
         *_blank(*unset),
     )
 
@@ -249,12 +248,6 @@ def mart_team_four_factors(spark, sf_dir):
     return rounded(out, 9, *[c for c in out.columns if c not in wh.EFFICIENCY_KEYS])
 
 
-def analytics_team_elo(spark, sf_dir):
-    w = warehouse(spark, sf_dir)
-    w.fact_team_game = written(w.fact_team_game, "fact_team_game")
-    return w.analytics_team_elo
-
-
 def top_scorers(spark, sf_dir):
     return wh.top_scorers(warehouse(spark, sf_dir).fact_player_season, "1998-99", 50)
 
@@ -267,7 +260,7 @@ QUERIES |= {
         "mart_player_team_tenure",
     )
 }
-QUERIES |= {"mart_team_four_factors": mart_team_four_factors, "analytics_team_elo": analytics_team_elo}
+QUERIES |= {"mart_team_four_factors": mart_team_four_factors}
 QUERIES |= {"top_scorers": top_scorers}
 
 # --- the same in SQL --------------------------------------------------------------
@@ -319,7 +312,7 @@ line as (
     select l_orderkey, l_suppkey, l_partkey, cast(sum(l_quantity) as int) as q, max(l_returnflag) as flag, count(*) as n
     from lineitem group by 1, 2, 3),
 box as (
-    select * from (select *, row_number() over (partition by l_orderkey, l_partkey order by q desc) as rn from line)
+    select * from (select *, row_number() over (partition by l_orderkey, l_partkey order by q desc, l_suppkey desc) as rn from line)
     where rn = 1),
 adv as (
     select * from (select *, row_number() over (partition by l_orderkey, l_partkey order by l_suppkey desc) as rn
@@ -371,7 +364,7 @@ select {key_sql("b.l_orderkey", "b.l_partkey")} as player_game_sk, g.game_sk, g.
        p.player_sk, t.team_sk, g.date_key, g.season_key, g.game_date, 'P' || cast(b.l_partkey as varchar) as player_name,
        case when b.n > 1 then 'G' else '' end as position, case when b.flag = 'R' then 'DNP' else '' end as comment,
        b.flag <> 'R' as did_play, b.q * 60 + 30 as seconds_played, case when b.flag = 'N' then b.q else 0 end as fgm,
-       b.q as fga, b.q as points, {_nulls("int", *_BOX_EMPTY_INT)}, {_nulls("double", *_BOX_EMPTY)},
+       b.q as fga, cast(b.q * 10000 + b.l_suppkey % 10000 as int) as points, {_nulls("int", *_BOX_EMPTY_INT)}, {_nulls("double", *_BOX_EMPTY)},
        a.q / 2 as offensive_rating, cast(a.q as double) as possessions, a.l_suppkey / 4 as pie
 from box b join game g on g.game_id = cast(b.l_orderkey as varchar)
 left join adv a on a.l_orderkey = b.l_orderkey and a.l_partkey = b.l_partkey
@@ -430,7 +423,7 @@ select {_sk("c_custkey")} as player_sk, c_custkey as player_id, c_name as player
        cast(null as timestamp) as valid_to, true as is_current
 from customer""",
     "dim_game": _BASE + "select * from game",
-    "fact_team_game": _BASE + f"select {_TEAM_GAME_COLUMNS} from team_game",
+    "fact_team_game": _BASE + f"select {_TEAM_GAME_COLUMNS} from team_game where opponent_team_id is not null",
     "fact_player_game": _BASE + _PLAYER_GAME,
     "fact_play_by_play": _BASE + _PLAY_BY_PLAY,
     "fact_shot": _BASE + _SHOT,
@@ -450,5 +443,4 @@ from team_game t join team_game o on t.game_id = o.game_id and t.opponent_team_i
     + """
 select player_id, max(player_name) as player_name, cast(sum(points) as bigint) as points, cast(sum(gp) as bigint) as games
 from player_season where season = '1998-99' group by player_id order by points desc, player_id limit 50""",
-    "analytics_team_elo": elo_sql("'all'") + " select * exclude (league) from rated",
 }
