@@ -53,20 +53,37 @@ def established_in(df: DataFrame, entity: str, period: str, threshold: int = THR
     return done.where(F.col("_nth") == threshold).select(entity, F.col(period).alias("established_by"))
 
 
-def attribute_cohort(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
-    """The group each established entity spent most of its first ``threshold`` periods with.
+def entity_careers(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
+    """One row per entity from one aggregate: its sorted ``periods``, and for established ones ``best``.
 
-    Ties go to the group joined earlier, then to the lower group id.
+    ``best`` is the group of most of the first ``threshold`` periods; ties go to the group joined earlier, then to the
+    lower group id. An entity's periods are bounded by the calendar. Rows without a period do not count.
     """
-    first = completed_periods(df, entity, period, "_nth").where(F.col("_nth") <= threshold)
-    last = first.where(F.col("_nth") == threshold).select(entity, F.col(period).alias("established_by"))
-    # no window over the rows of an entity: they meet its few first periods in a join
-    # that may be split, and the winner is a partial aggregate
-    early = df.select(entity, group, period).distinct().join(first.select(entity, period), [entity, period])
-    spells = early.groupBy(entity, group).agg(F.count(F.lit(1)).alias("periods"), F.min(period).alias("first"))
-    winner = F.min_by(F.struct(group, "periods", "first"), F.struct(-F.col("periods"), "first", group))
-    best = spells.groupBy(entity).agg(winner.alias("_best")).select(entity, "_best.*")
-    return best.join(last, entity)
+    rows = df.where(F.col(period).isNotNull()).groupBy(entity)
+    spells = rows.agg(F.collect_set(F.struct(F.col(period).alias("p"), F.col(group).alias("g"))).alias("_spells"))
+    sorted_ = spells.withColumn("periods", F.array_sort(F.array_distinct(F.transform("_spells", lambda s: s.p))))
+    last = F.get("periods", F.lit(threshold - 1))
+    early = sorted_.withColumn("_early", F.filter("_spells", lambda s: s.p <= last))
+
+    def standing(g: Column) -> Column:
+        own = F.filter("_early", lambda s: s.g.eqNullSafe(g))
+        return F.struct((-F.size(own)).alias("n"), F.array_min(F.transform(own, lambda s: s.p)).alias("first"), g.alias("g"))
+
+    groups = F.array_distinct(F.transform("_early", lambda s: s.g))
+    best = F.array_min(F.transform(groups, standing))
+    return early.select(entity, "periods", last.alias("established_by"), F.when(last.isNotNull(), best).alias("best"))
+
+
+def attribute_cohort(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
+    """The group each established entity spent most of its first ``threshold`` periods with."""
+    done = entity_careers(df, entity, group, period, threshold).where(F.col("best").isNotNull())
+    return done.select(
+        entity,
+        F.col("best.g").alias(group),
+        (-F.col("best.n")).cast("long").alias("periods"),
+        F.col("best.first").alias("first"),
+        "established_by",
+    )
 
 
 class Cohorts(NamedTuple):
@@ -109,16 +126,11 @@ def cohort_counts(
     """Established active entities per period and attributed group, under the group's latest label."""
     labels = latest_label(df, group, label, period, tie=entity)
     latest = df.select(period).distinct().orderBy(F.col(period).desc()).limit(last_n)
-    vets = completed_periods(df, entity, period).where(F.col("completed") >= threshold).join(latest, period, "left_semi")
-    owner = attribute_cohort(df, entity, group, period, threshold).select(entity, group)
-    return (
-        vets.join(owner, entity)
-        .groupBy(group, period)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(labels, group)
-        .groupBy(label, period)
-        .agg(F.sum("n").alias("n"))
-    )
+    done = entity_careers(df, entity, group, period, threshold).where(F.col("best").isNotNull())
+    since = F.slice("periods", threshold, F.size("periods"))
+    counts = done.select(F.col("best.g").alias(group), F.explode(since).alias(period)).groupBy(group, period)
+    named = counts.agg(F.count(F.lit(1)).alias("n")).join(latest, period, "left_semi").join(labels, group)
+    return named.groupBy(label, period).agg(F.sum("n").alias("n"))
 
 
 def cohort_share(counts: DataFrame, summary: DataFrame, label: str, period: str) -> DataFrame:

@@ -55,6 +55,25 @@ def opponent_id(team: Column, home: Column, away: Column) -> Column:
     return F.when(team == home, away).otherwise(home)
 
 
+def opponent_columns(sides: DataFrame, game: str, is_home: str, carry: Sequence[str], prefix: str = "opp_") -> DataFrame:
+    """Each side with the chosen columns of the other side of its game, from one aggregate per game.
+
+    The sides of a game are unique; games that lack one vanish.
+    """
+    flag, row = F.col(is_home), F.struct(*[c for c in sides.columns if c != game])
+    both = sides.groupBy(game).agg(F.max(F.when(flag, row)).alias("_h"), F.max(F.when(~flag, row)).alias("_a"))
+
+    def side(own: str, other: str) -> Column:
+        return F.struct(
+            *[F.col(f"{own}.{c}").alias(c) for c in sides.columns if c != game],
+            *[F.col(f"{other}.{c}").alias(f"{prefix}{c}") for c in carry],
+        )
+
+    pairs = both.where("_h is not null and _a is not null")
+    out = pairs.select(game, F.explode(F.array(side("_h", "_a"), side("_a", "_h"))).alias("_s")).select(game, "_s.*")
+    return out.select(*sides.columns, *[f"{prefix}{c}" for c in carry])
+
+
 def opponent_join(
     sides: DataFrame, game: str, team: str, opponent: str, carry: Sequence[str], prefix: str = "opp_"
 ) -> DataFrame:

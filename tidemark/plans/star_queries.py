@@ -90,7 +90,7 @@ _FACTORS = (
 
 
 def _factors(base):
-    paired = star.opponent_join(base, "game_id", "team_id", "opponent_team_id", efficiency.OPPONENT_INPUTS)
+    paired = star.opponent_columns(base, "game_id", "is_home", efficiency.OPPONENT_INPUTS)
     out = efficiency.four_factors(paired, ["game_id", "team_id", "opponent_team_id", "game_date", "is_home", "win_flag"])
     return rounded(out, 9, *_FACTORS)
 

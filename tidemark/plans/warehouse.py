@@ -461,7 +461,7 @@ def fact_player_season(career: DataFrame, players: DataFrame, teams: DataFrame,
 
 
 def mart_team_four_factors(team_game: DataFrame) -> DataFrame:
-    paired = star.opponent_join(team_game, "game_id", "team_id", "opponent_team_id", efficiency.OPPONENT_INPUTS)
+    paired = star.opponent_columns(team_game, "game_id", "is_home", efficiency.OPPONENT_INPUTS)
     return efficiency.four_factors(paired, EFFICIENCY_KEYS).drop("opp_poss")
 
 
