@@ -210,7 +210,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, id_col: str, te
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, F.lit(most / n)).otherwise(share)
     chosen = marks.where((F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / F.lit(float(1 << 30))) < share)
-    found = pick(docs, key=id_col, text=text_col).join(chosen, "key").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int"))
+    # about 2 * most rows of an id and a label, whatever the corpus holds
+    found = pick(docs, key=id_col, text=text_col).join(F.broadcast(chosen), "key").select(F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int"))
     # copies with few changes are no independent evidence: most share the smallest hash of two neighbouring words
     words = F.split(F.lower("text"), SPLIT_WORDS)
     least = F.get(F.transform(F.array(words), lambda ws: F.array_min(F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))))), 0)
