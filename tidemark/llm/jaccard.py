@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import packed, partitions, pick
-from tidemark.llm.components import components
+from tidemark.llm.components import components, stars
 from tidemark.llm.hashing import mixed, word_hashes
 from tidemark.llm.tokens import chunks
 from tidemark.session import written
@@ -322,7 +322,9 @@ def _local_links(likeness: Likeness, *keys: str):
             probes = [r["probe"] for r in rows]
             pairs = links(sets, likeness, [r["known"] for r in rows], probes if any(probes) else None)
             if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([rows[p[k]]["sig"] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+                # links of equal sets, in a block twice as probe and member, are none
+                edges = stars([r["sig"] for r in rows], pairs)
+                yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     return find
 
