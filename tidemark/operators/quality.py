@@ -40,11 +40,16 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 def accepted_range(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     """Rows outside the inclusive range; NULL passes."""
+    return df.where(outside(column, low, high))
+
+
+def outside(column: str, low=None, high=None) -> Column:
+    """True for values outside the inclusive range."""
     tests = [F.col(column) < low] if low is not None else []
     tests += [F.col(column) > high] if high is not None else []
     if not tests:
         raise ValueError("a range needs a lower or an upper bound")
-    return df.where(reduce(lambda a, b: a | b, tests))
+    return reduce(lambda a, b: a | b, tests)
 
 
 def rows_per_key(df: DataFrame, key: str, expected: int) -> DataFrame:
@@ -129,22 +134,47 @@ class Check(NamedTuple):
     severity: str = "error"
 
 
+class RowCheck(NamedTuple):
+    """A check of single rows: those of ``table`` for which ``broken`` is true violate it."""
+
+    name: str
+    table: DataFrame
+    broken: Column
+    severity: str = "error"
+
+
 class SuiteFailed(RuntimeError):
     """A check of severity 'error' has violating rows."""
 
 
-def run_suite(checks: Sequence[Check], *, raise_on_error: bool = True) -> DataFrame:
+def _row_counts(checks: Sequence[RowCheck]) -> list[DataFrame]:
+    """The counts of row checks, one aggregate per table."""
+    tables: dict[int, list[RowCheck]] = {}
+    for c in checks:
+        tables.setdefault(id(c.table), []).append(c)
+    out = []
+    for own in tables.values():
+        counted = own[0].table.agg(*[F.count_if(c.broken).alias(f"c{i}") for i, c in enumerate(own)])
+        rows = [F.struct(F.lit(c.name).alias("name"), F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failing_rows")) for i, c in enumerate(own)]
+        out.append(counted.select(F.explode(F.array(*rows)).alias("x")).select("x.*"))
+    return out
+
+
+def run_suite(checks: Sequence[Check | RowCheck], *, raise_on_error: bool = True) -> DataFrame:
     """(name, severity, failing_rows) of all checks, counted in one job.
 
-    Raises before any dependent step can run if an error-level check fails; only
-    one counter per check reaches the driver.
+    All checks of a table's single rows share one scan. Raises before any dependent step can run
+    if an error-level check fails; only one counter per check reaches the driver.
     """
-    spark = checks[0].violations.sparkSession
-    counts = [
+    first = checks[0]
+    spark = (first.table if isinstance(first, RowCheck) else first.violations).sparkSession
+    counts = _row_counts([c for c in checks if isinstance(c, RowCheck)])
+    counts += [
         c.violations.agg(F.count(F.lit(1)).alias("failing_rows")).select(
             F.lit(c.name).alias("name"), F.lit(c.severity).alias("severity"), "failing_rows"
         )
         for c in checks
+        if isinstance(c, Check)
     ]
     rows = reduce(DataFrame.unionByName, counts).collect()
     bad = [r for r in rows if r.severity == "error" and r.failing_rows]

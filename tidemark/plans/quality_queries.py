@@ -131,13 +131,13 @@ def suite_counts(spark, sf_dir):
     """A suite's failing rows per check, in one job."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     checks = [
-        quality.Check("orders_key_not_null", quality.not_null(orders, "o_orderkey")),
+        quality.RowCheck("orders_key_not_null", orders, F.col("o_orderkey").isNull()),
         quality.Check("orders_key_unique", quality.unique(orders, "o_orderkey")),
         quality.Check("line_order_exists", quality.relationship(lines, "l_orderkey", orders, "o_orderkey")),
         quality.Check(
             "line_key_unique", quality.unique_combination(lines, ["l_orderkey", "l_linenumber"]), severity="warn"
         ),
-        quality.Check("discount_range", quality.accepted_range(lines, "l_discount", 0, 0.08), severity="warn"),
+        quality.RowCheck("discount_range", lines, quality.outside("l_discount", 0, 0.08), severity="warn"),
     ]
     return quality.run_suite(checks)
 

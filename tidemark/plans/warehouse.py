@@ -282,23 +282,22 @@ def _season_of_year() -> Column:
 
 
 def stg_team_roster(rows: DataFrame) -> DataFrame:
-    derived = [
-        F.col("TeamID").cast("bigint").alias("team_id"),
-        _season_of_year(),
-        text.coded_int("EXP", {"R": 0}).alias("experience_years"),
-    ]
-    typed = typed_select(rows, [*derived, *ROSTER_FIELDS])
+    places = [f.name for f in ROSTER_FIELDS].index("school")
+    team = [F.col("TeamID").cast("bigint").alias("team_id"), _season_of_year()]
+    experience = text.coded_int("EXP", {"R": 0}).alias("experience_years")
+    typed = typed_select(rows, [*team, *ROSTER_FIELDS[:places], experience, *ROSTER_FIELDS[places:]])
     return staging.dedupe_latest(typed, ["team_id", "season", "player_id"], [F.col("player_name").asc_nulls_last()])
 
 
 def stg_team_coach(rows: DataFrame) -> DataFrame:
-    derived = [
-        _season_of_year(),
+    flags = [
         text.equals_flag("COACH_TYPE", "Head Coach").alias("is_head_coach"),
         text.equals_flag("COACH_TYPE", "Assistant Coach").alias("is_assistant_coach"),
     ]
+    places = [f.name for f in COACH_FIELDS].index("sort_sequence")
+    fields = [COACH_FIELDS[0], _season_of_year(), *COACH_FIELDS[1:places], *flags, *COACH_FIELDS[places:]]
     order = [F.col("sort_sequence").asc_nulls_last(), F.col("sub_sort_sequence").asc_nulls_last()]
-    return staging.dedupe_latest(typed_select(rows, [*COACH_FIELDS, *derived]), ["team_id", "season", "coach_id"], order)
+    return staging.dedupe_latest(typed_select(rows, fields), ["team_id", "season", "coach_id"], order)
 
 
 # --- dimensions --------------------------------------------------------------
@@ -460,9 +459,14 @@ def fact_player_season(career: DataFrame, players: DataFrame, teams: DataFrame,
 # --- marts -------------------------------------------------------------------
 
 
-def mart_team_four_factors(team_game: DataFrame) -> DataFrame:
+def int_team_game__advanced(team_game: DataFrame) -> DataFrame:
+    """Both sides' possessions and factors, the opponent's included."""
     paired = star.opponent_columns(team_game, "game_id", "is_home", efficiency.OPPONENT_INPUTS)
-    return efficiency.four_factors(paired, EFFICIENCY_KEYS).drop("opp_poss")
+    return efficiency.four_factors(paired, EFFICIENCY_KEYS)
+
+
+def mart_team_four_factors(advanced: DataFrame) -> DataFrame:
+    return advanced.drop("opp_poss")
 
 
 def mart_player_team_tenure(player_season: DataFrame) -> DataFrame:
@@ -604,9 +608,13 @@ class Warehouse:
     def fact_player_season(self) -> DataFrame:
         return fact_player_season(self.stg_player_career_season, self.dim_player, self.dim_team, self.dim_season)
 
+    @cached_property
+    def int_team_game__advanced(self) -> DataFrame:
+        return int_team_game__advanced(self.fact_team_game)
+
     @cached_property
     def mart_team_four_factors(self) -> DataFrame:
-        return mart_team_four_factors(self.fact_team_game)
+        return mart_team_four_factors(self.int_team_game__advanced)
 
     @cached_property
     def mart_player_team_tenure(self) -> DataFrame:
@@ -619,7 +627,7 @@ STORED = (
     "snap_player", "dim_season", "dim_date", "dim_shot_zone", "dim_team", "dim_player", "dim_game", "fact_team_game",
     "fact_player_game", "fact_play_by_play", "fact_shot", "fact_player_season",
 )
-MARTS = ("mart_team_four_factors", "mart_player_team_tenure")
+MARTS = ("int_team_game__advanced", "mart_team_four_factors", "mart_player_team_tenure")
 
 
 def write_tables(warehouse: Warehouse, root: str) -> Warehouse:
@@ -719,9 +727,9 @@ def checks(t: Mapping[str, DataFrame]) -> list[quality.Check]:
     for name, column in UNIQUE_NOT_NULL.items():
         if name in t:
             out.append(quality.Check(f"{name}.{column} unique", quality.unique(t[name], column)))
-            out.append(quality.Check(f"{name}.{column} not null", quality.not_null(t[name], column)))
+            out.append(quality.RowCheck(f"{name}.{column} not null", t[name], F.col(column).isNull()))
     for name, columns in NOT_NULL.items():
-        out += [quality.Check(f"{name}.{c} not null", quality.not_null(t[name], c)) for c in columns if name in t]
+        out += [quality.RowCheck(f"{name}.{c} not null", t[name], F.col(c).isNull()) for c in columns if name in t]
     for name, columns in COMBINATIONS.items():
         if name in t:
             out.append(quality.Check(f"{name} one row per {'+'.join(columns)}", quality.unique_combination(t[name], columns)))
@@ -735,7 +743,7 @@ def checks(t: Mapping[str, DataFrame]) -> list[quality.Check]:
         out.append(quality.Check("dim_season.season_type known", quality.accepted_values(t["dim_season"], "season_type", types)))
     if "dim_shot_zone" in t:
         out.append(quality.Check("dim_shot_zone.shot_zone unique", quality.unique(t["dim_shot_zone"], "shot_zone")))
-        out.append(quality.Check("dim_shot_zone.shot_zone not null", quality.not_null(t["dim_shot_zone"], "shot_zone")))
+        out.append(quality.RowCheck("dim_shot_zone.shot_zone not null", t["dim_shot_zone"], F.col("shot_zone").isNull()))
     if "fact_team_game" in t:
         out.append(quality.Check("two sides per game", quality.rows_per_key(t["fact_team_game"], "game_id", 2)))
     if "fact_player_game" in t and "fact_team_game" in t:
@@ -762,10 +770,10 @@ def mart_checks(t: Mapping[str, DataFrame]) -> list[quality.Check]:
     factors, tenure = t["mart_team_four_factors"], t["mart_player_team_tenure"]
     out = [
         quality.Check("mart_team_four_factors.team_game_sk unique", quality.unique(factors, "team_game_sk")),
-        quality.Check("mart_team_four_factors.team_game_sk not null", quality.not_null(factors, "team_game_sk")),
+        quality.RowCheck("mart_team_four_factors.team_game_sk not null", factors, F.col("team_game_sk").isNull()),
         quality.Check("mart_team_four_factors.game_sk in dim_game", quality.relationship(factors, "game_sk", t["dim_game"], "game_sk")),
-        quality.Check("mart_team_four_factors.efg_pct range", quality.accepted_range(factors, "efg_pct", 0, 1.5)),
-        quality.Check("mart_player_team_tenure.seasons not null", quality.not_null(tenure, "seasons")),
+        quality.RowCheck("mart_team_four_factors.efg_pct range", factors, quality.outside("efg_pct", 0, 1.5)),
+        quality.RowCheck("mart_player_team_tenure.seasons not null", tenure, F.col("seasons").isNull()),
         quality.Check("mart_player_team_tenure one row per player+team", quality.unique_combination(tenure, ["player_id", "team_id"])),
     ]
     return out

@@ -248,6 +248,11 @@ def mart_team_four_factors(spark, sf_dir):
     return rounded(out, 9, *[c for c in out.columns if c not in wh.EFFICIENCY_KEYS])
 
 
+def int_team_game__advanced(spark, sf_dir):
+    out = warehouse(spark, sf_dir).int_team_game__advanced
+    return rounded(out, 9, *[c for c in out.columns if c not in wh.EFFICIENCY_KEYS])
+
+
 def top_scorers(spark, sf_dir):
     return wh.top_scorers(warehouse(spark, sf_dir).fact_player_season, "1998-99", 50)
 
@@ -260,7 +265,7 @@ QUERIES |= {
         "mart_player_team_tenure",
     )
 }
-QUERIES |= {"mart_team_four_factors": mart_team_four_factors}
+QUERIES |= {"int_team_game__advanced": int_team_game__advanced, "mart_team_four_factors": mart_team_four_factors}
 QUERIES |= {"top_scorers": top_scorers}
 
 # --- the same in SQL --------------------------------------------------------------
@@ -435,6 +440,10 @@ select player_id, any_value(player_name) as player_name, team_id, any_value(team
        count(distinct season) as seasons, min(season) as first_season, max(season) as last_season,
        cast(sum(gp) as bigint) as games_played, cast(sum(points) as bigint) as total_points
 from player_season group by player_id, team_id""",
+    "int_team_game__advanced": _BASE
+    + f"""
+select {", ".join("t." + c for c in wh.EFFICIENCY_KEYS)}, {factor_columns_sql()}
+from team_game t join team_game o on t.game_id = o.game_id and t.opponent_team_id = o.team_id""",
     "mart_team_four_factors": _BASE
     + f"""
 select {", ".join("t." + c for c in wh.EFFICIENCY_KEYS)}, {factor_columns_sql(without=["opp_poss"])}

@@ -93,7 +93,7 @@ def gate_blocks_write(spark, sf_dir):
     for status in ("F", "O", "P"):
         rows = orders.where(F.col("o_orderstatus") == status)
         limit = {"F": 1e12, "O": 0.0, "P": 1e12}[status]
-        check = quality.Check(f"{status} total", quality.accepted_range(rows, "o_totalprice", 0, limit))
+        check = quality.RowCheck(f"{status} total", rows, quality.outside("o_totalprice", 0, limit))
         try:
             quality.run_suite([check])
         except quality.SuiteFailed:

@@ -56,9 +56,11 @@ def ingest_quarantined(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # both sinks read it
         accepted, quarantined = quarantine_split(batch, dict(expectations))
         accepted.write.mode("overwrite").parquet(f"{good}/_batch={batch_id}")
         quarantined.write.mode("overwrite").parquet(f"{bad}/_batch={batch_id}")
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(land).option("checkpointLocation", log).trigger(availableNow=True).start()
 
