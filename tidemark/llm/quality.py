@@ -103,7 +103,7 @@ def standard_rules() -> list[Rule]:
         Rule("few_words", n < 50),
         Rule("repeated_words", 100 * F.col("n_repeat_words") > 50 * n),
         Rule("symbols", 100 * F.col("n_symbols") > 10 * n),
-        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 30 * lines),
+        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 50 * lines),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("capitals", 100 * capitals > 30 * letters),
         Rule("exclamations", 100 * _count_of(text, "!") > 20 * n),
