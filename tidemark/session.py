@@ -66,3 +66,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a written table, when nothing reads it any more."""
+    sc = df.sparkSession.sparkContext
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
