@@ -25,9 +25,10 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     n_chars follows the text where lines were removed.
     """
-    done = line_dedup.drop_repeated_lines(docs, added="lines_removed")
-    kept = done.where((F.col("lines_removed") == 0) | (F.btrim("text", F.lit(BLANKS)) != ""))
-    length = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    count = "_" * max(map(len, docs.columns)) + "removed"  # no input column has so long a name
+    done = line_dedup.drop_repeated_lines(docs, added=count)
+    kept = done.where((F.col(count) == 0) | (F.btrim("text", F.lit(BLANKS)) != ""))
+    length = F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return kept.withColumn("n_chars", length).select(*docs.columns)
 
 

@@ -321,7 +321,9 @@ def test_pipeline_stages(spark, tmp_path):
     texts += near_copies(23, 20) + [" ".join(changed(items[k % 2], 2, vocabulary, rng)) for k in range(6)] + [None, "", "   "]
     passage = "\n".join(sentences(30, 6, 60)[1].split("\n")[:4] + ["one more line here", "and a last one"])
     texts += [f"start {k}\n{passage}\nend {k}" for k in range(5)]
-    spark.createDataFrame(rows(texts), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    more = ", lines_removed string, id long, mark int, row string, score string, node int, a int"
+    table = [(*r, "kept", r[0], None, "r", "s", 1, None) for r in rows(texts)]
+    spark.createDataFrame(table, SCHEMA + more).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
@@ -330,7 +332,10 @@ def test_pipeline_stages(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path)).cache()
         seen[name] = (before, docs)
         if name != "packing":
-            assert docs.columns == before.columns
+            assert docs.columns == before.columns and docs.dtypes == before.dtypes
+            assert docs.where("NOT (lines_removed = 'kept' AND id <=> doc_id AND row = 'r' AND node = 1)").isEmpty()
+            empty = stage(spark, before.limit(0), str(tmp_path))
+            assert empty.columns == before.columns and empty.isEmpty()
     ids = {name: ({r.doc_id for r in a.collect()}, {r.doc_id for r in b.collect()}) for name, (a, b) in seen.items()}
     a, b = ids["toxicity"]
     toxic = {i for i, _, t in labels if t}

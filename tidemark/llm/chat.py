@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import pick
-from tidemark.session import written
+from tidemark.session import discard, written
 
 #: What a variant's type is called, by kind of parameter.
 _TYPES = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}
@@ -73,7 +73,8 @@ def levels(calls: DataFrame) -> DataFrame:
             break
         there = state.select(F.col("c").alias("tc"), F.col("k").alias("tk"), F.col("up").alias("far"), F.col("level").alias("more"))
         step = state.join(there, F.col("c").eqNullSafe(F.col("tc")) & (F.col("up") == F.col("tk")), "left")
-        state = written(step.select("c", "k", F.col("far").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
+        before, state = state, written(step.select("c", "k", F.col("far").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")), "levels")
+        discard(before)
     return state.select("c", "k", F.when(F.col("up").isNull(), F.col("level")).alias("level"))
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import written
+from tidemark.session import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -79,5 +79,6 @@ def components(edges: DataFrame) -> DataFrame:
     """
     current = written(_contract(edges.where("a <> b").toDF("a", "b")).distinct(), "edges")
     while _has_chains(current):
-        current = written(_contract(_star(_star(current, True), False)).distinct(), "edges")
+        before, current = current, written(_contract(_star(_star(current, True), False)).distinct(), "edges")
+        discard(before)
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(current.select("b", "b").distinct())
