@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import pick
-from tidemark.llm.hashing import mixed, word_hashes
+from tidemark.llm.hashing import HASHED_BYTES, mixed, word_hashes
 from tidemark.llm.tokens import chunks
 
 #: Edits allowed per word of an item.
@@ -240,7 +240,7 @@ def contaminated(
             block = Block(texts)
             for batch in batches:
                 names = pa.array(ids)
-                for part in chunks(batch, "text"):
+                for part in chunks(batch, "text", HASHED_BYTES):
                     words, bounds = word_hashes(part.column("text"), letters_only=True)
                     hits = block.hits(words, bounds)
                     if len(hits):
@@ -275,7 +275,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
         def search(batches: Iterator[pa.RecordBatch], texts=texts) -> Iterator[pa.RecordBatch]:
             block = Block(texts)
             for batch in batches:
-                for part in chunks(batch, f"_c{place}"):
+                for part in chunks(batch, f"_c{place}", HASHED_BYTES):
                     clean = np.ones(part.num_rows, bool)
                     clean[block.hits(*word_hashes(part.column(place), letters_only=True))[:, 0]] = False
                     yield part.filter(pa.array(clean))

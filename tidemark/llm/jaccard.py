@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import packed, partitions, pick
 from tidemark.llm.components import components, stars
-from tidemark.llm.hashing import mixed, word_hashes
+from tidemark.llm.hashing import HASHED_BYTES, mixed, word_hashes
 from tidemark.llm.tokens import chunks
 from tidemark.session import written
 
@@ -113,7 +113,7 @@ def _chunk_rows(docs: DataFrame, n: int, likeness: Likeness, groups: int) -> Dat
         chunk = TaskContext.get().partitionId() << 32
         arrow = None
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", HASHED_BYTES):
                 for at in range(0, part.num_rows, CHUNK_ROWS):
                     piece = part.slice(at, CHUNK_ROWS)
                     if arrow is None:
@@ -407,7 +407,7 @@ def similar_groups(df: DataFrame, words: int = 5, least: int = 80, of: int = 100
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", HASHED_BYTES):
                 sets = gram_sets(part.column("text"), words)
                 # texts with equal ids and marks can still differ
                 true = pa.array([signature(s) == sig for s, sig in zip(sets, part.column("sig").to_pylist(), strict=True)], pa.bool_())

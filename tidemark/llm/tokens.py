@@ -115,10 +115,10 @@ def encoder(path: str, closing: int) -> WordEncoder:
     return _ENCODERS[path, closing]
 
 
-def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about CHUNK_BYTES of text each, one row at least."""
+def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes) // CHUNK_BYTES if len(sizes) else sizes
+    group = np.cumsum(sizes) // most if len(sizes) else sizes
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(sizes)]]).astype(int)
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
