@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text to hash at a time: the work needs some fifty times as much memory.
-HASHED_BYTES = 3 << 20
+HASHED_BYTES = 1 << 20
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -17,7 +17,7 @@ from tidemark.llm.hashing import compacted
 from tidemark.llm.merges import Merges
 
 #: Bytes of text that are encoded at a time; one longer text is encoded alone.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -123,6 +123,7 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # a worker lives on, for other tasks
 
 
 def cut(bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

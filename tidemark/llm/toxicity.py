@@ -29,7 +29,7 @@ from tidemark.session import written
 #: Words on each side of a hit that are its context.
 WINDOW = 8
 #: Lexicon entries kept, automaton states and words remembered by a worker.
-MOST_TERMS, MOST_STATES, MOST_WORDS = 1000, 100_000, 300_000
+MOST_TERMS, MOST_STATES, MOST_WORDS = 1000, 50_000, 150_000
 STEMS = (4, 5, 6, 7, 8)
 FEATURES = ("abuse", "near", "quoted", "share")
 #: What each edit leaves of a hit's weight; the model can take more off by the feature ``near``.
