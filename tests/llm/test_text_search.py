@@ -297,6 +297,20 @@ def test_articles(spark):
     assert html.extract_articles(df.limit(0)).count() == 0
 
 
+def extracted(spark, pages):
+    """The texts of pages of one host, by their numbers."""
+    df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    return [r.text for r in html.extract_articles(df).orderBy("page_id").collect()]
+
+
+def test_article_after_a_long_menu(spark):
+    menu = "".join(f"<li>category {k}</li>" for k in range(300))
+    stories = [" ".join(t.split()) for t in sentences(40, 12, 60)]
+    for element in ("article", "div class=story"):
+        pages = [f"<html><body><div class=categories><ul>{menu}</ul></div><{element}><p>{t}</p></{element.split()[0]}></body></html>" for t in stories]
+        assert extracted(spark, pages) == stories
+
+
 def test_wrapper_with_optional_and_repeated_parts():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><hr>", "<ul><li>d</li><li>e</li><li>f</li></ul><p>z</p>"]
     wrapper = None
