@@ -311,6 +311,22 @@ def test_article_after_a_long_menu(spark):
         assert extracted(spark, pages) == stories
 
 
+def test_headings_notices_and_layouts_of_all_pages(spark):
+    stories = [" ".join(t.split()) for t in sentences(41, 320, 60) if len(t) > 150]
+    teasers = [" ".join(t.split())[:15] for t in sentences(42, len(stories), 60)]
+    pages, want = [], []
+    for i, (t, teaser) in enumerate(zip(stories, teasers, strict=True)):
+        if i % 10 == 4:  # a rarer layout, which has the other's element too
+            pages.append(f"<body><div class=content><p>{teaser}</p></div><div class=story><p>{t}</p></div></body>")
+            want.append(t)
+        else:  # nine of ten have the heading, all but a few the notice
+            heading, notice = "Summary" if i % 10 else "", "" if i % 70 == 1 else "<p>Written by our staff.</p>"
+            pages.append(f"<body><p>{teaser[:10]}</p><div class=content><h2>{heading}</h2><p>{t}</p>{notice}</div></body>")
+            want.append(f"{heading} {t}".strip())
+    assert len(pages) > 150
+    assert extracted(spark, pages) == want
+
+
 def test_wrapper_with_optional_and_repeated_parts():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><hr>", "<ul><li>d</li><li>e</li><li>f</li></ul><p>z</p>"]
     wrapper = None
