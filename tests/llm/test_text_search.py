@@ -327,6 +327,27 @@ def test_headings_notices_and_layouts_of_all_pages(spark):
     assert extracted(spark, pages) == want
 
 
+def test_articles_in_elements_with_words_of_surroundings():
+    story, around = "The story itself, in some ten or twelve words of text.", "<div class=sidebar>side</div><div class='comments'><article class=comment>angry</article></div>"
+    for opened in (
+        "<article class='post hentry tag-cookies'>",
+        "<article class='category-social'>",
+        "<article class='post social'>",
+        "<div class='layout no-sidebar'>",
+        "<main class='has-comments'>",
+        "<div id='content' class='with-navigation'>",
+        "<div class=widget><article>",
+        "<div class=promo>",
+    ):
+        assert html.article_text(f"<body>{opened}<p>{story}</p></div></article></main>{around}</body>", None) == story, opened
+    # a short article in an element that is the article of the host's other pages
+    wrapper = html.Wrapper(layouts={"/body/div.promo": frozenset()})
+    long = "<div class=text><p>" + "other words " * 30 + "</p></div>"
+    assert html.article_text(f"<body>{long}<div class=promo><p>{story}</p></div></body>", wrapper) == story
+    assert html.article_text("<body><div class=sidebar>only this</div></body>", None) == "only this"
+    assert html.article_text(f"<body><p>{story}</p><div class=ads>{story}</div></body>", None) == story
+
+
 def test_wrapper_with_optional_and_repeated_parts():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><hr>", "<ul><li>d</li><li>e</li><li>f</li></ul><p>z</p>"]
     wrapper = None
