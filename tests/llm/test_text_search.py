@@ -348,6 +348,22 @@ def test_articles_in_elements_with_words_of_surroundings():
     assert html.article_text(f"<body><p>{story}</p><div class=ads>{story}</div></body>", None) == story
 
 
+def test_end_tags_left_out():
+    for page in (
+        "<html><head><title>t</title><body><article><p>story</p></article></body></html>",
+        "<html><head><meta charset=utf-8><link rel=x><script>a</script><p>story</p>",
+        "<head><title>t</title>story",
+        "<html><head><title>t</title><style>p{}</style></head><body><header>top</header><p>story</p>",
+        "<body><p>story</p><svg/><script>if (a</script><script>rest of the page <p>x</p>",
+        "<body><svg viewbox=1><p>story</p>",
+        "<body><noscript><img src=x><p>story</p>",
+        "<body><template><p>story</p>",
+        "<body><select><p>story</p><select><option>a</option></select>",
+        "<body><p>story<svg><text>a</text></svg></p><iframe>b</iframe><noscript>c</noscript>",
+    ):
+        assert html.article_text(page, None) == "story", page
+
+
 def test_wrapper_with_optional_and_repeated_parts():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><hr>", "<ul><li>d</li><li>e</li><li>f</li></ul><p>z</p>"]
     wrapper = None
