@@ -250,6 +250,22 @@ def test_toxicity_learns_from_its_own_part(spark):
     assert again.weights == toxicity.fit(docs, spark.createDataFrame(labels, marks.schema)).weights
 
 
+def test_rare_and_short_abuse_stays_in_the_lexicon(spark):
+    rng = random.Random(9)
+    abuse = ["".join(rng.choice("bcdfghjkmpquvwxyz") for _ in range(9)) for _ in range(400)]
+    calm = sentences(50, 900, 80)
+    texts = [t + " " + (" ".join(rng.sample([a for k, a in enumerate(abuse) if (i + k) % 10 == 0] + ["zq"] * (i % 11 == 0), 40)) if i < 450 else "") for i, t in enumerate(calm)]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i < 450)) for i in range(900)], "doc_id long, toxic int"))
+    scorer = toxicity.Scorer(model)
+    assert "zq" in model.weights and all(scorer.hit(a) for a in abuse)
+    assert scorer.hit("zqx") is None
+    # a stem stands for its words
+    strong = [("abcd*", 1.0), ("abcde*", 1.0), ("abcdef", 2.0), ("abcdxy", 3.0), ("mnop*", 4.0), ("mnopq", 5.0), ("zq", 6.0)]
+    kept = toxicity.merged(spark.createDataFrame(strong, "term string, odds double")).collect()
+    assert sorted(map(tuple, kept)) == [("abcd*", 1.0), ("mnopq", 5.0), ("zq", 6.0)]
+
+
 def test_quotation_weighs_apart_from_abuse():
     model = toxicity.Model({"idiot": 5.0}, frozenset(), [3.0, 2.0, 0.2, 0.0], -3.0)
     scores = toxicity.Scorer(model).scores(pa.array(["you idiot", 'he wrote "you idiot" to them', "idi0t", "calm words", "«idiot»"]))

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,8 @@ from tidemark.session import written
 
 #: Words on each side of a hit that are its context.
 WINDOW = 8
-#: Lexicon entries kept, automaton states and words remembered by a worker.
-MOST_TERMS, MOST_STATES, MOST_WORDS = 1000, 50_000, 150_000
+#: Automaton states and words remembered by a worker.
+MOST_STATES, MOST_WORDS = 50_000, 150_000
 STEMS = (4, 5, 6, 7, 8)
 FEATURES = ("abuse", "near", "quoted", "share")
 #: What each edit leaves of a hit's weight; the model can take more off by the feature ``near``.
@@ -218,6 +218,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, id_col: str, te
     return found.withColumn("least", least).groupBy("least", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
+def merged(strong: DataFrame) -> DataFrame:
+    """The (term, odds) that say something of their own: stems of at least two words, no longer stems, and the other words.
+
+    A stem which only ever stands for one term is no stem.
+    """
+    words, stems = (strong.where(F.col("term").endswith("*") == is_stem) for is_stem in (False, True))
+
+    def begun(df: DataFrame, length: Column, beyond: int) -> DataFrame:
+        """Each term with the stems that it begins with and is longer than by ``beyond`` letters or more."""
+        sizes = F.filter(F.array(*(F.lit(n) for n in STEMS)), lambda n: n + beyond <= length)
+        return df.select("term", F.explode(F.transform(sizes, lambda n: F.concat(F.substring("term", F.lit(1), n), F.lit("*")))).alias("stem"))
+
+    spread = begun(words, F.length("term"), 0).groupBy("stem").agg(F.count(F.lit(1)).alias("words")).where("words >= 2").select("stem")
+    stems = stems.join(spread, stems.term == spread.stem, "left_semi")
+    # the asterisk is one character of a stem
+    longer = begun(stems, F.length("term") - 1, 1).join(stems.select(F.col("term").alias("stem")), "stem").select("term").distinct()
+    covered = begun(words, F.length("term"), 1).join(stems.select(F.col("term").alias("stem")), "stem").select("term").distinct()
+    return stems.join(longer, "term", "left_anti").unionByName(words.join(covered, "term", "left_anti"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """The model of at most about ``sample_rows`` labelled rows of each label that are not held out.
 
@@ -250,26 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, id_col: s
     seen = F.col("bad") + F.col("good")
     uneven = F.col("bad") * F.log(F.col("bad") / (seen * base))
     uneven += F.when(F.col("good") == 0, F.lit(0.0)).otherwise(F.col("good") * F.log(F.col("good") / (seen * (1 - base))))
-    strong = (
-        terms.where((F.col("bad") >= 3) & (odds >= 3.0) & (uneven >= math.log(max(1, terms.count())) + 3) & (F.length("term") >= 4))
-        .select("term", "bad", odds.alias("odds"))
-        .orderBy(F.desc("bad"), "term")
-        .limit(MOST_TERMS)
-        .collect()
-    )
-    weights: dict[str, float] = {}
-    for r in sorted(strong, key=lambda r: (not r.term.endswith("*"), len(r.term), r.term)):
-        if not any(r.term[:n] + "*" in weights for n in range(1, len(r.term))):
-            weights[r.term] = r.odds
-    # a stem which only ever stands for one term is no stem
-    spread: dict[str, set[str]] = defaultdict(set)
-    for r in strong:
-        for n in STEMS:
-            if not r.term.endswith("*") and r.term[:n] + "*" in weights:
-                spread[r.term[:n] + "*"].add(r.term)
-    for stem in [t for t in weights if t.endswith("*") and len(spread[t]) < 2]:
-        del weights[stem]
-        weights |= {r.term: r.odds for r in strong if r.term.startswith(stem[:-1]) and not r.term.endswith("*")}
+    strong = terms.where((F.col("bad") >= 3) & (odds >= 3.0) & (uneven >= math.log(max(1, terms.count())) + 3))
+    weights = {r.term: r.odds for r in merged(strong.select("term", odds.alias("odds"))).orderBy("term").collect()}
     if not weights:
         return Model()
 
