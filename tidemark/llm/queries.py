@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, html, jaccard, line_dedup, packing, quality, sharding, token_output, toxicity
+from tidemark.llm import chat, decontamination, html, jaccard, line_dedup, packing, prefix_trie, quality, sharding, token_output, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as it is read back from archives with an embedded dictionary."""
+    return warc.archived_pages(_table(spark, sf_dir, "pages"), least=0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,7 +102,9 @@ QUERIES = {
         op8_toxicity,
         op9_html_extraction,
         op10_line_dedup,
+        op12_warc,
+        op13_prefix_trie,
     )
 }
 
-ORACLE = {"op1_tool_calls": chat.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+ORACLE = {"op1_tool_calls": chat.ORACLE, "op10_line_dedup": line_dedup.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
