@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, html, jaccard, line_dedup, packing, prefix_trie, quality, sharding, token_output, toxicity, warc
+from tidemark.llm import alignment, chat, decontamination, html, jaccard, line_dedup, packing, prefix_trie, quality, sharding, token_output, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of a byte-level and a piece tokenizer in every document, and how common they are."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.aligned_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as it is read back from archives with an embedded dictionary."""
     return warc.archived_pages(_table(spark, sf_dir, "pages"), least=0)
@@ -102,6 +110,7 @@ QUERIES = {
         op8_toxicity,
         op9_html_extraction,
         op10_line_dedup,
+        op11_token_alignment,
         op12_warc,
         op13_prefix_trie,
     )
