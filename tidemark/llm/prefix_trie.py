@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -118,11 +119,11 @@ def _longs(lanes: np.ndarray) -> list[np.ndarray]:
     return [(lanes[:, i] | lanes[:, i + 1] << np.uint64(32)).view(np.int64) for i in (0, 2)]
 
 
-def _partial_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes of radix trees over the segments of a task."""
+def _partial_nodes(turns: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of radix trees over at most ``most`` segments of a task, each of up to ``turns`` turns."""
     for whole in batches:
-        for first in range(0, whole.num_rows, TREE_SEGMENTS):
-            batch = whole.slice(first, TREE_SEGMENTS)
+        for first in range(0, whole.num_rows, most):
+            batch = whole.slice(first, most)
             before = np.stack([batch.column(lane).to_numpy(zero_copy_only=False) for lane in LANES], axis=1).astype(np.uint64)
             sizes = batch.column("sizes")
             bounds = sizes.offsets.to_numpy() - sizes.offsets[0].as_py()
@@ -142,7 +143,7 @@ def _partial_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             at = bounds[row] + turn
             base = before[row] - total[bounds[row]]  # wraps, and is added to again
             here, there = ((base + total[at + i]) & np.uint64(_LOW) for i in (1, 0))
-            place = batch.column("seg").to_numpy(zero_copy_only=False)[row] * SEGMENT_TURNS + turn + 1
+            place = batch.column("seg").to_numpy(zero_copy_only=False)[row] * turns + turn + 1
             size = sizes.flatten().to_numpy(zero_copy_only=False)[at]
             columns = [*_longs(here), *_longs(there), place, n, conv_id, size]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[f.split()[0] for f in _PARTIAL.split(", ")])
@@ -153,12 +154,12 @@ def merged_nodes(cut: DataFrame, ids: DataFrame) -> DataFrame:
     distinct = cut.groupBy("a", "b", "depth").agg(
         F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv_id"), *[F.first(c).alias(c) for c in ("seg", "key", "sizes", "h1", "h2", *LANES)]
     )
-    partial = distinct.mapInArrow(_partial_nodes, _PARTIAL)
+    parts = distinct.mapInArrow(partial(_partial_nodes, SEGMENT_TURNS, TREE_SEGMENTS), _PARTIAL)
     none = F.lit(None).cast("long")
     zero = F.lit(0).cast("long")
     root = ids.agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id")).where("n_convs > 0")
     root = root.select(zero.alias("a"), zero.alias("b"), none.alias("pa"), none.alias("pb"), zero.alias("depth"), "n_convs", "conv_id", zero.alias("size"))
-    nodes = partial.groupBy("a", "b").agg(
+    nodes = parts.groupBy("a", "b").agg(
         *[F.first(c).alias(c) for c in ("pa", "pb", "depth")], F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.first("size").alias("size")
     )
     return nodes.unionByName(root)

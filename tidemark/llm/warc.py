@@ -30,7 +30,7 @@ FRAME_MAGIC = 0xFD2FB528
 EMPTY_FRAME = "P*M\x18\0\0\0\0"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-#: The dictionary is trained on the heads of so many records, and has so many bytes at most.
+#: The dictionary is trained on the heads of about so many records, and has so many bytes at most.
 SAMPLE_ROWS = 1000
 SAMPLE_BYTES = 8 << 10
 DICTIONARY_BYTES = 64 << 10
@@ -115,8 +115,10 @@ def write_archives(
     rows = rows.select("row_id", "url", payload.alias("payload"))
     stored = written(rows.select("*", F.sha1("payload").alias("digest"), F.monotonically_increasing_id().alias("uid")), "warc_rows")
 
-    heads = stored.select("row_id", "uid", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
-    heads = heads.orderBy(F.xxhash64("digest", "uid")).limit(SAMPLE_ROWS).collect()
+    # rows by a bound on their hash, so that no task sends more than its share of the sample
+    bound = SAMPLE_ROWS * (1 << 62) // max(1, stored.count()) * 2
+    heads = stored.where(F.xxhash64("digest", "uid").bitwiseAND(F.lit((1 << 63) - 1)) < min(bound, (1 << 63) - 1))
+    heads = heads.select("row_id", "uid", "url", "digest", F.substring("payload", 1, SAMPLE_BYTES).alias("payload")).collect()
     dictionary = train([record(bytes(r.payload), r.row_id, r.uid, r.url, _base32(bytes.fromhex(r.digest)), date, None) for r in heads])
 
     named = F.struct("row_id", "uid")
