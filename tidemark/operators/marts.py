@@ -53,37 +53,33 @@ def established_in(df: DataFrame, entity: str, period: str, threshold: int = THR
     return done.where(F.col("_nth") == threshold).select(entity, F.col(period).alias("established_by"))
 
 
-def entity_careers(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per entity from one aggregate: its sorted ``periods``, and for established ones ``best``.
+def _numbered_spells(df: DataFrame, entity: str, group: str, period: str) -> DataFrame:
+    """The distinct (entity, group, period) rows with ``_nth``, the period's number among the entity's.
 
-    ``best`` is the group of most of the first ``threshold`` periods; ties go to the group joined earlier, then to the
-    lower group id. An entity's periods are bounded by the calendar. Rows without a period do not count.
+    All that follows groups by the entity, so the rows are shuffled for it only once more.
     """
-    rows = df.where(F.col(period).isNotNull()).groupBy(entity)
-    spells = rows.agg(F.collect_set(F.struct(F.col(period).alias("p"), F.col(group).alias("g"))).alias("_spells"))
-    sorted_ = spells.withColumn("periods", F.array_sort(F.array_distinct(F.transform("_spells", lambda s: s.p))))
-    last = F.get("periods", F.lit(threshold - 1))
-    early = sorted_.withColumn("_early", F.filter("_spells", lambda s: s.p <= last))
+    spells = df.where(F.col(period).isNotNull()).select(entity, group, period).distinct()
+    return spells.withColumn("_nth", F.dense_rank().over(Window.partitionBy(entity).orderBy(period)))
 
-    def standing(g: Column) -> Column:
-        own = F.filter("_early", lambda s: s.g.eqNullSafe(g))
-        return F.struct((-F.size(own)).alias("n"), F.array_min(F.transform(own, lambda s: s.p)).alias("first"), g.alias("g"))
 
-    groups = F.array_distinct(F.transform("_early", lambda s: s.g))
-    best = F.array_min(F.transform(groups, standing))
-    return early.select(entity, "periods", last.alias("established_by"), F.when(last.isNotNull(), best).alias("best"))
+def _attributed(numbered: DataFrame, entity: str, group: str, period: str, threshold: int) -> DataFrame:
+    standing = numbered.groupBy(entity, group).agg(
+        F.count_if(F.col("_nth") <= threshold).alias("periods"),
+        F.min(period).alias("first"),
+        F.min(F.when(F.col("_nth") == threshold, F.col(period))).alias("_by"),
+    )
+    winner = F.min_by(F.struct(group, "periods", "first"), F.struct(-F.col("periods"), "first", group))
+    best = standing.groupBy(entity).agg(winner.alias("_best"), F.max("_by").alias("established_by"))
+    return best.where(F.col("established_by").isNotNull()).select(entity, "_best.*", "established_by")
 
 
 def attribute_cohort(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
-    """The group each established entity spent most of its first ``threshold`` periods with."""
-    done = entity_careers(df, entity, group, period, threshold).where(F.col("best").isNotNull())
-    return done.select(
-        entity,
-        F.col("best.g").alias(group),
-        (-F.col("best.n")).cast("long").alias("periods"),
-        F.col("best.first").alias("first"),
-        "established_by",
-    )
+    """The group each established entity spent most of its first ``threshold`` periods with.
+
+    Ties go to the group joined earlier, then to the lower group id; no group is a group too. Rows without a
+    period do not count.
+    """
+    return _attributed(_numbered_spells(df, entity, group, period), entity, group, period, threshold)
 
 
 class Cohorts(NamedTuple):
@@ -126,9 +122,10 @@ def cohort_counts(
     """Established active entities per period and attributed group, under the group's latest label."""
     labels = latest_label(df, group, label, period, tie=entity)
     latest = df.select(period).distinct().orderBy(F.col(period).desc()).limit(last_n)
-    done = entity_careers(df, entity, group, period, threshold).where(F.col("best").isNotNull())
-    since = F.slice("periods", threshold, F.size("periods"))
-    counts = done.select(F.col("best.g").alias(group), F.explode(since).alias(period)).groupBy(group, period)
+    numbered = _numbered_spells(df, entity, group, period)
+    since = numbered.where(F.col("_nth") >= threshold).select(entity, period).distinct()
+    owner = _attributed(numbered, entity, group, period, threshold).select(entity, group)
+    counts = since.join(owner, entity).groupBy(group, period)
     named = counts.agg(F.count(F.lit(1)).alias("n")).join(latest, period, "left_semi").join(labels, group)
     return named.groupBy(label, period).agg(F.sum("n").alias("n"))
 
