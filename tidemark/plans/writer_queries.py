@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import calibration, quality
 from tidemark.plans.inputs import FORECASTS_SQL, INGESTED_AT, forecasts, rounded, table
 from tidemark.plans.loading_queries import CHECKPOINT_SQL
 from tidemark.session import new_path
-from tidemark.sources import bronze
+from tidemark.operators.incremental import merge_parts
+from tidemark.sources import bronze, versions
 
 
 def slice_write(spark, sf_dir):
@@ -19,20 +23,92 @@ def slice_write(spark, sf_dir):
         return bronze.to_bronze(rows, "feed", "Events", run_id=run, ingested_at=INGESTED_AT, params_from={"day": "day"})
 
     path = new_path(spark, "slices")
+    days = days.withColumn("day", F.when(F.col("event_id") % 97 != 0, F.col("day")))  # some without a day
     first = landed(days, "r1")
-    bronze.write_slices(first, path)
+    keys = ["_endpoint", "day"]
+    bronze.write_slices(first, path, keys=keys, parts=16)
     again = days.where("day >= date '2024-01-16'").withColumn("value", F.col("value") * 2)
     fetched = landed(days.where("day >= date '2024-01-16' OR day = date '2024-01-03'"), "r2")
-    bronze.write_slices(landed(again, "r2"), path, slices=fetched)
+    bronze.write_slices(landed(again, "r2"), path, slices=fetched, keys=keys)
+    undated = landed(days.where("day is null").withColumn("value", -F.col("value")), "r3")
+    bronze.write_slices(undated, path, keys=keys)
     stored = bronze.read_slices(spark, path, first.schema)
     return stored.select("event_id", "value", "day", "_param_hash", "_run_id")
 
 
 SLICE_WRITE_SQL = """
-select cast(event_id as varchar) as event_id, cast(case when d >= date '2024-01-16' then value * 2 else value end as varchar) as value,
-       cast(d as varchar) as day, substr(sha1('{"day": "' || cast(d as varchar) || '"}'), 1, 12) as _param_hash,
-       case when d >= date '2024-01-16' then 'r2' else 'r1' end as _run_id
-from (select *, cast(ts as date) as d from events) where d <> date '2024-01-03'"""
+select cast(event_id as varchar) as event_id,
+       cast(case when d is null then -value when d >= date '2024-01-16' then value * 2 else value end as varchar) as value,
+       cast(d as varchar) as day,
+       substr(sha1('{"day": ' || coalesce('"' || cast(d as varchar) || '"', 'null') || '}'), 1, 12) as _param_hash,
+       case when d is null then 'r3' when d >= date '2024-01-16' then 'r2' else 'r1' end as _run_id
+from (select *, case when event_id % 97 <> 0 then cast(ts as date) end as d from events)
+where d is distinct from date '2024-01-03'"""
+
+
+def _daily_orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice")
+
+
+def incremental_load(spark, sf_dir):
+    """Orders by month: a later load corrects the last 30 days and some older orders, and leaves all other files as they are.
+
+    ``rewritten`` says that the row lies in a file of the second load.
+    """
+    orders, path = _daily_orders(spark, sf_dir), new_path(spark, "orders")
+    month = F.date_format("d", "yyyy-MM")
+    first = merge_parts(orders.where("d <= date '2000-06-30'"), path, ["o_orderkey"], "d", month)
+    # an order of 1996 comes again under a new date, so its old row goes
+    moved = F.when((F.year("d") == 1996) & (F.col("o_orderkey") % 1000 == 7), F.date_add(F.lit("2000-07-01").cast("date"), 5)).otherwise(F.col("d"))
+    later = orders.select("o_orderkey", moved.alias("d"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    merge_parts(later, path, ["o_orderkey"], "d", month, lookback_days=30)
+    known = [f for own in first.parts.values() for f in own]
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"(run-[^/]+/[^/]+)/[^/]+$", 1)
+    stored = versions.read(spark, path, orders.schema)
+    return stored.select("o_orderkey", "d", "o_totalprice", (~folder.isin(known)).alias("rewritten"))
+
+
+INCREMENTAL_SQL = """
+with o as (select o_orderkey, cast(o_orderdate as date) as d, o_totalprice from orders),
+mark as (select max(d) - 30 as m from o where d <= date '2000-06-30'),
+later as (select o_orderkey, case when year(d) = 1996 and o_orderkey % 1000 = 7 then date '2000-07-06' else d end as d, o_totalprice + 1 as o_totalprice from o),
+fresh as (select later.* from later, mark where d > m),
+merged as (select *, true as new from fresh union all
+         select *, false from o where d <= date '2000-06-30' and o_orderkey not in (select o_orderkey from fresh)),
+touched as (select strftime(d, '%Y-%m') as p from fresh union
+            select strftime(d, '%Y-%m') from o where d <= date '2000-06-30' and o_orderkey in (select o_orderkey from fresh))
+select o_orderkey, d, o_totalprice, strftime(d, '%Y-%m') in (select p from touched) as rewritten from merged"""
+
+
+def publish_after_gate(spark, sf_dir):
+    """Versions of a table as readers see them after each run: one is published, one fails its test, one ends before it is shown."""
+    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), new_path(spark, "published")
+    status = F.col("o_orderstatus")
+    seen = []
+
+    def run(name, rows, touched, limit, ends=False):
+        def tests(new):
+            if ends:
+                raise KeyboardInterrupt
+            return [quality.RowCheck("total", new, quality.outside("o_totalprice", 0, limit))]
+
+        try:
+            versions.replace_parts(rows, path, status, touched=touched, tests=tests)
+        except (quality.SuiteFailed, KeyboardInterrupt):
+            pass
+        shown = versions.version(spark, path)
+        seen.append(versions.read(spark, path, orders.schema, shown).select(F.lit(name).alias("run"), F.lit(shown.number).alias("version"), "*"))
+
+    run("first", orders.where("o_orderstatus <> 'P'"), None, 1e12)
+    run("bad", orders.where("o_orderstatus = 'F'").withColumn("o_totalprice", -F.col("o_totalprice")), ["F"], 1e12)
+    run("killed", orders.where("o_orderstatus = 'P'"), ["P"], 1e12, ends=True)
+    run("good", orders.where("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") * 2), ["O"], 1e12)
+    return reduce(DataFrame.unionAll, seen)
+
+
+PUBLISH_SQL = """
+select run, version, o_orderkey, o_orderstatus, case when version = 2 and o_orderstatus = 'O' then o_totalprice * 2 else o_totalprice end as o_totalprice
+from orders, (values ('first', 1), ('bad', 1), ('killed', 1), ('good', 2)) as runs (run, version) where o_orderstatus <> 'P'"""
 
 
 def clustered_write(spark, sf_dir):
@@ -150,13 +226,15 @@ select cast(event_id as varchar) as event_id, j as _params_json, substr(sha1(j),
 QUERIES = {
     f.__name__: f
     for f in (
-        slice_write, clustered_write, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
+        slice_write, incremental_load, publish_after_gate, clustered_write, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
         contract_summary, calibration_by_model, hash_of_line_ends,
     )
 }
 
 ORACLE = {
     "slice_write": SLICE_WRITE_SQL,
+    "incremental_load": INCREMENTAL_SQL,
+    "publish_after_gate": PUBLISH_SQL,
     "clustered_write": "select * from lineitem",
     "full_replace": "select * from orders where o_orderstatus = 'F'",
     "snapshot_reuse": "select cast(ts as date) as day, count(*) as n from events group by 1",

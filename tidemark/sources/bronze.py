@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.keys import params_json, row_params_json, slice_hash
 from tidemark.functions.text import text_sql
-from tidemark.session import written
+from tidemark.sources import versions
 
 # The lineage columns of every raw row.
 LINEAGE = ("_endpoint", "_result_set", "_params_json", "_param_hash", "_ingested_at", "_run_id")
@@ -77,45 +77,44 @@ def slice_upsert(
     return existing.join(arrived, list(keys), "left_anti").select(*existing.columns).unionByName(batch)
 
 
-# Folders of a slice table; a slice's rows all lie in the folder of its hash.
-SLICE_FOLDERS = 64
+# Parts of a new slice table; a slice's rows all lie in the part of its hash.
+SLICE_PARTS = 64
 
 
 def write_slices(
-    batch: DataFrame, path: str, *, slices: DataFrame | None = None, replace: bool = True, keys: Sequence[str] = SLICE_KEYS
+    batch: DataFrame,
+    path: str,
+    *,
+    slices: DataFrame | None = None,
+    replace: bool = True,
+    keys: Sequence[str] = SLICE_KEYS,
+    parts: int = SLICE_PARTS,
 ) -> None:
-    """Load slices into a parquet table in SLICE_FOLDERS folders; re-running a load leaves the same rows.
+    """Load slices into a table of versions; re-running a load leaves the same rows.
 
-    Only the folders of arriving slices are rewritten, with their other slices' rows carried over. ``slices``
-    lists the fetched slices when some of them came back empty, which clears them. Folders hold
-    whole files of many slices; the stored columns and types are the batch's.
-    Read the table by ``read_slices``, as the folder is no column of it.
+    Only the parts of arriving slices are rewritten, with their other slices' rows carried over, and all of
+    them change at once. ``slices`` lists the fetched slices when some of them came back empty, which clears
+    them. A NULL key is a key. ``parts`` holds for a new table and is kept with it. The stored columns and types
+    are the batch's. Read the table by ``read_slices``.
     """
     spark, schema = batch.sparkSession, batch.schema
-    folder = F.pmod(F.xxhash64(*keys), F.lit(SLICE_FOLDERS)).cast("int")
-    rows = batch
-    if replace:
-        arrived = (batch if slices is None else batch.select(*keys).unionByName(slices.select(*keys))).select(*keys).distinct()
-        touched = [r[0] for r in arrived.select(folder).distinct().collect()]  # SLICE_FOLDERS at most
-        held = read_slices(spark, path, schema, keys).where(folder.isin(touched))
-        on = reduce(lambda a, b: a & b, [held[k].eqNullSafe(arrived[k]) for k in keys])
-        kept = held.join(arrived, on, "left_anti")
-        # stored apart first, as it is read from the folders that are about to be replaced
-        rows = written(kept.unionByName(batch), "slices")
-    mode = "overwrite" if replace else "append"
-    marked = rows.withColumn("_folder", folder).repartition("_folder")
-    if replace:  # a row of nulls in each folder, so that an emptied one is rewritten too
-        marked = marked.unionByName(spark.createDataFrame([(f,) for f in touched], "_folder int"), allowMissingColumns=True)
-    marked.write.partitionBy("_folder").mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def read_slices(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = SLICE_KEYS) -> DataFrame:
-    """The rows of a slice table under its own types; an absent table is empty. Rows without keys are the writer's."""
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
-        return spark.createDataFrame([], schema)
-    found = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    return found.where(F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull())
+    before = versions.version(spark, path)
+    about = {"parts": before.about.get("parts", parts)}
+    part = F.pmod(F.xxhash64(*keys), F.lit(about["parts"]))
+    if not replace:
+        versions.replace_parts(batch, path, part, add=True, about=about, after=before)
+        return
+    arrived = (batch if slices is None else batch.select(*keys).unionByName(slices.select(*keys))).select(*keys).distinct()
+    touched = versions.parts_in(arrived, part)
+    held = versions.read(spark, path, schema, before, touched)
+    on = reduce(lambda a, b: a & b, [held[k].eqNullSafe(arrived[k]) for k in keys])
+    rows = held.join(arrived, on, "left_anti").unionByName(batch)
+    versions.replace_parts(rows, path, part, touched=touched, about=about, after=before)
+
+
+def read_slices(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of a slice table under its own types; an absent table is empty."""
+    return versions.read(spark, path, schema)
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
