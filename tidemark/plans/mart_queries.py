@@ -395,6 +395,33 @@ s as (select vec_id, list_inner_product(cast(embedding as double[]), v)
 select vec_id, round(similarity, 6) as similarity from s order by s.similarity desc, vec_id limit 20"""
 
 
+def similarity_blocks(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one, compared with all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return rounded(similarity.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 100 == 0), 6, "similarity")
+
+
+_NEAREST_SQL = """
+u as (select vec_id, cast(embedding as double[]) as v from embeddings),
+n as (select vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as v from u),
+s as (select q.vec_id as query, n.vec_id as neighbour, round(list_inner_product(q.v, n.v), 9) as similarity
+      from n q join n on n.vec_id <> q.vec_id where q.vec_id % 100 = 0),
+nearest as (
+    select query, neighbour, round(similarity, 6) as similarity,
+           cast(row_number() over (partition by query order by s.similarity desc, neighbour) as int) as rank from s
+    qualify row_number() over (partition by query order by s.similarity desc, neighbour) <= 10)"""
+
+
+def similarity_index(spark, sf_dir):
+    """The same queries through an index of random hyperplanes, held against the exact answer: at least 0.9 must be found."""
+    vectors, wanted = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0
+    planes = similarity.fit_planes(vectors, "vec_id", "embedding")
+    index = similarity.index_of(vectors, "vec_id", "embedding", planes)
+    found = similarity.search(vectors, "vec_id", "embedding", wanted, index, planes)
+    exact = similarity.nearest(vectors, "vec_id", "embedding", wanted)
+    return similarity.recall_of(found, exact).select("pairs", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 def holdout_split(spark, sf_dir):
     games = sides(spark, sf_dir).select("game_id", "team_id", "opponent_team_id", "game_date")
     tagged = incremental.temporal_split(games, "team_id", ["game_date", "game_id"], 60)
@@ -438,6 +465,8 @@ QUERIES = {
     "situation_flag": situation_flag,
     "with_without": with_without,
     "similarity_topk": similarity_topk,
+    "similarity_blocks": similarity_blocks,
+    "similarity_index": similarity_index,
     "holdout_split": holdout_split,
 }
 
@@ -475,5 +504,7 @@ ORACLE = {
     "situation_flag": SITUATION_SQL,
     "with_without": WITH_SQL,
     "similarity_topk": SIMILARITY_SQL,
+    "similarity_blocks": f"with {_NEAREST_SQL} select * from nearest",
+    "similarity_index": f"with {_NEAREST_SQL} select count(*) as pairs, true as recall_reached from nearest",
     "holdout_split": HOLDOUT_SQL,
 }
