@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import calibration, efficiency, incremental, marts, similarity, staging
+from tidemark.operators import calibration, efficiency, incremental, marts, ridge, similarity, staging
 from tidemark.plans.inputs import (
     CAREERS_SQL,
     FORECASTS_SQL,
@@ -208,6 +211,75 @@ select season, round(sum(value), 6) as weight,
        round(sum(value * abs(win_prob - won)) / sum(value), 6) as mae
 from forecasts group by season"""
 
+
+# penalties that are tried, and steps of the SQL counterpart's descent, enough for 9 digits
+PENALTIES = (0.03, 0.1, 0.3)
+_STEPS = 110
+
+
+def lineups(spark, sf_dir):
+    """Orders as contests of two lineups: the suppliers of open lines against those of finished ones."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"))
+    rows = lines.groupBy(F.col("l_orderkey").alias("id")).agg(
+        *[F.collect_set(F.when(F.col("l_linestatus") == c, F.col("l_suppkey"))).alias(n) for c, n in (("O", "off"), ("F", "def"))],
+        F.sum("l_quantity").alias("y"),
+        F.count(F.lit(1)).alias("w"),
+    )
+    return rows.join(orders, F.col("id") == F.col("o_orderkey")).withColumn("terms", ridge.terms("off", "def"))
+
+
+def ridge_by_split(spark, sf_dir):
+    """Errors on held-out contests by split: at random, the last seasons, and pairs that the fit has not seen.
+
+    The penalty is the one of least error on further rows held out in the same way; ``naive_rmse`` is the
+    error of the training rows' mean.
+    """
+    rows = written(ridge.pair_holdout(lineups(spark, sf_dir), "off", "def", 10).withColumn("last", F.greatest(2000 - F.col("season"), F.lit(0))), "lineups")
+    found = []
+    for name, number in (("pairs", "fold"), ("random", "tenth"), ("temporal", "last")):
+        part = rows.withColumn("tenth", F.col("id") % 10)
+        test, valid, train = (part.where(c) for c in (F.col(number) == 0, F.col(number) == 1, F.col(number) > 1))
+        chosen = ridge.choose_penalty(train, valid, "terms", "y", "w", PENALTIES)
+        model = ridge.fit_ridge(train, "terms", "y", "w", chosen)
+        mean = train.agg(F.sum(F.col("w") * F.col("y")) / F.sum("w")).scalar()
+        scored = ridge.predicted(test, "terms", model).withColumn("mean", mean)
+        errors = [calibration.weighted_error(scored, p, "y", "w").withColumnRenamed("rmse", f"{p}_rmse") for p in ("predicted", "mean")]
+        shown = [F.lit(name).alias("split"), F.lit(chosen).alias("penalty"), F.col("weight").cast("long").alias("weight")]
+        found.append(errors[0].join(errors[1], "weight").select(*shown, F.col("predicted_rmse").alias("ridge_rmse"), F.col("mean_rmse").alias("naive_rmse")))
+    return rounded(reduce(DataFrame.unionAll, found), 5, "ridge_rmse", "naive_rmse")
+
+
+RIDGE_SQL = f"""
+with recursive members as (
+    select l_orderkey as id, l_suppkey as m, l_linestatus as side, sum(l_quantity) as q, count(*) as n from lineitem group by 1, 2, 3),
+c as (
+    select id, sum(q) as y, sum(n) as w, (min(m) * 31 + max(m)) % 10 as fold, greatest(2000 - year(any_value(o_orderdate)), 0) as last
+    from members join orders on o_orderkey = id group by id),
+t as (select id, case side when 'O' then 'o' else 'd' end || m as term from members),
+s as (select 'pairs' as split, least(fold, 2) as part, * from c union all select 'random', least(id % 10, 2), * from c
+      union all select 'temporal', least(last, 2), * from c),
+mean as (select split, sum(w) as total, sum(w * y) / sum(w) as mean from s where part = 2 group by 1),
+x as (select split, term, id, y - mean as y, w / total as w from s join mean using (split) join t using (id) where part = 2),
+centre as (select split, term, sum(w) as share from x group by 1, 2),
+descent as (
+    select 0 as step, split, penalty, term, 0.0::double as beta from centre, (values {", ".join(f"({p}::double)" for p in PENALTIES)}) as v (penalty)
+    union all
+    select step + 1, split, penalty, d.term, d.beta + (g.g - penalty * d.beta) / (0.1 + penalty)
+    from descent d join (
+        select split, penalty, x.term, sum(x.w * (x.y - fit + shift)) as g
+        from x join (select split, penalty, id, sum(beta) as fit from x join descent using (split, term) group by 1, 2, 3) f using (split, id)
+             join (select split, penalty, sum(share * beta) as shift from centre join descent using (split, term) group by 1, 2) using (split, penalty)
+        group by 1, 2, 3) g using (split, penalty, term)
+    where step < {_STEPS}),
+beta as (select * from descent where step = {_STEPS}),
+shift as (select split, penalty, sum(share * beta) as shift from centre join beta using (split, term) group by 1, 2),
+held as (
+    select split, part, penalty, w, y - mean as y, coalesce((select sum(beta) from t join beta b on b.split = s.split and b.penalty = shift.penalty and b.term = t.term where t.id = s.id), 0) - shift as p
+    from s join mean using (split) join shift using (split) where part < 2),
+errors as (select split, part, penalty, sum(w) as weight, sqrt(sum(w * pow(y - p, 2)) / sum(w)) as ridge_rmse, sqrt(sum(w * y * y) / sum(w)) as naive_rmse from held group by 1, 2, 3)
+select e.split, e.penalty, cast(e.weight as bigint) as weight, round(e.ridge_rmse, 5) as ridge_rmse, round(e.naive_rmse, 5) as naive_rmse
+from errors e join (select split, arg_min(penalty, ridge_rmse) as penalty from errors where part = 1 group by 1) using (split, penalty) where e.part = 0"""
+
 # --- expectations ------------------------------------------------------------------
 
 
@@ -455,6 +527,7 @@ QUERIES = {
     "auc_score": auc_score,
     "ece_score": ece_score,
     "weighted_error": weighted_error,
+    "ridge_by_split": ridge_by_split,
     "elo_calibration": elo_calibration,
     "rolling_splits": rolling_splits,
     "point_in_time_features": point_in_time_features,
@@ -489,6 +562,7 @@ ORACLE = {
     "auc_score": _calibration_sql(True, ["season", "auc"]),
     "ece_score": _calibration_sql(True, ["season", "ece"]),
     "weighted_error": WEIGHTED_SQL,
+    "ridge_by_split": RIDGE_SQL,
     "elo_calibration": _calibration_sql(
         True,
         ["season", *_ALL],
