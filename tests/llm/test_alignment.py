@@ -1,8 +1,10 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import CLASH_VALUES, CLASHING, SCHEMA, awkward
 from tidemark.llm import alignment, mph
@@ -103,10 +105,36 @@ def test_empty_table_and_clashing_names(spark):
 
 @pytest.mark.parametrize("text", [" " * 300_000, "a" * 300_000, "\n" * 100_000 + "x", "日" * 50_000])
 def test_long_runs(text):
-    one, two = alignment.ByteTokenizer(BYTE), alignment.PieceTokenizer(PIECE)
+    both = alignment.WordPairs(alignment.ByteTokenizer(BYTE), alignment.PieceTokenizer(PIECE))
     raw = (" " + text).encode()
-    assert one.bytes.of(one.encode(" " + text)).tobytes() == raw
-    assert two.bytes.of(two.encode(text)).tobytes() == raw
+    for side, found in zip((both.first, both.second), both.encode(pa.array([text, None, ""])), strict=True):
+        ids = np.frombuffer(found[0].as_py(), alignment.ID)
+        assert side.bytes.of(ids).tobytes() == raw and found[1].as_py() == found[2].as_py() == b""
+
+
+def test_words_apart_give_the_ids_of_whole_texts():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    rng = random.Random(2)
+    signs = [" ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2028", "▁", "a", "the", "Wort", "été", "'s", "'", ".", ",", "12", "日本", "\x1c", "\x85", "😀", "İ", "x́"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    one, two = Tokenizer.from_file(BYTE), sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    one.encode_special_tokens = True
+    both = alignment.WordPairs(alignment.ByteTokenizer(BYTE), alignment.PieceTokenizer(PIECE))
+    assert both.apart
+    lost = 0
+    for at in (0, 1000, 2000, 3000):
+        part = texts[at : at + 1000]
+        a, b = both.encode(pa.array(part))
+        for text, x, y in zip(part, a.to_pylist(), b.to_pylist(), strict=True):
+            if x or y:
+                assert np.frombuffer(x, alignment.ID).tolist() == one.encode(" " + text, add_special_tokens=False).ids
+                assert np.frombuffer(y, alignment.ID).tolist() == two.encode(text)
+            else:
+                lost += 1
+                assert both.second.bytes.of(np.array(two.encode(text))).tobytes() != (" " + text).encode()
+    assert lost < 4000
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 40_000])

@@ -1,6 +1,6 @@
 """Tokens of two tokenizers linked where their byte ranges overlap, and how common each link is.
 
-Texts are encoded once and their ids stored. A first pass over the ids aligns them and collects
+Texts are encoded once, each distinct word of a batch for itself, and their ids stored. A first pass over the ids aligns them and collects
 the distinct id pairs of each task with the number of documents that hold them. A minimal
 perfect hash of all distinct pairs numbers them; the tasks' numbers become dense vectors
 that are summed in a tree. A second pass aligns the ids again and looks each link up: the hash
@@ -11,11 +11,13 @@ Pairs are dealt to shards by hash and taken in blocks of bounded size, each with
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,14 @@ BLOCK_PAIRS = 1 << 22
 PIECE = 1 << 16
 FAN_IN = 16
 #: Bytes of text to encode, bytes of ids to align, and distinct pairs that a task holds, at a time.
-TEXT_BYTES = 1 << 20
-ID_BYTES = 2 << 20
-HELD_PAIRS = 1 << 21
+TEXT_BYTES = 2 << 20
+ID_BYTES = 1 << 19
+HELD_PAIRS = 1 << 20
+#: Words that the piece tokenizer gets as one text.
+JOINED_WORDS = 16
+
+#: How ids are stored.
+ID = "<u2"
 
 #: The pattern that byte-level tokenizers of this kind cut texts by.
 BYTE_LEVEL_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -56,7 +63,7 @@ class _Bytes:
     """The bytes of every id, laid in a row."""
 
     def __init__(self, entries: list[bytes]):
-        self.length = np.array([len(e) for e in entries], np.int64)
+        self.length = np.array([len(e) for e in entries], np.int32)
         self.start = np.cumsum(self.length) - self.length
         self.raw = np.frombuffer(b"".join(entries), np.uint8)
 
@@ -92,7 +99,7 @@ class ByteTokenizer:
     def encode(self, text: str) -> np.ndarray:
         if self.fast is not None:
             try:
-                return np.array(self.fast.encode_ordinary(text), np.int64)
+                return self.fast.encode_to_numpy(text, disallowed_special=())
             except BaseException as e:  # its pattern engine panics on some very long runs
                 if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
                     raise
@@ -100,33 +107,138 @@ class ByteTokenizer:
 
 
 class PieceTokenizer:
-    """A sentencepiece model with byte fallback, which puts a space before the text."""
+    """A sentencepiece model with byte fallback, which puts a space before the text.
+
+    ``words_apart`` says that no piece goes on over the beginning of a word.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = _Bytes(
-            [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        )
+        byte = self.model.is_byte
+        self.bytes = _Bytes([bytes([int(p[3:5], 16)]) if byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text), np.int64)
+        self.words_apart = not any("▁" in p.lstrip("▁") for p in pieces)
+
+    def encode(self, words: list[str]) -> np.ndarray:
+        """The ids of the words with a space before each; a long text takes longer than its parts."""
+        parts = [" ".join(words[i : i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        return np.fromiter(chain.from_iterable(self.model.encode(parts, num_threads=1)), np.int64)
 
 
-_LOADED: dict[tuple[type, str], ByteTokenizer | PieceTokenizer] = {}
+#: A space that begins a word, after which neither tokenizer looks back; and texts with spaces of other kinds.
+WORD_START = re.compile(r"(?<=[^ ▁]) (?=\S)")
+OTHER_SPACES = r"^[\s\p{Z}\x{85}]| $| [\s\p{Z}\x{85}]|▁ "
+#: Words that cannot stand between others: empty, or with a beginning or an end that could join its neighbour.
+ALONE = r"^$|^[\s\p{Z}\x{85}]|[ ▁]$"
 
 
-def _loaded(kind: type, path: str) -> ByteTokenizer | PieceTokenizer:
-    """This worker's tokenizer; it is loaded once."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+class WordPairs:
+    """Ids of texts under both tokenizers, word by word; a text that either one does not give back has none.
+
+    A word is what stands between two spaces that begin a word. Neither a match of the byte-level pattern nor a
+    piece goes over such a place, so the ids of a text are those of its words in a row. The distinct
+    words of a batch are encoded as one text.
+    """
+
+    def __init__(self, first: ByteTokenizer, second: PieceTokenizer):
+        self.first, self.second = first, second
+        self.apart = first.fast is not None and second.words_apart
+
+    def _words(self, texts: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray]:
+        """All words, and the texts' bounds in them."""
+        if not self.apart:
+            return texts, np.arange(len(texts) + 1)
+        if pc.any(pc.match_substring_regex(texts, OTHER_SPACES)).as_py():
+            words = [WORD_START.split(t) for t in texts.to_pylist()]
+            return pa.array([w for own in words for w in own], pa.large_string()), np.cumsum([0, *map(len, words)])
+        words = pc.split_pattern(texts, " ")
+        return words.flatten(), words.offsets.to_numpy() - words.offsets[0].as_py()
+
+    def _encoded(self, words: list[str], sizes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Both tokenizers' ids of the words in a row, how many each word has, and the words that are not given back."""
+        text = " ".join(words)
+        raw = np.frombuffer(f" {text}".encode(), np.uint8)
+        ids = [self.first.encode(f" {text}"), self.second.encode(words)] if text else [np.zeros(0, np.int64)] * 2
+        if all(np.array_equal(t.bytes.of(i), raw) for t, i in zip((self.first, self.second), ids, strict=True)):
+            ends = np.cumsum(sizes + 1)
+            places = [np.searchsorted(np.cumsum(t.bytes.length[i]), ends) + 1 for t, i in zip((self.first, self.second), ids, strict=True)]
+            return ids, [np.diff(p, prepend=0) for p in places], np.zeros(len(words), bool)
+        if len(words) == 1:
+            return [np.zeros(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2, np.ones(1, bool)
+        half = len(words) // 2
+        return _joined([self._encoded(words[:half], sizes[:half]), self._encoded(words[half:], sizes[half:])])
+
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The texts' ids under both, as arrays of little-endian numbers of type ID."""
+        texts = compacted(texts)[2]
+        words, bounds = self._words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        sizes = pc.binary_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
+        alone = pc.match_substring_regex(distinct, ALONE).to_numpy(zero_copy_only=False) if self.apart else np.ones(len(distinct), bool)
+        order = np.argsort(alone, kind="stable")
+        listed = distinct.take(pa.array(order)).to_pylist()
+        together = int(len(listed) - alone.sum())
+        groups = [slice(0, together)] if together else []
+        groups += [slice(i, i + 1) for i in range(together, len(listed))]
+        ids, counts, lost = _joined([self._encoded(listed[g], sizes[order[g]]) for g in groups])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        code = place[coded.indices.to_numpy(zero_copy_only=False)]
+        none = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).copy()
+        before = np.concatenate([[0], np.cumsum(lost[code])])
+        none |= before[bounds[1:]] > before[bounds[:-1]]
+        code = code[~np.repeat(none, np.diff(bounds))]
+        kept = np.concatenate([[0], np.cumsum(np.where(none, 0, np.diff(bounds)))])
+        return tuple(_gathered(i.astype(ID), n, code, kept) for i, n in zip(ids, counts, strict=True))
+
+
+def _joined(parts: list) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    if not parts:
+        return [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2, np.zeros(0, bool)
+    ids, counts = ([np.concatenate([p[k][side] for p in parts]) for side in (0, 1)] for k in (0, 1))
+    return ids, counts, np.concatenate([p[2] for p in parts])
+
+
+def _gathered(ids: np.ndarray, size: np.ndarray, code: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Binary values, each the ids of a run of codes in a row; ``size`` says how many ids each code has."""
+    start = np.cumsum(size) - size
+    length = size[code]
+    ends = np.cumsum(length)
+    at = np.repeat(start[code] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
+    stops = np.concatenate([[0], ends])[bounds] * ids.itemsize
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(stops.astype(np.int64)), pa.py_buffer(ids[at])])
+
+
+_LOADED: dict[tuple[str, str], WordPairs] = {}
+
+
+def _loaded(byte_path: str, piece_path: str) -> WordPairs:
+    """This worker's tokenizers; they are loaded once."""
+    if (byte_path, piece_path) not in _LOADED:
+        _LOADED[byte_path, piece_path] = WordPairs(ByteTokenizer(byte_path), PieceTokenizer(piece_path))
+    return _LOADED[byte_path, piece_path]
+
+
+class Lengths(NamedTuple):
+    """How many bytes each id of the two tokenizers stands for."""
+
+    first: np.ndarray
+    second: np.ndarray
+
+
+def _lengths(byte_path: str, piece_path: str) -> Lengths:
+    tokenizers = ByteTokenizer(byte_path), PieceTokenizer(piece_path)
+    if max(len(t.bytes.length) for t in tokenizers) > np.iinfo(ID).max:
+        raise ValueError("more ids than fit the stored type")
+    return Lengths(*(t.bytes.length for t in tokenizers))
 
 
 def encoded(df: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, a, b): the ids of every text under both tokenizers, as little-endian unsigned 32-bit numbers.
+    """(doc_id, a, b): the ids of every text under both tokenizers, as little-endian numbers of type ID.
 
     They are empty for texts that are null or empty, or that either tokenizer does not give back byte for byte.
     """
@@ -134,20 +246,11 @@ def encoded(df: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, a binary, b binary"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = _loaded(ByteTokenizer, byte_path), _loaded(PieceTokenizer, piece_path)
+        both = _loaded(byte_path, piece_path)
         for batch in batches:
             for part in chunks(batch, "text", TEXT_BYTES):
-                out = []
-                for text in pc.fill_null(part.column("text"), "").to_pylist():
-                    a = b = np.zeros(0, np.int64)
-                    if text:
-                        raw = np.frombuffer(b" " + text.encode(), np.uint8)
-                        a, b = first.encode(" " + text), second.encode(text)
-                        if not (np.array_equal(first.bytes.of(a), raw) and np.array_equal(second.bytes.of(b), raw)):
-                            a = b = a[:0]
-                    out.append((a.astype("<u4").tobytes(), b.astype("<u4").tobytes()))
-                columns = [pa.array(c, pa.binary()) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "a", "b"])
+                a, b = both.encode(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), a.cast(pa.binary()), b.cast(pa.binary())], names=["doc_id", "a", "b"])
 
     return docs.mapInArrow(encode, schema)
 
@@ -155,20 +258,25 @@ def encoded(df: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
 class Aligned:
     """Links and groups of a batch of texts: where the tokens of both tokenizers end, over all texts in a row."""
 
-    def __init__(self, batch: pa.RecordBatch, first: ByteTokenizer, second: PieceTokenizer):
+    def __init__(self, batch: pa.RecordBatch, lengths: Lengths):
         (self.a, self.a_bounds), (self.b, self.b_bounds) = _ids(batch.column("a")), _ids(batch.column("b"))
-        self.width = len(second.bytes.length)
-        self.a_ends, self.b_ends = np.cumsum(first.bytes.length[self.a]), np.cumsum(second.bytes.length[self.b])
-        # each text's last tokens end together, so the sums of all texts agree there
-        self.ends = np.unique(np.concatenate([self.a_ends, self.b_ends]))
-        self.link_a = np.searchsorted(self.a_ends, self.ends)
-        self.link_b = np.searchsorted(self.b_ends, self.ends)
+        self.width = len(lengths.second)
+        self.a_ends, self.b_ends = np.cumsum(lengths.first[self.a]), np.cumsum(lengths.second[self.b])
+        # each text's last tokens end together, so both mark the same last byte
+        size = int(self.a_ends[-1]) if len(self.a) else 0
+        a_mark, b_mark = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+        a_mark[self.a_ends] = b_mark[self.b_ends] = True
+        ends = np.flatnonzero(a_mark | b_mark)
+        # the token that reaches each end is the first that ends there or later
+        link_a, link_b = np.cumsum(a_mark, dtype=np.int32)[ends] - a_mark[ends], np.cumsum(b_mark, dtype=np.int32)[ends] - b_mark[ends]
         #: the pair of each link, and each text's links
-        self.pairs = self.a[self.link_a] * self.width + self.b[self.link_b]
+        self.pairs = self.a[link_a].astype(np.uint32) * np.uint32(self.width) + self.b[link_b]
         stops = np.concatenate([[0], self.a_ends])[self.a_bounds]
-        self.bounds = np.searchsorted(self.ends, stops, "right")
-        self.common = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
-        self.n_groups = np.diff(np.searchsorted(self.common, stops, "right"))
+        before = np.concatenate([np.cumsum(a_mark | b_mark, dtype=np.int32), [0]])
+        self.bounds = before[stops]
+        self.common = a_mark & b_mark
+        self.groups_until = np.cumsum(self.common, dtype=np.int32)
+        self.n_groups = np.diff(self.groups_until[stops])
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums of the links' values by text."""
@@ -177,68 +285,74 @@ class Aligned:
 
     def distinct_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pairs, and how many of the texts hold each."""
-        text = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        order = np.lexsort((text, self.pairs))
-        pair, text = self.pairs[order], text[order]
-        fresh = np.ones(len(pair), bool)
-        fresh[1:] = (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])
-        return np.unique(pair[fresh], return_counts=True)
+        text = np.repeat(np.arange(len(self.bounds) - 1, dtype=np.uint64), np.diff(self.bounds))
+        both = np.sort(text << np.uint64(32) | self.pairs)
+        pair = np.sort((both[_fresh(both)] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        first = np.flatnonzero(_fresh(pair))
+        return pair[first].astype(np.int64), np.diff(np.append(first, len(pair)))
 
     def group_texts(self) -> list[bytes]:
         """Each text's groups as ``a1,a2|b1;a3|b2,b3``."""
-        a_last, b_last = np.isin(self.a_ends, self.common, assume_unique=True), np.isin(self.b_ends, self.common, assume_unique=True)
-        a_group = np.searchsorted(self.common, self.a_ends)
-        b_group = np.searchsorted(self.common, self.b_ends)
+        a_last, b_last = self.common[self.a_ends], self.common[self.b_ends]
+        a_group, b_group = self.groups_until[self.a_ends] - a_last, self.groups_until[self.b_ends] - b_last
+        groups = int(self.groups_until[-1])
         # within a group all tokens of the first tokenizer stand before those of the second
-        a_place = np.arange(len(self.a)) + np.searchsorted(b_group, a_group)
-        b_place = np.arange(len(self.b)) + np.searchsorted(a_group, b_group, "right")
-        ids, sign = np.empty(len(self.a) + len(self.b), np.int64), np.empty(len(self.a) + len(self.b), np.uint8)
+        a_until = np.cumsum(np.bincount(a_group, minlength=groups))
+        b_until = np.concatenate([[0], np.cumsum(np.bincount(b_group, minlength=groups))])
+        a_place, b_place = np.arange(len(self.a)) + b_until[a_group], np.arange(len(self.b)) + a_until[b_group]
+        ids, sign = np.empty(len(self.a) + len(self.b), np.int32), np.empty(len(self.a) + len(self.b), np.uint8)
         ids[a_place], ids[b_place] = self.a, self.b
         sign[a_place], sign[b_place] = np.where(a_last, ord("|"), ord(",")), np.where(b_last, ord(";"), ord(","))
         digits, length = _digits(int(ids.max()) if len(ids) else 0)
         size = length[ids] + 1
-        table = np.concatenate([digits, np.zeros((len(digits), 1), np.uint8)], axis=1)[ids]
+        table = digits[ids]
         table[np.arange(len(ids)), size - 1] = sign
-        raw = table[np.arange(table.shape[1]) < size[:, None]].tobytes()
+        raw = table[np.arange(table.shape[1], dtype=np.int32) < size[:, None]].tobytes()
         stops = np.concatenate([[0], np.cumsum(size)])[self.a_bounds + self.b_bounds]
         return [raw[s : e - 1] if e > s else b"" for s, e in zip(stops[:-1], stops[1:], strict=True)]
 
 
+def _fresh(ordered: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    fresh = np.ones(len(ordered), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    return fresh
+
+
 _DIGITS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of 0 to a number above ``most``, from the left, and how many there are."""
+    """The decimal digits of 0 to a number above ``most``, from the left with room for a sign, and how many there are."""
     size = 1 << most.bit_length()
     if size not in _DIGITS:
-        text = np.arange(size).astype(f"S{len(str(size))}")
-        _DIGITS[size] = text.view(np.uint8).reshape(size, -1), np.char.str_len(text)
+        text = np.arange(size).astype(f"S{len(str(size)) + 1}")
+        _DIGITS[size] = text.view(np.uint8).reshape(size, -1), np.char.str_len(text).astype(np.int32)
     return _DIGITS[size]
 
 
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, bounds, _ = compacted(column.cast(pa.large_binary()).view(pa.large_string()))
-    return np.frombuffer(raw.tobytes(), "<u4").astype(np.int64), bounds // 4
+    return np.frombuffer(raw.tobytes(), ID), bounds // np.dtype(ID).itemsize
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], byte_path: str, piece_path: str) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
-    first, second = _loaded(ByteTokenizer, byte_path), _loaded(PieceTokenizer, piece_path)
+def _aligned(batches: Iterator[pa.RecordBatch], lengths: Lengths) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
     for batch in batches:
         for part in chunks(batch, "a", ID_BYTES):
-            yield part, Aligned(part, first, second)
+            yield part, Aligned(part, lengths)
 
 
 def _shard(pairs: np.ndarray, shards: int) -> np.ndarray:
     return (spread(pairs, MOST_LEVELS) % np.uint64(shards)).astype(np.int64)
 
 
-def document_counts(stored: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
+def document_counts(stored: DataFrame, lengths: Lengths) -> DataFrame:
     """(pair, n): how many documents hold a linked pair, in parts; a task has several rows for a pair where it has very many pairs."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for _, links in _aligned(batches, byte_path, piece_path):
+        for _, links in _aligned(batches, lengths):
             held.append(links.distinct_pairs())
             size += len(held[-1][0])
             if size >= HELD_PAIRS:
@@ -254,10 +368,11 @@ def document_counts(stored: DataFrame, byte_path: str, piece_path: str) -> DataF
 
 
 def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    pairs, place = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-    n = np.zeros(len(pairs), np.int64)
-    np.add.at(n, place, np.concatenate([n for _, n in held]))
-    return pairs, n
+    pairs, n = (np.concatenate(c) for c in zip(*held, strict=True))
+    order = np.argsort(pairs, kind="stable")
+    pairs, n = pairs[order], n[order]
+    first = np.flatnonzero(_fresh(pairs))
+    return pairs[first], np.add.reduceat(n, first) if len(n) else n
 
 
 def _table(counts: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
@@ -346,7 +461,7 @@ def _vector(summed: DataFrame, size: int) -> np.ndarray:
     return total
 
 
-def looked_up(stored: DataFrame, block: Block, counts: np.ndarray, best: np.ndarray, byte_path: str, piece_path: str) -> DataFrame:
+def looked_up(stored: DataFrame, block: Block, counts: np.ndarray, best: np.ndarray, lengths: Lengths) -> DataFrame:
     """Every document's measures; n_best and count_sum over the links whose pairs are in the block."""
     shared = stored.sparkSession.sparkContext.broadcast((block, counts, best))
     names = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -355,8 +470,8 @@ def looked_up(stored: DataFrame, block: Block, counts: np.ndarray, best: np.ndar
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, counts, best = shared.value
-        for part, links in _aligned(batches, byte_path, piece_path):
-            place = block.index(links.pairs)
+        for part, links in _aligned(batches, lengths):
+            place = block.index(links.pairs.astype(np.int64))
             n = np.where(place >= 0, counts[place], 0) if len(counts) else np.zeros(len(place), np.int64)
             top = (place >= 0) & (n == best[links.pairs // links.width])
             measures = [np.diff(links.a_bounds), np.diff(links.b_bounds), links.n_groups, np.diff(links.bounds), links.per_text(top), links.per_text(n)]
@@ -376,12 +491,13 @@ def aligned_documents(df: DataFrame, byte_path: str, piece_path: str, id_col: st
     """
     uid = F.monotonically_increasing_id().alias("uid")
     stored = written(encoded(df, byte_path, piece_path, id_col, text_col).select(uid, "doc_id", "a", "b"), "alignment_ids")
-    parts = written(document_counts(stored, byte_path, piece_path), "alignment_parts")
+    lengths = _lengths(byte_path, piece_path)
+    parts = written(document_counts(stored, lengths), "alignment_parts")
     total = parts.agg(F.approx_count_distinct("pair")).first()[0]
     shards = max(1, -(-total // SHARD_PAIRS))
     hashed = written(hashed_shards(parts, shards), "alignment_hash")
-    width = len(_loaded(PieceTokenizer, piece_path).bytes.length)
-    best = np.zeros(len(_loaded(ByteTokenizer, byte_path).bytes.length), np.int64)
+    width = len(lengths.second)
+    best = np.zeros(len(lengths.first), np.int64)
     step = max(1, BLOCK_PAIRS // SHARD_PAIRS)
     starts = range(0, shards, step)
 
@@ -396,7 +512,7 @@ def aligned_documents(df: DataFrame, byte_path: str, piece_path: str, id_col: st
     found = []
     for first, counts in zip(starts, summed, strict=True):
         now = block(first)
-        measured = looked_up(stored, now, _vector(counts, len(now.pairs)), best, byte_path, piece_path)
+        measured = looked_up(stored, now, _vector(counts, len(now.pairs)), best, lengths)
         found.append(written(measured, "alignment_measures"))
     for done in (stored, parts, hashed, *summed):
         discard(done)
