@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import calibration, efficiency, incremental, marts, ridge, similarity, staging
+from tidemark.operators import calibration, efficiency, incremental, marts, ridge, similarity, staging, stints
 from tidemark.plans.inputs import (
     CAREERS_SQL,
     FORECASTS_SQL,
@@ -409,6 +409,84 @@ from numbered n join p on p.l_orderkey = n.l_orderkey and p.s <= n.t and p.e > n
 group by 1, 2, 3, 4"""
 
 
+def _presences(spark, sf_dir):
+    """Lines as presences of their suppliers, even ids at home, and as events a week per line number after the order's first."""
+    lines = table(spark, sf_dir, "lineitem")
+    day = F.col("l_shipdate").cast("date")
+    present = lines.select(
+        "l_orderkey", "l_suppkey", (F.col("l_suppkey") % 2 == 0).alias("is_home"), day.alias("enters"), F.date_add(day, (F.col("l_quantity") * 20).cast("int")).alias("leaves")
+    )
+
+    def flag(test):
+        return test.cast("int")
+
+    happened = lines.select(
+        "l_orderkey",
+        (F.col("l_suppkey") % 2 == 0).alias("is_home"),
+        F.date_add(day, F.col("l_linenumber") * 7 - 10).alias("day"),
+        (F.col("l_quantity").cast("int") % 4).alias("points"),
+        flag(F.col("l_returnflag") == "N").alias("fga"),
+        flag(F.col("l_returnflag") == "A").alias("fta"),
+        flag((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")).alias("oreb"),
+        flag(F.col("l_discount") > 0.05).alias("tov"),
+    )
+    return present, happened
+
+
+def stint_events(spark, sf_dir):
+    """Both lineups of every stint, with the points and possessions of the events in it."""
+    present, happened = _presences(spark, sf_dir)
+    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves")
+    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day")
+    return rounded(stints.stint_totals(assigned, found, "l_orderkey", "is_home", ["points", "fga", "fta", "oreb", "tov"]), 6, "home_poss", "away_poss")
+
+
+_EVENTS_SQL = """
+p as (select l_orderkey, l_suppkey, l_suppkey % 2 = 0 as is_home, cast(l_shipdate as date) as s,
+             cast(l_shipdate as date) + cast(l_quantity * 20 as int) as e from lineitem),
+points as (select l_orderkey, s as t from p union select l_orderkey, e from p),
+numbered as (select l_orderkey, cast(row_number() over w as int) as no, t, lead(t) over w as nxt from points window w as (partition by l_orderkey order by t)),
+stints as (
+    select n.l_orderkey, no as stint_no, t as stint_start, nxt as stint_end,
+           coalesce(list_sort(list(distinct l_suppkey) filter (is_home)), []) as home_lineup,
+           coalesce(list_sort(list(distinct l_suppkey) filter (not is_home)), []) as away_lineup
+    from numbered n left join p on p.l_orderkey = n.l_orderkey and p.s <= n.t and p.e > n.t where nxt is not null group by 1, 2, 3, 4),
+happened as (
+    select l_orderkey, l_suppkey % 2 = 0 as is_home, cast(l_shipdate as date) + cast(l_linenumber * 7 - 10 as int) as day, cast(trunc(l_quantity) as int) % 4 as points,
+           cast(l_returnflag = 'N' as int) as fga, cast(l_returnflag = 'A' as int) as fta,
+           cast(l_returnflag = 'R' and l_linestatus = 'O' as int) as oreb, cast(l_discount > 0.05 as int) as tov from lineitem),
+assigned as (
+    select h.*, s.stint_no from happened h left join stints s on s.l_orderkey = h.l_orderkey and h.day >= stint_start and h.day < stint_end),
+totals as (
+    select l_orderkey, stint_no, {sums} from assigned where stint_no is not null group by 1, 2)""".format(
+    sums=", ".join(f"sum({c}) filter ({'is_home' if s == 'home' else 'not is_home'}) as {s}_{c}" for s in ("home", "away") for c in ("points", "fga", "fta", "oreb", "tov"))
+)
+
+STINT_EVENTS_SQL = f"""
+with {_EVENTS_SQL}
+select s.*, {", ".join(f"cast(coalesce({x}_points, 0) as bigint) as {x}_points" for x in ("home", "away"))},
+       {", ".join(f"round(coalesce({x}_fga, 0) + 0.44::double * coalesce({x}_fta, 0) - coalesce({x}_oreb, 0) + coalesce({x}_tov, 0), 6) as {x}_poss" for x in ("home", "away"))}
+from stints s left join totals t using (l_orderkey, stint_no)"""
+
+
+def stint_reconcile(spark, sf_dir):
+    """Events that fall into no stint, and games whose points do not add up, of which there must be none."""
+    present, happened = _presences(spark, sf_dir)
+    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves")
+    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day")
+    totals = stints.stint_totals(assigned, found, "l_orderkey", "is_home", ["points", "fga", "fta", "oreb", "tov"])
+    wrong = stints.unreconciled_games(totals, happened, assigned, "l_orderkey", "points")
+    outside = assigned.where("stint_no is null").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("events"), F.sum("points").alias("points"))
+    return outside.select("l_orderkey", "events", "points", F.lit("outside").alias("what")).unionByName(
+        wrong.select("l_orderkey", F.lit(None).cast("long").alias("events"), (F.col("game_points") - F.col("stint_points")).alias("points"), F.lit("wrong").alias("what"))
+    )
+
+
+STINT_RECONCILE_SQL = f"""
+with {_EVENTS_SQL}
+select l_orderkey, count(*) as events, cast(sum(points) as bigint) as points, 'outside' as what from assigned where stint_no is null group by 1"""
+
+
 def situation_flag(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     core = efficiency.core_members(lines, ["l_suppkey"], "l_partkey", "l_quantity").withColumn("core", F.lit(True))
@@ -535,6 +613,8 @@ QUERIES = {
     "zscore_impute": zscore_impute,
     "unpivot_long": unpivot_long,
     "stint_intervals": stint_intervals,
+    "stint_events": stint_events,
+    "stint_reconcile": stint_reconcile,
     "situation_flag": situation_flag,
     "with_without": with_without,
     "similarity_topk": similarity_topk,
@@ -575,6 +655,8 @@ ORACLE = {
     "zscore_impute": ZSCORE_SQL,
     "unpivot_long": UNPIVOT_SQL,
     "stint_intervals": STINT_SQL,
+    "stint_events": STINT_EVENTS_SQL,
+    "stint_reconcile": STINT_RECONCILE_SQL,
     "situation_flag": SITUATION_SQL,
     "with_without": WITH_SQL,
     "similarity_topk": SIMILARITY_SQL,
