@@ -357,7 +357,10 @@ def test_articles_in_elements_with_words_of_surroundings():
     ):
         assert html.article_text(f"<body>{opened}<p>{story}</p></div></article></main>{around}</body>", None) == story, opened
     # a short article in an element that is the article of the host's other pages
-    wrapper = html.Wrapper(layouts={"/body/div.promo": frozenset()})
+    expression = html.Expression()
+    for k in range(9):
+        expression.add(html.parsed(f"<body><p>{k}</p><div class=promo><p>{f'a longer story {k} ' * 60}</p></div></body>"))
+    wrapper = html.Wrapper(expression.wrapper())
     long = "<div class=text><p>" + "other words " * 30 + "</p></div>"
     assert html.article_text(f"<body>{long}<div class=promo><p>{story}</p></div></body>", wrapper) == story
     assert html.article_text("<body><div class=sidebar>only this</div></body>", None) == "only this"
@@ -380,22 +383,92 @@ def test_end_tags_left_out():
         assert html.article_text(page, None) == "story", page
 
 
+def test_articles_in_elements_that_usually_surround_them():
+    story = "The story itself, in some ten or twelve words of text."
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{k}>entry {k} of a long menu</a></li>" for k in range(90)) + "</ul></nav>"
+    for page in (
+        f"<form id=aspnetForm><nav>menu</nav><article><p>{story}</p></article></form>",
+        f"<form id=aspnetForm><nav>menu</nav><div><p>{story}</p></div></form>",
+        f"<form action=/search><input name=q><button>go</button><article><p>{story}</p></article>",
+        f"<aside><p>by the way</p><article><p>{story}</p></article>",
+        f"<aside><p>by the way</p><main><p>{story}</p></main>",
+        f"<body hidden><p>{story}</p></body>",
+        f"<body>{menu}<p>{story}</p></body>",
+        f"<body>{menu}<article><p>{story}</p></article></body>",
+        f"<fieldset><dialog><p>{story}</p></dialog></fieldset>",
+        f"<article><header><p>{story}</p></header><noscript></noscript></article>",
+    ):
+        assert html.article_text(page, None) == story, page
+
+
+def test_words_inside_an_article():
+    opened = ["<p class='share-price'>", "<section id='related-work'>", "<section class='social-history'>", "<noscript>", "<div class=sidebar>"]
+    body = "".join(f"{o}part {i}</{o[1:].split()[0].rstrip('>')}>" for i, o in enumerate(opened))
+    page = f"<body><div class=share-box>share</div><article><h1>Title</h1>{body}<div class=comments>angry</div><div class='ad'>buy</div></article></body>"
+    assert html.article_text(page, None) == "Title part 0 part 1 part 2 part 3 part 4"
+
+
+def test_headings_that_all_pages_have(spark):
+    stories = [" ".join(t.split()) for t in sentences(43, 60, 60) if len(t) > 100]
+    for element in ("article", "div class=recipe"):
+        pages, want = [], []
+        for a, b, c in zip(stories[::3], stories[1::3], stories[2::3], strict=False):
+            pages.append(f"<body><div class=top>Our kitchen</div><{element}><h1>{a}</h1><h2>Ingredients</h2><p>{b}</p><h2>Method</h2><p>{c}</p></{element.split()[0]}></body>")
+            want.append(f"{a} Ingredients {b} Method {c}")
+        assert len(pages) >= 15 and extracted(spark, pages) == want
+        assert extracted(spark, [pages[0]] * 40 + pages[1:8]) == [want[0]] * 40 + want[1:8]
+
+
+def keys(expression):
+    return [(" ".join(p.key), p.pages) for p in expression.pieces]
+
+
 def test_wrapper_with_optional_and_repeated_parts():
-    pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><hr>", "<ul><li>d</li><li>e</li><li>f</li></ul><p>z</p>"]
-    wrapper = None
+    pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>c</li></ul><p>y</p><h4>h</h4>", "<p>z</p>", "<dl><dt>1<dd>2<dt>3<dd>4</dl><p>w</p>", "<dl><dt>1<dd>2</dl><p>v</p>"]
+    whole = html.Expression()
     for p in pages:
-        nodes = html.folded(html.nodes_of(html.parsed(p)[0]))
-        wrapper = nodes if wrapper is None else html.merged(wrapper, nodes)
-    assert [(n.key, n.optional, bool(n.repeated)) for n in wrapper] == [
-        ("+ul", False, False),
-        ("(+li #text -li)+", False, True),
-        ("-ul", False, False),
-        ("+p", False, False),
-        ("#text", False, False),
-        ("-p", False, False),
-        ("+hr", True, False),
-    ]
-    assert wrapper[4].value is None
+        whole.add(html.parsed(p))
+    assert sorted(keys(whole)) == [("/dl/dt /dl/dd", 2), ("/h4", 1), ("/p", 5), ("/ul/li", 2)]
+    assert [k for k, _ in keys(whole)][-2:] == ["/p", "/h4"]
+    # the same from two parts that were stored
+    halves = []
+    for part in (pages[:2], pages[2:]):
+        halves.append(html.Expression())
+        for p in part:
+            halves[-1].add(html.parsed(p))
+    first, second = (html.Expression.of(h.stored()) for h in halves)
+    first.merge(second)
+    assert sorted(keys(first)) == sorted(keys(whole))
+    assert {p.key: p.least() for p in first.pieces} == {p.key: p.least() for p in whole.pieces}
+
+
+def test_slots_and_fixed_texts():
+    expression = html.Expression()
+    for k in range(100):
+        for _ in range(3):  # copies of a page count once
+            expression.add(html.parsed(f"<p class=menu>{'abcd'[k % 4]}</p><p class=text>{k}</p><p class=note>same</p>"))
+    told = {p.key[0].split(".")[1]: p.told() for p in expression.pieces}
+    assert [told[c].slot for c in ("menu", "text", "note")] == [False, True, False]
+    assert told["note"].tails and not told["text"].tails and told["text"].pages == 300
+    assert all(len(p.least()) == html.SAMPLE for p in expression.pieces)
+
+
+def test_expressions_stay_bounded(monkeypatch):
+    monkeypatch.setattr(html, "MOST_PIECES", 20)
+    expression = html.Expression()
+    for k in range(200):
+        expression.add(html.parsed(f"<div class=page><div class=post{k}><p>story {k}</p></div><div class=foot{k}>x</div></div>"))
+        assert len(expression.pieces) <= 20
+    other = html.Expression.of(expression.stored())
+    other.merge(expression)
+    assert other.depth == expression.depth and sum(p.pages for p in other.pieces) >= 400
+
+
+def test_ties_between_articles():
+    page = "<body><div class=a><p>same length one</p></div><div class=b><p>same length two</p></div></body>"
+    assert html.article_text(page, None) == "same length one same length two"
+    two = "<body><article class=x><p>first story</p></article><article class=x><p>other story</p></article></body>"
+    assert html.article_text(two, None) == "first story other story"
 
 
 def test_pipeline_stages(spark, tmp_path):
