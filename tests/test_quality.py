@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import quality
+from tidemark.operators import quality, star
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +65,25 @@ def test_quarantine_is_complete_and_null_safe(df):
     good, bad = quality.quarantine_split(df, {"v": F.col("v") < 1.2, "s": F.col("s").isNotNull()})
     assert good.count() == 2
     assert sorted((r.k, tuple(r._failed)) for r in bad.collect()) == [(2, ("v", "s")), (3, ("v", "s"))]
+
+
+def test_distribution_drift(spark):
+    nan = float("nan")
+    rows = [(1, float(v)) for v in range(10)] + [(2, float(v)) for v in range(10)] + [(3, 9.0)] * 10 + [(3, None), (3, nan)] + [(5, 1.0)]
+    df = spark.createDataFrame(rows, "day int, v double")
+    found = {r.day: r for r in quality.distribution_drift(df, "day", {"v": [2, 5]}, F.col("day") - 1).collect()}
+    assert {d: (r.v_hist, r.v_nulls) for d, r in found.items()} == {1: ([2, 3, 5], 0), 2: ([2, 3, 5], 0), 3: ([0, 0, 10], 2), 5: ([1, 0, 0], 0)}
+    assert (found[2].v_psi, found[2].v_ks, found[2].v_drifted) == (0.0, 0.0, False)
+    assert found[3].v_drifted and abs(found[3].v_ks - 0.5) < 1e-12
+    assert found[1].v_psi is None and found[5].v_drifted is None
+    assert quality.quantile_edges(df.where("day = 1"), "v", 2) == [4.0]
+    assert quality.quantile_edges(df.limit(0), "v", 4) == []
+    one = quality.distribution_drift(df, "day", {"v": []}, F.col("day") - 1).where("day = 2").first()
+    assert (one.v_hist, one.v_psi, one.v_ks) == ([10], 0.0, 0.0)
+
+
+def test_repeated_sides_multiply(spark):
+    rows = [(1, True, "h", 5), (1, True, "h", 5), (1, False, "a", 7), (2, True, "x", 1), (3, True, "y", 2), (3, False, "z", 3)]
+    sides = spark.createDataFrame(rows, "game int, is_home boolean, team string, points int")
+    got = sorted((r.game, r.team, r.opp_points) for r in star.opponent_columns(sides, "game", "is_home", ["points"]).collect())
+    assert got == [(1, "a", 5), (1, "a", 5), (1, "h", 7), (1, "h", 7), (3, "y", 3), (3, "z", 2)]

@@ -115,6 +115,68 @@ def profile_drift(df: DataFrame, period: str, columns: Sequence[str], before: Co
     return joined.select(*stats.columns, *[(F.col(c) - F.col(f"_{c}")).alias(f"{c}_change") for c in watched])
 
 
+def quantile_edges(df: DataFrame, column: str, bins: int) -> list[float]:
+    """Distinct inner edges at approximate quantiles: at most ``bins`` - 1 numbers reach the driver."""
+    found = df.agg(F.percentile_approx(F.col(column).cast("double"), [i / bins for i in range(1, bins)], 100 * bins)).first()[0]
+    return sorted(set(found or []))
+
+
+def histograms(df: DataFrame, period: str, edges: dict[str, Sequence[float]]) -> DataFrame:
+    """(period, <column>_hist, <column>_nulls): rows in each interval of the column, by one partial aggregate.
+
+    An interval reaches from an edge up to, not including, the next one; the first and the last are open. NULL
+    and NaN are counted apart. Histograms of parts of the data add up.
+    """
+    measures = []
+    for c, inner in edges.items():
+        value = F.col(c).cast("double")
+        known = value.isNotNull() & ~F.isnan(value)
+        place = sum((F.when(value >= float(e), 1).otherwise(0) for e in inner), F.lit(0))
+        measures.append(F.array(*[F.count_if(known & (place == i)) for i in range(len(inner) + 1)]).alias(f"{c}_hist"))
+        measures.append(F.count_if(~F.coalesce(known, F.lit(False))).alias(f"{c}_nulls"))
+    return df.groupBy(period).agg(*measures)
+
+
+def _stability(p: Column, q: Column) -> Column:
+    """The population stability index of two histograms, with half a row more in each interval."""
+
+    def shares(h: Column) -> Column:
+        total = F.aggregate(h, F.lit(0.0), lambda s, x: s + x) + F.size(h) * 0.5
+        return F.transform(h, lambda x: (x + 0.5) / total)
+
+    terms = F.zip_with(shares(p), shares(q), lambda x, y: (x - y) * F.log(x / y))
+    return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
+
+
+def _largest_gap(p: Column, q: Column, bins: int) -> Column:
+    """The largest difference of two cumulative distributions at the edges; NULL where one has no rows."""
+
+    def until(h: Column, i: int) -> Column:
+        return ratio(sum((F.get(h, F.lit(k)) for k in range(i + 1)), F.lit(0)), sum((F.get(h, F.lit(k)) for k in range(bins)), F.lit(0)))
+
+    gaps = [F.abs(until(p, i) - until(q, i)) for i in range(bins - 1)]
+    return F.greatest(*gaps) if len(gaps) > 1 else gaps[0] if gaps else F.lit(0.0)
+
+
+def distribution_drift(df: DataFrame, period: str, edges: dict[str, Sequence[float]], before: Column, alarm: float = 0.2) -> DataFrame:
+    """How far each column's distribution is from that in the period ``before`` (an expression of ``period``).
+
+    (period, and for each column its histogram, <column>_psi, <column>_ks and <column>_drifted): the population stability
+    index, the Kolmogorov-Smirnov distance at the edges, and whether the index is above ``alarm``. NULL where the
+    other period has no rows. Periods are joined, so that a fine period fits too.
+    """
+    stats = histograms(df, period, edges)
+    earlier = stats.select(F.col(period).alias("_period"), *[F.col(f"{c}_hist").alias(f"_{c}") for c in edges])
+    joined = stats.withColumn("_before", before).join(earlier, F.col("_before") == F.col("_period"), "left")
+    out = []
+    for c, inner in edges.items():
+        there = F.col(f"_{c}").isNotNull()
+        psi = F.when(there, _stability(F.col(f"{c}_hist"), F.col(f"_{c}")))
+        gap = F.when(there, _largest_gap(F.col(f"{c}_hist"), F.col(f"_{c}"), len(inner) + 1))
+        out += [psi.alias(f"{c}_psi"), gap.alias(f"{c}_ks"), (psi > alarm).alias(f"{c}_drifted")]
+    return joined.select(*stats.columns, *out)
+
+
 def quarantine_split(df: DataFrame, expectations: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(rows meeting every expectation, other rows with the names of those they fail).
 

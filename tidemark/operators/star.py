@@ -58,10 +58,11 @@ def opponent_id(team: Column, home: Column, away: Column) -> Column:
 def opponent_columns(sides: DataFrame, game: str, is_home: str, carry: Sequence[str], prefix: str = "opp_") -> DataFrame:
     """Each side with the chosen columns of the other side of its game, from one aggregate per game.
 
-    The sides of a game are unique; games that lack one vanish.
+    Games that lack a side vanish; a repeated side meets the other as often, as in a join, so that a test of
+    uniqueness finds it. A game's rows are bounded by their meaning.
     """
     flag, row = F.col(is_home), F.struct(*[c for c in sides.columns if c != game])
-    both = sides.groupBy(game).agg(F.max(F.when(flag, row)).alias("_h"), F.max(F.when(~flag, row)).alias("_a"))
+    both = sides.groupBy(game).agg(F.collect_list(F.when(flag, row)).alias("_h"), F.collect_list(F.when(~flag, row)).alias("_a"))
 
     def side(own: str, other: str) -> Column:
         return F.struct(
@@ -69,7 +70,7 @@ def opponent_columns(sides: DataFrame, game: str, is_home: str, carry: Sequence[
             *[F.col(f"{other}.{c}").alias(f"{prefix}{c}") for c in carry],
         )
 
-    pairs = both.where("_h is not null and _a is not null")
+    pairs = both.select(game, F.explode("_h").alias("_h"), "_a").select(game, "_h", F.explode("_a").alias("_a"))
     out = pairs.select(game, F.explode(F.array(side("_h", "_a"), side("_a", "_h"))).alias("_s")).select(game, "_s.*")
     return out.select(*sides.columns, *[f"{prefix}{c}" for c in carry])
 

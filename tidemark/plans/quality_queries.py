@@ -127,6 +127,35 @@ p as (select day, count(*) as n, {one} from e group by day)
 select p.day, p.n, p.n - q.n as n_change, {out} from p left join p q on q.day = p.day - 1"""
 
 
+_EDGES = {"value": (5, 10, 20, 40, 80), "k": (3, 6)}
+
+
+def distribution_drift(spark, sf_dir):
+    """Distances of each day's values from those of the day before."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("date").alias("day"), "value", F.when(F.col("event_type") != "error", F.get_json_object("props", "$.k").cast("int")).alias("k")
+    )
+    out = quality.distribution_drift(events, "day", _EDGES, F.date_sub("day", 1), alarm=0.02)
+    return rounded(out, 6, *[f"{c}_{m}" for c in _EDGES for m in ("psi", "ks")])
+
+
+def _distribution_sql():
+    counts, shown = [], []
+    for c, edges in _EDGES.items():
+        cuts = [None, *edges, None]
+        tests = [" and ".join([f"{c} >= {a}"] * (a is not None) + [f"{c} < {b}"] * (b is not None)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        counts.append(f"[{', '.join(f'count(*) filter ({t})' for t in tests)}] as {c}_hist, count(*) filter ({c} is null) as {c}_nulls")
+        n = len(tests)
+        p, q = ([f"({side}.{c}_hist[{i}] + 0.5::double) / (list_sum({side}.{c}_hist) + {n / 2}::double)" for i in range(1, n + 1)] for side in "pq")
+        psi = " + ".join(f"({a} - {b}) * ln({a} / ({b}))" for a, b in zip(p, q, strict=True))
+        until = [f"abs(list_sum(p.{c}_hist[1:{i}]) / list_sum(p.{c}_hist)::double - list_sum(q.{c}_hist[1:{i}]) / list_sum(q.{c}_hist)::double)" for i in range(1, n)]
+        shown.append(f"round({psi}, 6) + 0 as {c}_psi, round(greatest({', '.join(until)}), 6) + 0 as {c}_ks, {psi} > 0.02 as {c}_drifted")
+    return f"""
+with e as (select cast(ts as date) as day, value, case when event_type <> 'error' then cast(props->>'$.k' as int) end as k from events),
+h as (select day, {", ".join(counts)} from e group by day)
+select p.*, {", ".join(shown)} from h p left join h q on q.day = p.day - 1"""
+
+
 def suite_counts(spark, sf_dir):
     """A suite's failing rows per check, in one job."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -218,6 +247,7 @@ QUERIES = {
     "dq_row_count_band": dq_row_count_band,
     "dq_suite": suite_counts,
     "profile_drift": profile_drift,
+    "distribution_drift": distribution_drift,
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
 }
@@ -242,6 +272,7 @@ ORACLE = {
                             having count(*) not between 180 and 200""",
     "dq_suite": SUITE_SQL,
     "profile_drift": _drift_sql(),
+    "distribution_drift": _distribution_sql(),
     "stream_ingest": STREAM_SQL,
     "stream_quarantine": STREAM_QUARANTINE_SQL,
 }
