@@ -141,7 +141,7 @@ def passages(seed, sizes):
 
 
 def test_contaminated_documents(spark):
-    items, vocabulary, rng = passages(6, [8, 12, 15, 21, 33, 47, 70, 95, 130, 7, 15])
+    items, vocabulary, rng = passages(6, [8, 12, 15, 21, 33, 47, 70, 95, 130, 7, 15, 3, 200])
     docs = []
     for i in range(140):
         words = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 90))]
@@ -158,9 +158,9 @@ def test_contaminated_documents(spark):
         hits = sum(want.values())
         for item_id, text in bench:
             words, own = plain_words(text), plain_words(d[1])
-            if len(words) >= decontamination.LEAST_WORDS:
+            if len(words) >= decontamination.LEAST_EXACT:
                 edits = edit_distance(words, own)
-                if edits <= len(words) // 5:
+                if edits <= (len(words) // 5 if len(words) >= decontamination.LEAST_WORDS else 0):
                     want[d[0], item_id, edits, len(words)] += 1
                     near += edits > 0
         clean[d[0]] += sum(want.values()) == hits
@@ -182,7 +182,7 @@ def test_contamination_of_nothing(spark):
 
 
 def test_recall_at_the_edit_limit():
-    items, vocabulary, rng = passages(11, [8 + i % 70 for i in range(300)])
+    items, vocabulary, rng = passages(11, [8 + i % 70 if i < 300 else 78 + i % 203 for i in range(500)])
     block = decontamination.Block([" ".join(w) for w in items])
     docs, asked = [], []
     for i, w in enumerate(items):
@@ -191,7 +191,38 @@ def test_recall_at_the_edit_limit():
         asked.append((i, i))
     words, bounds = word_hashes(pa.array(docs), letters_only=True)
     found = {(int(a), int(b)) for a, b in block.hits(words, bounds)[:, :2]}
-    assert np.mean([x in found for x in asked]) >= 0.97
+    assert np.mean([x in found for x in asked[:300]]) >= 0.97 and np.mean([x in found for x in asked[300:]]) >= 0.97
+
+
+def test_short_and_unspaced_items(spark):
+    bench = [
+        (1, "What is the capital of France?"),
+        (2, "光合作用是植物将光能转化为化学能的过程，发生在叶绿体中。"),
+        (3, "東京タワー"),
+        (4, "สวัสดีชาวโลก"),
+        (5, "two words"),
+        (6, "only"),
+    ]
+    texts = [
+        "Some quiz:\nwhat is THE capital of france ?\nParis.",
+        "what is the capital city of france",
+        "前言。光合作用是植物将光能转化为化学能的过程,发生在叶绿体中。后语",
+        "前言 光合作用是动物将光能转化为化学能的经过 发生在叶绿体中 后语",
+        "光合作用是动物。将热能转化为电能",
+        "昨日、東京タワーへ行った",
+        "東京 スカイタワー",
+        "เขาพูดว่าสวัสดีชาวโลกครับ",
+        "two words and only one of them",
+        "mixed 日本 text with 東京タワー inside",
+        "",
+        None,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.edits) for r in decontamination.contaminated(df, items).collect())
+    assert got == [(0, 1, 0), (2, 2, 0), (3, 2, 3), (5, 3, 0), (7, 4, 0), (9, 3, 0)]
+    kept = {r.doc_id for r in decontamination.without_contaminated(df, items).collect()}
+    assert kept == set(range(len(texts))) - {0, 2, 3, 5, 7, 9}
 
 
 def levenshtein(a, b):

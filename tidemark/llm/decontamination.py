@@ -1,6 +1,7 @@
 """Benchmark passages in documents, found although words were changed, added or left out.
 
-Items and texts are sequences of words. A CGK random walk copies a sequence to a
+Items and texts are sequences of units: words, and single characters of scripts that are written without
+spaces. A CGK random walk copies a sequence to a
 longer string, staying on a word or moving on by a random bit of (step, word), so that
 few edits become few differing places. Items whose embeddings agree with that of an
 item-sized window of a text in a few sampled places are candidates; several walks with several
@@ -14,18 +15,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import pick
-from tidemark.llm.hashing import HASHED_BYTES, mixed, word_hashes
+from tidemark.llm.hashing import HASHED_BYTES, compacted, mixed, word_hashes
 from tidemark.llm.tokens import chunks
 
 #: Edits allowed per word of an item.
 EDITS = 0.2
-#: Items with fewer words are no passages and are not searched for.
-LEAST_WORDS = 8
+#: Items with fewer words must stand in a text as they are; with fewer than the second number they are no passages.
+LEAST_WORDS, LEAST_EXACT = 8, 3
 #: Bytes of item text that are searched for in one pass over the documents.
 BLOCK_BYTES = 8 << 20
 #: Walks, samples of each walk, and places in a sample.
@@ -34,9 +36,22 @@ WALKS, SAMPLES, PLACES = 6, 3, 2
 SIZES = (8, 10, 12, 15, 19, 24, 30, 37, 46, 57, 64)
 LONG, PIECE = 80, 40
 
+#: Characters that are units of their own, and signs that are none.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Javanese}\p{Bopomofo}])"
+WIDE_SIGNS = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
+
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
+def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each unit of the texts in order, and the texts' bounds in them; a null text has none."""
+    raw, _, own = compacted(texts)
+    # all of these characters begin with such a byte
+    if (raw >= 0xE0).any() and pc.any(pc.match_substring_regex(own, f"{UNSPACED}|{WIDE_SIGNS}")).as_py():
+        own = pc.replace_substring_regex(pc.replace_substring_regex(own, WIDE_SIGNS, " "), UNSPACED, r" \1 ")
+    return word_hashes(own, letters_only=True)
+
+
 def embedded(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, steps: np.ndarray) -> np.ndarray:
     """The CGK embedding of the sequences words[start:end], at the given rising steps; 0 stands for no word."""
     at, out = starts.copy(), np.zeros((len(starts), len(steps)), np.uint64)
@@ -89,9 +104,16 @@ class Block:
     """The searched items of one pass."""
 
     def __init__(self, texts: list[str | None], seed: int = 5):
-        self.words, bounds = word_hashes(pa.array(texts, pa.string()), letters_only=True)
+        self.words, bounds = units(pa.array(texts, pa.string()))
         self.starts, self.ends = bounds[:-1].astype(np.int64), bounds[1:].astype(np.int64)
-        self.edits = np.floor(EDITS * (self.ends - self.starts)).astype(np.int64)
+        lengths = self.ends - self.starts
+        self.edits = np.where(lengths < LEAST_WORDS, 0, np.floor(EDITS * lengths)).astype(np.int64)
+        self.short = {}  # by length: sorted keys, and the items they belong to
+        for n in range(LEAST_EXACT, LEAST_WORDS):
+            if len(own := np.flatnonzero(lengths == n)):
+                keys = self.run_keys(self.words, self.starts[own], n)
+                by = np.argsort(keys, kind="stable")
+                self.short[n] = keys[by], own[by]
         self.bits = 22
         parts: dict[int, list[tuple[int, int, int]]] = {}
         for item, (a, b) in enumerate(zip(self.starts, self.ends, strict=True)):
@@ -122,6 +144,32 @@ class Block:
                     group.tables.append((key[by], by))
             self.groups.append(group)
 
+    @staticmethod
+    def run_keys(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the n units from each start."""
+        key = np.full(len(starts), n, np.uint64)
+        for i in range(n):
+            key = mixed(key * _A + words[starts + i])
+        return key
+
+    def exact(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """(text, item, 0, end of the passage in the text) of every place that has a short item."""
+        found = [np.zeros((0, 4), np.int64)]
+        text_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        for n, (table, items) in self.short.items():
+            starts = np.flatnonzero(np.arange(len(words)) + n <= bounds[1:][text_of])
+            keys = self.run_keys(words, starts, n)
+            a = np.searchsorted(table, keys)
+            times = np.searchsorted(table, keys, "right") - a
+            which = np.repeat(np.arange(len(starts)), times)
+            item = items[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - a, times)]
+            same = np.ones(len(which), bool)
+            for i in range(n):
+                same &= words[starts[which] + i] == self.words[self.starts[item] + i]
+            own = starts[which[same]]
+            found.append(np.stack([text_of[own], item[same], np.zeros(len(own), np.int64), own + n - bounds[text_of[own]]], axis=1))
+        return np.concatenate(found)
+
     def pair_keys(self, words: np.ndarray) -> np.ndarray:
         return (mixed(words[:-1] * _A + words[1:]) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -172,7 +220,7 @@ class Block:
 
     def hits(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """(text, item, edits, end of the passage in the text): each item's best passage in each text, if close enough."""
-        found = []
+        found = [self.exact(words, bounds)]
         rows = self.candidates(words, bounds)
         for item in np.unique(rows[:, 0]):
             _, place, text = rows[rows[:, 0] == item].T
@@ -192,8 +240,6 @@ class Block:
                 good = edits <= k
                 own = text[part][good]
                 found.append(np.stack([own, np.full(good.sum(), item), edits[good], end[good] - bounds[own]], axis=1))
-        if not found:
-            return np.zeros((0, 4), np.int64)
         rows = np.concatenate(found)
         rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
         new = np.ones(len(rows), bool)
@@ -216,10 +262,11 @@ def contaminated(
     """(doc_id, item_id, edits, item_words, end_word): each document that holds an item, with the item's best passage.
 
     A document holds an item of n words if some run of its words can be made the item by
-    at most EDITS * n insertions, deletions or replacements of words. Words are compared
-    without case and signs. The documents are read once for each block of items and are not
-    shuffled. Null and empty texts and items hold nothing, nor do items of
-    fewer than LEAST_WORDS words. Repeated rows are each found; other columns are ignored.
+    at most EDITS * n insertions, deletions or replacements of words, or, where n is below
+    LEAST_WORDS, if it holds the item as it is. Words are compared without case and signs; each
+    character of a script without spaces counts as a word. The documents are read once for each
+    block of items and are not shuffled. Null and empty texts hold nothing, and items of fewer
+    than LEAST_EXACT words are not searched for. Repeated rows are each found; other columns are ignored.
     """
     own = pick(docs, doc_id=id_col, text=text_col)
     item_type = items.schema.fields[items.columns.index(item_id_col)].dataType
@@ -241,7 +288,7 @@ def contaminated(
             for batch in batches:
                 names = pa.array(ids)
                 for part in chunks(batch, "text", HASHED_BYTES):
-                    words, bounds = word_hashes(part.column("text"), letters_only=True)
+                    words, bounds = units(part.column("text"))
                     hits = block.hits(words, bounds)
                     if len(hits):
                         item = hits[:, 1]
@@ -277,7 +324,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
             for batch in batches:
                 for part in chunks(batch, f"_c{place}", HASHED_BYTES):
                     clean = np.ones(part.num_rows, bool)
-                    clean[block.hits(*word_hashes(part.column(place), letters_only=True))[:, 0]] = False
+                    clean[block.hits(*units(part.column(place)))[:, 0]] = False
                     yield part.filter(pa.array(clean))
 
         left = left.mapInArrow(search, schema)
