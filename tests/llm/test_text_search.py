@@ -76,6 +76,28 @@ def test_groups_with_null_ids(spark):
     assert jaccard.one_of_each_group(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_strangers_in_one_cluster_cost_in_proportion(spark, monkeypatch):
+    """Random texts over few words hang together by chance; each set is joined once for each gram of its beginning and two bands."""
+    monkeypatch.setattr(jaccard, "GRAMS_JOINED", 3000)
+    read, joined = [], jaccard._joined
+
+    def counted(sets, likeness):
+        read[-1] += sets.count()
+        return joined(sets, likeness)
+
+    monkeypatch.setattr(jaccard, "_joined", counted)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(3200)]
+    for n in (1600, 3200):
+        read.append(0)
+        some = texts[:n] + [t + " end" for t in texts[: n // 20]]
+        got = jaccard.similar_groups(spark.createDataFrame(rows(some), SCHEMA), 3, 80)
+        assert {r.doc_id: r.component_id for r in got.collect()} == {i: i if i < n else i - n for i in range(len(some))}
+        beginning = jaccard.Likeness(80).prefix(59)
+        assert read[-1] <= (2 * beginning + 4) * len(some), read
+
+
 def test_links_equal_brute_force():
     for seed in range(30):
         rng = np.random.RandomState(seed)

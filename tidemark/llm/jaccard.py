@@ -3,7 +3,8 @@
 Two sets with a Jaccard similarity of t or more share a gram among the first few of
 each in any one order of all grams. Here grams with small hashes (the zone) come
 first, rarer ones before more frequent ones; so most documents have only grams of
-their own there, and drop out. The others are clustered by what they share. Within a
+their own there, and drop out. The others are clustered by what they share, and clusters
+too large for a task are taken apart by the shared grams again. Within a
 cluster the ordered sets go into a trie, which every set traverses, sharing the
 overlap of common beginnings; subtrees that differ by more grams than lengths allow
 are pruned, as are those whose sets are all linked with it already.
@@ -341,12 +342,13 @@ def _blocked(sets: DataFrame) -> DataFrame:
     return sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
 
 
-def _edges(sets: DataFrame, likeness: Likeness) -> DataFrame:
+def _edges(sets: DataFrame, shared: DataFrame, likeness: Likeness) -> DataFrame:
     """Edges that connect the sets (cluster, sig, n, grams) of each cluster as all links do.
 
     Blocks of a large cluster are joined each for itself, then one set of each found group with
-    those of other blocks. What is not in the cluster's largest group then is compared with all
-    sets of its cluster, block by block, so that no link is lost.
+    those of other blocks, which connects most copies. A set outside of its cluster's largest group then
+    meets just the sets with which it shares a gram of its beginning and a band of sizes, as linked ones do
+    (``shared``: gram, band, sig); so a cluster held together by chance costs as much as these groups are large.
     """
     blank = {"known": F.lit(None).cast("binary"), "probe": F.lit(False)}
     blocked = written(_blocked(sets), "sets")
@@ -362,12 +364,28 @@ def _edges(sets: DataFrame, likeness: Likeness) -> DataFrame:
         edges = written(edges.union(more).distinct(), "links")
     roots = components(edges).withColumnRenamed("node", "sig")
     placed = written(large.join(roots, "sig", "left").withColumn("known", F.coalesce("root", "sig")).drop("root"), "sets")
+    return edges.union(_joined(written(_by_beginnings(placed, shared), "groups"), likeness)).distinct()
+
+
+def _by_beginnings(placed: DataFrame, shared: DataFrame) -> DataFrame:
+    """``placed`` dealt to the (gram, band) groups of their beginnings that are not connected yet.
+
+    A group of too many grams for one task is cut into blocks, all of which the sets outside of the
+    cluster's largest group are compared with.
+    """
     groups = placed.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("members"))
     largest = groups.groupBy("cluster").agg(F.max_by("known", F.struct("members", "known")).alias("largest"))
-    asking = placed.join(largest, "cluster").where("known <> largest").drop("largest")
-    probes = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("probe", F.lit(True))
-    members = placed.join(asking.select("cluster").distinct(), "cluster", "left_semi").withColumn("probe", F.lit(False))
-    return edges.union(_joined(members.unionByName(probes), likeness)).distinct()
+    asked = placed.join(largest, "cluster").withColumn("asks", F.col("known") != F.col("largest"))
+    key = F.concat_ws("/", "gram", "band").cast("binary").alias("cluster")
+    about = shared.select(key, "sig").join(asked.select("sig", "n", "known", "asks"), "sig")
+    open_ = about.groupBy("cluster").agg(
+        F.min("known").alias("low"), F.max("known").alias("high"), F.max("asks").alias("asked"), F.ceil(F.sum("n") / F.lit(float(GRAMS_JOINED))).cast("int").alias("blocks")
+    )
+    open_ = open_.where("asked AND low <> high").select("cluster", "blocks")
+    dealt = about.join(open_, "cluster").join(placed.select("sig", "grams"), "sig")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn("probe", F.lit(False))
+    probes = dealt.where("asks AND blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("probe", F.lit(True))
+    return dealt.unionByName(probes)
 
 
 def similar_groups(df: DataFrame, words: int = 5, least: int = 80, of: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -416,7 +434,7 @@ def similar_groups(df: DataFrame, words: int = 5, least: int = 80, of: int = 100
                 yield pa.RecordBatch.from_arrays([part.column("cluster"), part.column("sig"), sizes, data], names=["cluster", "sig", "n", "grams"]).filter(true)
 
     sets = texts.mapInArrow(full, "cluster binary, sig binary, n long, grams binary").dropDuplicates(["sig"])
-    roots = components(_edges(sets, likeness))
+    roots = components(_edges(sets, shared.select("gram", "band", "sig"), likeness))
     placed = known.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     own = F.struct(F.isnull("doc_id"), "doc_id", "mark")
     firsts = placed.groupBy("root").agg(F.min("doc_id").alias("smallest"), F.min(own).alias("first"))
