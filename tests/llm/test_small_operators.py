@@ -105,10 +105,38 @@ def test_quality_measures_and_verdicts(spark):
 
 
 def test_cascade_order_never_changes_the_verdict(spark):
-    docs = quality.measured(spark.createDataFrame(rows(sentences(5, 40, 200) + ["A!! B!! C!! " * 40, "x | y | z " * 50]), SCHEMA))
+    texts = sentences(5, 40, 200) + ["A!! B!! C!! " * 40, "x | y | z " * 50]
+    docs = quality.measured(spark.createDataFrame(rows(texts), SCHEMA))
     rules = quality.standard_rules()
-    verdicts = [quality.cascade(r) for r in (rules, rules[::-1], sorted(rules, key=lambda x: x.name))]
-    assert docs.select(*(v.alias(f"v{i}") for i, v in enumerate(verdicts))).where("v0 <> v1 OR v0 <> v2").count() == 0
+    orders = (rules, rules[::-1], sorted(rules, key=lambda x: x.name))
+    verdicts = [quality.cascade(r, known) for r in orders for known in ((), quality.REPORTED)]
+    found = docs.select(*(v.alias(f"v{i}") for i, v in enumerate(verdicts))).collect()
+    assert all(len(set(r)) == 1 for r in found) and {r.v0 for r in found} == {True, False}
+
+
+def test_order_of_rules(spark):
+    """Cheap rules that reject much come first, dear ones that reject nothing last; another run on the sample agrees."""
+    texts = sentences(5, 200, 300) + ["short one"] * 100
+    sample = spark.createDataFrame([(t,) for t in texts], "text string").cache()
+    rules = quality.standard_rules()
+    orders = [[r.name for r in quality.ordered_rules(sample, rules)] for _ in range(2)]
+    assert orders[0] == orders[1] and orders[0][0] == "few_words"
+    costs = {n: 1.0 for n in quality.MEASURES}
+    assert quality.ordered_rules(sample, rules, costs)[0].name == "few_words"
+    shouted = spark.createDataFrame([(t.upper(),) for t in texts], "text string")
+    assert quality.ordered_rules(shouted, rules, costs)[0].name == "capitals"
+    assert quality.ordered_rules(shouted, rules, costs | {"n_capitals": 1e9})[0].name == "few_words"
+    assert len(quality.ordered_rules(sample.limit(0), rules, costs)) == len(rules)
+
+
+def test_without_rejected_keeps_the_rows(spark):
+    table = rows([r[1] for r in awkward()] + sentences(2, 60, 300, 30))
+    docs = spark.createDataFrame([(*r, *CLASH_VALUES) for r in table], CLASHING)
+    kept = quality.without_rejected(docs, sample_rows=20)
+    want = {r.doc_id for r in quality.quality_verdicts(docs, sample_rows=20).collect() if r.kept}
+    assert kept.columns == docs.columns
+    assert {r[0] for r in kept.toDF(*(f"c{i}" for i in range(len(kept.columns)))).collect()} == want
+    assert quality.without_rejected(docs.limit(0)).isEmpty()
 
 
 def ids_of(tokenizer, text):
