@@ -274,6 +274,62 @@ def test_tool_calls(spark):
     assert texts[1, 1, "result"] == '{"call_id":"k1","content":"four","type":"result"}'
 
 
+def called(spark, tools, arguments):
+    calls = spark.createDataFrame([(1, i, f"k{i}", None, "f", a) for i, a in enumerate(arguments)], "conv_id long, turn long, call_id string, parent_id string, name string, arguments string")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    return [(r.errors, r.json) for r in chat.link_tool_calls(calls, results, tools).orderBy("turn").collect()]
+
+
+def test_numbers_have_one_form_and_bad_arguments_stay(spark):
+    tools = {"f": [chat.Parameter("x", "number")]}
+    same = [["1", "1.0", "1e0", "10E-1", "0.1e1"], ["100", "1e2", "100.00"], ["0.1", "0.10", "1e-1"], ["0.00001", "1e-5", "1.0E-05"], ["0", "-0", "0.0", "-0.0"], ["12345678901234567890123"]]
+    flat = [n for group in same for n in group]
+    found = called(spark, tools, [f'{{"x": {n}}}' for n in flat])
+    assert all(not errors for errors, _ in found)
+    spelt = [j.split('"x":')[1].split("}")[0] for _, j in found]
+    for group in same:
+        assert len({spelt[flat.index(n)] for n in group}) == 1
+    assert {"1", "100", "0", "0.1", "12345678901234567890123"} <= set(spelt)
+    kept = called(spark, tools, ['{"x": 1', '{"x": 1, "x": 2}', '{"x": 01}', '{"x": "1.0 \\" 2.50 e5"}', None, ""])
+    assert [e for e, _ in kept] == ["malformed", "malformed", "malformed", "type:x", "malformed", "malformed"]
+    assert '"raw_arguments":"{\\"x\\": 1, \\"x\\": 2}"' in kept[1][1] and '"raw_arguments"' in kept[0][1] and '"raw_arguments"' in kept[2][1]
+    assert '{"x":"1.0 \\" 2.50 e5"}' in kept[3][1], "numbers in strings are left alone"
+
+
+def test_kinds_of_parameters(spark):
+    tools = {
+        "f": [
+            chat.Parameter("a.b", "integer", least=1),
+            chat.Parameter("it's \"c\"", "number", most=2.5),
+            chat.Parameter("list", "array", least=1, most=2),
+            chat.Parameter("map", "object", least=1),
+            chat.Parameter("unit", "string", values=("km", "mile")),
+            chat.Parameter("flag", "boolean"),
+        ]
+    }
+    cases = {
+        '{"a.b": 3.0, "it\'s \\"c\\"": 2.5, "list": [1], "map": {"k": null}, "unit": "km", "flag": true}': "",
+        '{"a.b": 0}': "range:a.b",
+        '{"a.b": 1.5, "unit": "feet"}': "type:a.b;value:unit",
+        '{"it\'s \\"c\\"": 2.6, "list": [], "map": {}}': "range:it's \"c\";range:list;range:map",
+        '{"list": [1, 2, 3], "map": [1], "flag": "true"}': "range:list;type:flag;type:map",
+        '{"list": {"a": 1}, "unit": 5}': "type:list;type:unit",
+        '{"flag": null}': "type:flag",
+    }
+    assert [e for e, _ in called(spark, tools, list(cases))] == list(cases.values())
+
+
+def test_calls_of_nothing_and_very_long_arguments(spark):
+    tools = {"f": [chat.Parameter("x", "string", least=10_000)]}
+    assert called(spark, tools, []) == []
+    long = "é" * 300_000
+    ((errors, text),) = called(spark, tools, ['{"x": "' + long + '"}'])
+    assert errors == "" and long in text
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.link_tool_calls(chat.exchanged_calls(empty), chat.exchanged_results(empty), chat.TOOLS).isEmpty()
+    assert chat.link_tool_calls(chat.structured_calls(empty), chat.structured_results(empty), chat.TOOLS).isEmpty()
+
+
 def test_levels_of_a_long_chain(spark):
     calls = spark.range(300).selectExpr("1L AS c", "cast(id AS string) AS k", "cast(id - 1 AS string) AS up")
     assert {r.k: r.level for r in chat.levels(calls).collect()} == {str(i): i for i in range(300)}

@@ -9,6 +9,7 @@ sorted and whose types are checked.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,41 +17,89 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import pick
 from tidemark.session import discard, written
 
-#: What a variant's type is called, by kind of parameter.
-_TYPES = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}
+#: What a variant's type begins with, by kind of parameter.
+_TYPES = {
+    "string": ("STRING",),
+    "integer": ("BIGINT", "DECIMAL(38,0)"),
+    "number": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"),
+    "boolean": ("BOOLEAN",),
+    "array": ("ARRAY",),
+    "object": ("OBJECT",),
+}
+#: The strings, numbers and other stretches that make up a JSON text.
+_JSON_TOKENS = r'("(?:[^"\\]|\\.)*"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|[^"\d-]+|.)'
 
 
 @dataclass(frozen=True)
 class Parameter:
-    """One argument of a tool: kind is string, integer or boolean; bounds are for integers, and for the lengths of strings."""
+    """One argument of a tool: kind is string, integer, number, boolean, array or object.
+
+    Bounds are for numbers, for the lengths of strings and arrays, and for how many keys an object has.
+    ``values`` lists the only strings, or texts of other values, that are accepted. 3.0 is an integer.
+    """
 
     name: str
     kind: str
     required: bool = False
-    least: int | None = None
-    most: int | None = None
+    least: float | None = None
+    most: float | None = None
+    values: tuple[str, ...] | None = None
 
 
 Tools = dict[str, list[Parameter]]
 
 
+def canonical(arguments: Column) -> Column:
+    """A JSON text with each number in one form, as a variant, or NULL if it is no JSON or repeats a key.
+
+    Whole numbers are written by their digits; others, and those with more than 38 digits, as the nearest double.
+    """
+
+    def number(t: Column) -> Column:
+        whole = t.try_cast("decimal(38,0)")
+        double = t.try_cast("double")
+        plain = ~F.contains(t, F.lit(".")) & ~F.contains(F.lower(t), F.lit("e"))
+        fits = (double == F.floor(double)) & (F.abs(double) < 1e15)
+        return F.when(plain & whole.isNotNull(), whole.cast("string")).when(fits, double.cast("bigint").cast("string")).when(
+            F.abs(double) < float("inf"), double.cast("string")
+        ).otherwise(t)
+
+    tokens = F.regexp_extract_all(arguments, F.lit(_JSON_TOKENS), F.lit(1))
+    spelt = F.array_join(F.transform(tokens, lambda t: F.when(t.rlike(r"^-?[0-9]"), number(t)).otherwise(t)), "")
+    several = arguments.rlike(r"[0-9][.eE]|-0|[0-9]{19}")
+    return F.when(F.try_parse_json(arguments).isNotNull(), F.try_parse_json(F.when(several, spelt).otherwise(arguments)))
+
+
 def _errors(name: Column, arguments: Column, tools: Tools) -> Column:
     """The sorted list of what is wrong with a call's arguments; ``arguments`` is a variant."""
     wrong = F.when(name.isNull() | ~name.isin(*tools), F.array(F.lit("unknown_tool")))
+    given = F.try_variant_get(arguments, "$", "map<string,variant>")
     for tool, parameters in sorted(tools.items()):
         found = []
         for p in parameters:
-            value = F.try_variant_get(arguments, f"$.{p.name}", "variant")
+            value = F.try_element_at(given, F.lit(p.name))
             kind = F.schema_of_variant(value)
-            measure = F.try_variant_get(arguments, f"$.{p.name}", "bigint") if p.kind == "integer" else F.length(F.try_variant_get(arguments, f"$.{p.name}", "string"))
+            text = F.try_variant_get(value, "$", "string")
+            if p.kind in ("integer", "number"):
+                measure = F.try_variant_get(value, "$", "double")
+            elif p.kind == "array":
+                measure = F.size(F.try_variant_get(value, "$", "array<variant>"))
+            elif p.kind == "object":
+                measure = F.size(F.map_keys(F.try_variant_get(value, "$", "map<string,variant>")))
+            else:
+                measure = F.length(text)
             out = F.lit(False)
             if p.least is not None:
                 out = out | (measure < p.least)
             if p.most is not None:
                 out = out | (measure > p.most)
+            typed = reduce(lambda a, b: a | b, [F.startswith(kind, F.lit(t)) for t in _TYPES[p.kind]])
             missing = F.when(value.isNull(), F.lit(f"missing:{p.name}" if p.required else None).cast("string"))
-            found.append(missing.when(value.isNotNull() & (kind != _TYPES[p.kind]), F.lit(f"type:{p.name}")).when(value.isNotNull() & out, F.lit(f"range:{p.name}")))
-        keys = F.coalesce(F.map_keys(F.try_variant_get(arguments, "$", "map<string,variant>")), F.array().cast("array<string>"))
+            missing = missing.when(value.isNotNull() & ~typed, F.lit(f"type:{p.name}"))
+            if p.values is not None:
+                missing = missing.when(value.isNotNull() & ~text.isin(*p.values), F.lit(f"value:{p.name}"))
+            found.append(missing.when(value.isNotNull() & out, F.lit(f"range:{p.name}")))
+        keys = F.coalesce(F.map_keys(given), F.array().cast("array<string>"))
         extra = F.transform(F.array_except(keys, F.array(*(F.lit(p.name) for p in parameters)).cast("array<string>")), lambda k: F.concat(F.lit("unexpected:"), k))
         listed = F.sort_array(F.concat(F.array_compact(F.array(*found).cast("array<string>")), extra))
         malformed = arguments.isNull() | ~F.startswith(F.schema_of_variant(arguments), F.lit("OBJECT"))
@@ -89,7 +138,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Tools) -> DataF
     no_id; repeated_id for a later call or result of an identifier; unknown_parent; cycle; no_call for a result whose
     call is missing. Rows with no_id, repeated_id or no_call are not linked and have a null level, as have calls on a cycle.
 
-    ``json`` has sorted keys and no spaces. A null conv_id is a conversation of its own. Rows that
+    ``json`` has sorted keys, no spaces, and numbers in one form (``canonical``); arguments that are no JSON, or repeat a key,
+    stand as text under raw_arguments. A null conv_id is a conversation of its own. Rows that
     repeat in all columns are one first row and later ones. Other columns are ignored; empty
     tables give no rows.
     """
@@ -130,7 +180,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Tools) -> DataF
             F.when(F.col("is_first") & F.col("level").isNull(), F.lit("cycle")),
         )
     )
-    ours = ours.withColumn("v", F.try_parse_json("arguments"))
+    ours = ours.withColumn("v", canonical(F.col("arguments")))
     called = ours.select(
         F.col("c").alias("conv_id"),
         "turn",
@@ -139,7 +189,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: Tools) -> DataF
         (2 * F.col("level")).alias("level"),
         F.coalesce("answered", F.lit(False)).alias("linked"),
         F.array_join(F.concat(_errors(F.col("name"), F.col("v"), tools), noted), ";").alias("errors"),
-        F.to_json(F.struct(F.col("v").alias("arguments"), F.col("k").alias("id"), "name", F.lit("call").alias("type"))).alias("json"),
+        F.to_json(
+            F.struct(
+                F.col("v").alias("arguments"), F.col("k").alias("id"), "name", F.when(F.col("v").isNull(), F.col("arguments")).alias("raw_arguments"), F.lit("call").alias("type")
+            )
+        ).alias("json"),
     )
     answers = answers.join(placed, at("k", "v") & F.col("is_first"), "left")
     wrong = F.array_compact(
