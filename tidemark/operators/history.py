@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import surrogate_key
 from tidemark.operators.ordered import Running, framed, running
+from tidemark.session import discard, written
+from tidemark.sources import versions
 
 # Seconds of one slice of a key's facts in the merge with its versions.
 SLICE_SECONDS = 30 * 86400
@@ -51,6 +53,38 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, check:
     return closed.unionByName(rows)
 
 
+def scd2_store(incoming: DataFrame, path: str, key: str, check: Sequence[str], ts: Column, *, buckets: int = 64) -> versions.Version:
+    """``scd2_apply`` into a stored table, where a run rewrites only what it changes.
+
+    Open versions lie in parts by a hash of the key, of which only those with new or changed keys are rewritten; closed
+    ones are appended, in a part for each run, and never touched again. Both appear at once. To find the changes, the
+    open versions' key and check columns are read. ``buckets`` holds for a new table and is kept with it.
+    """
+    spark, columns = incoming.sparkSession, incoming.columns
+    before = versions.version(spark, path)
+    about = {"buckets": before.about.get("buckets", buckets)}
+    part = F.concat(F.lit("open-"), F.pmod(F.xxhash64(key), F.lit(about["buckets"])))
+    never = F.when(F.lit(False), ts)
+    first = incoming.select(*columns, ts.alias("valid_from"), never.alias("valid_to"))
+    opened = [p for p in before.parts if p and p.startswith("open-")]
+    stored = versions.read(spark, path, first.schema, before, opened)
+    old = stored.select(F.col(key).alias("_key"), F.struct(*check).alias("_old"))
+    same = (first[key] == old["_key"]) & F.struct(*check).eqNullSafe(F.col("_old"))
+    fresh = written(first.join(old, same, "left_anti"), "opened_versions")
+    touched = versions.parts_in(fresh, part)
+    now = fresh.select(F.col(key).alias("_key"))
+    held = versions.read(spark, path, first.schema, before, touched)
+    kept = held.join(now, F.col(key) == F.col("_key"), "left_anti").unionByName(fresh)
+    closed = held.join(now, F.col(key) == F.col("_key"), "left_semi").select(*columns, "valid_from", ts.alias("valid_to"))
+    new = versions.stage(kept, path, part)
+    ended = versions.stage(closed, path, F.lit(f"closed-{before.number + 1:010}"))
+    parts = {p: own for p, own in before.parts.items() if p not in set(touched)}
+    parts |= {p: [folder] for p, folder in (new | ended).items()}
+    done = versions.publish(spark, path, before, about, parts)
+    discard(fresh)
+    return done
+
+
 def scd2_history(log: DataFrame, key: str, check: Sequence[str], ts: str) -> DataFrame:
     """The versions that repeated snapshots of an ordered change log would leave."""
     state = F.struct(*check)

@@ -78,3 +78,22 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns:
     ``columns`` gets the ordered window and may narrow it with ``rowsBetween``.
     """
     return df.select("*", *columns(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def quantile_cell(df: DataFrame, value: Column, cells: int, coarse: int = 16) -> DataFrame:
+    """Append ``_cell``: the number of the value's interval between approximate quantiles of all values, from 0; null values are in 0.
+
+    The quantiles are a scalar subquery. A value is compared with every cells/coarse-th of them first, then with those
+    in between. A larger value never gets a smaller number.
+    """
+    ends = df.agg(F.percentile_approx(value, [i / cells for i in range(1, cells)], 20 * cells).alias("e")).scalar()
+    placed = df.withColumns({"_ends": ends, "_value": value})
+    step = cells // coarse
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda e: e <= F.col("_value")))
+
+    firsts = F.transform(F.sequence(F.lit(1), F.lit(coarse - 1)), lambda i: F.get("_ends", i * step - 1))
+    placed = placed.withColumn("_coarse", below(firsts))
+    cell = F.col("_coarse") * step + below(F.slice("_ends", F.col("_coarse") * step + 1, step - 1))
+    return placed.withColumn("_cell", F.greatest(F.coalesce(cell, F.lit(0)), F.lit(0))).drop("_ends", "_value", "_coarse")

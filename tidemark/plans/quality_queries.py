@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from tidemark.operators import quality
 from tidemark.plans.inputs import INGESTED_AT, SIDES_SQL, rounded, sides, table
 from tidemark.session import new_path
+from tidemark.sources import versions
 from tidemark.streaming import ingest
 
 
@@ -233,6 +234,31 @@ select event_id, concat_ws(',', case when not value between 1 and 200 then 'valu
                                 case when event_type = 'error' then 'not_an_error' end) as failed
 from events"""
 
+
+
+def stream_keep_latest(spark, sf_dir):
+    """Each user's and type's latest event, from a stream of files in no order; rows more than ten days late are set apart."""
+    events = table(spark, sf_dir, "events")
+    source, kept, late = (new_path(spark, n) for n in ("mixed-events", "latest-events", "late-events"))
+    for i in range(3):  # a third of the days in each file, the earliest ones last
+        day = F.dayofmonth("ts")
+        events.where((day > 20, (day > 10) & (day <= 20), day <= 10)[i]).coalesce(1).write.mode("append").parquet(f"{source}/{i}")
+    for i in range(3):  # a run takes the files that are new
+        stream = ingest.file_stream(spark, f"{source}/[0-{i}]", events.schema)
+        order = [F.col("ts").desc(), F.col("event_id").desc()]
+        ingest.keep_latest(stream, kept, late, f"{kept}-log", ["user_id", "event_type"], order, "ts", delay="20 days", parts=4).awaitTermination()
+    state = versions.read(spark, kept, events.schema).select("event_id", "ts", "value", F.lit("latest").alias("what"))
+    return state.unionByName(ingest.read_batches(spark, late, events.schema).select("event_id", "ts", "value", F.lit("late").alias("what")))
+
+
+STREAM_LATEST_SQL = """
+with e as (select *, case when day(ts) > 20 then 0 when day(ts) > 10 then 1 else 2 end as run from events),
+marked as (select *, (select max(ts) from e f where f.run < e.run) as mark from e),
+timely as (select * from marked where mark is null or ts >= mark - interval 20 days)
+select event_id, ts, value, 'latest' as what from timely
+qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
+union all select event_id, ts, value, 'late' from marked where ts < mark - interval 20 days"""
+
 QUERIES = {
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
@@ -250,6 +276,7 @@ QUERIES = {
     "distribution_drift": distribution_drift,
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
+    "stream_keep_latest": stream_keep_latest,
 }
 
 ORACLE = {
@@ -274,5 +301,6 @@ ORACLE = {
     "profile_drift": _drift_sql(),
     "distribution_drift": _distribution_sql(),
     "stream_ingest": STREAM_SQL,
+    "stream_keep_latest": STREAM_LATEST_SQL,
     "stream_quarantine": STREAM_QUARANTINE_SQL,
 }

@@ -20,6 +20,8 @@ from tidemark.plans.inputs import (
     table,
 )
 from tidemark.plans.typing_queries import LATEST_LINES_SQL, latest_lines
+from tidemark.session import new_path
+from tidemark.sources import versions
 
 # --- pairs ---------------------------------------------------------------------
 
@@ -297,21 +299,31 @@ def scd2_dim(spark, sf_dir):
     return _customer_dim(spark, sf_dir)
 
 
+RUNS = ("1996-06-30", "1998-06-30", "2000-06-30", "2002-06-30")
+
+
+def _seen_until(log, day):
+    """The source as a run on that day finds it: each customer's latest state, if any."""
+    known = log.where(F.col("ts") <= F.lit(day).cast("date"))
+    last = F.max_by(F.struct("priority", "status", F.col("ts").alias("source_day")), "ts")
+    return known.groupBy("player_id").agg(last.alias("s")).select("player_id", "s.*")
+
+
 def scd2_apply(spark, sf_dir):
-    log = state_log(spark, sf_dir)
+    log, found = state_log(spark, sf_dir), None
+    for day in RUNS:
+        found = history.scd2_apply(found, _seen_until(log, day), "player_id", ["priority", "status"], F.lit(day).cast("date"))
+    return found
 
-    def seen_until(day):
-        """The source as a run on that day finds it: each customer's latest state, if any."""
-        known = log.where(F.col("ts") <= F.lit(day).cast("date"))
-        last = F.max_by(F.struct("priority", "status", F.col("ts").alias("source_day")), "ts")
-        return known.groupBy("player_id").agg(last.alias("s")).select("player_id", "s.*")
 
-    versions = None
-    for day in ("1996-06-30", "1998-06-30", "2000-06-30", "2002-06-30"):
-        versions = history.scd2_apply(
-            versions, seen_until(day), "player_id", ["priority", "status"], F.lit(day).cast("date")
-        )
-    return versions
+def scd2_store(spark, sf_dir):
+    """The same runs into a stored table."""
+    log, path = state_log(spark, sf_dir), new_path(spark, "history")
+    for day in RUNS:
+        snapshot = _seen_until(log, day)
+        history.scd2_store(snapshot, path, "player_id", ["priority", "status"], F.lit(day).cast("date"), buckets=8)
+    schema = snapshot.select("*", F.lit(day).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")).schema
+    return versions.read(spark, path, schema)
 
 
 APPLY_SQL = f"""
@@ -347,6 +359,7 @@ QUERIES = {
     "scd2_history": scd2_history,
     "scd2_dim": scd2_dim,
     "scd2_apply": scd2_apply,
+    "scd2_store": scd2_store,
 }
 
 ORACLE = {
@@ -369,4 +382,5 @@ ORACLE = {
     "scd2_dim": f"""with {STATE_VERSIONS_SQL}
                     select player_id, valid_from, priority, status, valid_to, is_current, player_sk from state_dim""",
     "scd2_apply": APPLY_SQL,
+    "scd2_store": APPLY_SQL,
 }

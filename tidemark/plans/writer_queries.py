@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -119,6 +120,29 @@ def clustered_write(spark, sf_dir):
     return bronze.read_table(spark, path, lines.schema)
 
 
+def interleaved_write(spark, sf_dir):
+    """Lines written by both date and supplier: a range of either one is in less than three quarters of the files."""
+    lines, path = table(spark, sf_dir, "lineitem"), new_path(spark, "interleaved")
+    bronze.write_interleaved(lines, path, ["l_shipdate", "l_suppkey"], files=16)
+    month = [F.lit(d).cast("timestamp") for d in ("1998-03-01", "1998-03-31")]
+    found = [
+        bronze.files_read(spark, path, lines.schema, c, low, high).select(F.lit(c).alias("filter"), (F.col("read") * 4 < F.col("files") * 3).alias("skips"))
+        for c, (low, high) in (("l_shipdate", month), ("l_suppkey", (3, 4)))
+    ]
+    rows = bronze.read_table(spark, path, lines.schema).agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").alias("quantity"))
+    return found[0].unionAll(found[1]).select("*", rows.select("rows").scalar().alias("rows"), rows.select("quantity").scalar().alias("quantity"))
+
+
+def bucketed_join(spark, sf_dir):
+    """Facts stored in buckets of their game, joined and summed by game without a shuffle."""
+    name = f"b{uuid.uuid4().hex}"
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    facts = bronze.write_bucketed(lines.withColumnRenamed("l_orderkey", "game_id"), f"{name}_lines", new_path(spark, "bucketed"), "game_id", buckets=8)
+    games = bronze.write_bucketed(orders.withColumnRenamed("o_orderkey", "game_id"), f"{name}_orders", new_path(spark, "bucketed"), "game_id", buckets=8)
+    joined = facts.join(games, "game_id").groupBy("game_id", "o_orderstatus")
+    return joined.agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
 def full_replace(spark, sf_dir):
     """A table that a second write replaces whole."""
     path = new_path(spark, "replaced")
@@ -226,7 +250,7 @@ select cast(event_id as varchar) as event_id, j as _params_json, substr(sha1(j),
 QUERIES = {
     f.__name__: f
     for f in (
-        slice_write, incremental_load, publish_after_gate, clustered_write, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
+        slice_write, incremental_load, publish_after_gate, clustered_write, interleaved_write, bucketed_join, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
         contract_summary, calibration_by_model, hash_of_line_ends,
     )
 }
@@ -236,6 +260,10 @@ ORACLE = {
     "incremental_load": INCREMENTAL_SQL,
     "publish_after_gate": PUBLISH_SQL,
     "clustered_write": "select * from lineitem",
+    "interleaved_write": """select f as filter, true as skips, (select count(*) from lineitem) as rows, (select sum(l_quantity) from lineitem) as quantity
+                            from (values ('l_shipdate'), ('l_suppkey')) as v (f)""",
+    "bucketed_join": """select l_orderkey as game_id, o_orderstatus, count(*) as lines, sum(l_quantity) as quantity
+                        from lineitem join orders on o_orderkey = l_orderkey group by 1, 2""",
     "full_replace": "select * from orders where o_orderstatus = 'F'",
     "snapshot_reuse": "select cast(ts as date) as day, count(*) as n from events group by 1",
     "mark_state": MARK_SQL,

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.keys import params_json, row_params_json, slice_hash
 from tidemark.functions.text import text_sql
+from tidemark.operators.ordered import quantile_cell
 from tidemark.sources import versions
 
 # The lineage columns of every raw row.
@@ -132,6 +133,48 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], *, mode
     df.repartitionByRange(*order).sortWithinPartitions(*cluster_by).write.mode(mode).parquet(path)
 
 
+def write_interleaved(df: DataFrame, path: str, cluster_by: Sequence[str], *, files: int, mode: str = "overwrite") -> None:
+    """Write a table so that a range of any one of the columns lies in few files.
+
+    Each value becomes its rank among 256 approximate quantiles of its column, and files hold ranges of a key that
+    takes one bit of each rank in turn, the highest first. Readers skip files by their min/max whichever of
+    the columns they filter. Columns are numbers, dates, timestamps or texts, of which the first six bytes count.
+    """
+    ranked, bits = df, 8
+    for i, c in enumerate(cluster_by):
+        kind = dict(df.dtypes)[c]
+        if kind in ("date", "timestamp", "timestamp_ntz"):
+            value = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+        elif kind == "string":
+            value = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        else:
+            value = F.col(c).cast("double")
+        ranked = quantile_cell(ranked, value, 1 << bits).withColumnRenamed("_cell", f"_rank{i}")
+    places = [(b, i) for b in range(bits - 1, -1, -1) for i in range(len(cluster_by))]
+    parts = [F.shiftleft(F.shiftright(F.col(f"_rank{i}"), b).bitwiseAND(F.lit(1)).cast("long"), len(places) - 1 - n) for n, (b, i) in enumerate(places)]
+    keyed = ranked.withColumn("_key", reduce(lambda a, b: a.bitwiseOR(b), parts)).drop(*[f"_rank{i}" for i in range(len(cluster_by))])
+    # equal keys are split by the columns themselves, so that no file gets all rows of a hot value
+    dealt = keyed.repartitionByRange(files, "_key", *cluster_by).sortWithinPartitions("_key", *cluster_by)
+    dealt.drop("_key").write.mode(mode).parquet(path)
+
+
+def files_read(spark: SparkSession, path: str, schema: StructType, column: str, low, high) -> DataFrame:
+    """(files, read): how many files a table has, and how many a reader must open for a range of a column by their min/max."""
+    rows = spark.read.schema(schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return rows.agg(F.count(F.lit(1)).alias("files"), F.count_if((F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high))).alias("read"))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, *, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Write a table in buckets of a key, sorted by it, and return its reader.
+
+    Tables with as many buckets of the same key join, and are grouped by it, without a shuffle. ``table`` is its name in
+    the session's catalog, which knows the buckets; the files are at ``path``. Rows are dealt to the buckets by
+    one shuffle, so that each bucket is one file.
+    """
+    df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def _nested(df: DataFrame, c: str) -> bool:
     return dict(df.dtypes)[c].startswith(("map", "array", "struct", "variant", "binary"))
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.quality import quarantine_split
+from tidemark.operators.staging import dedupe_latest
+from tidemark.sources import versions
 from tidemark.sources.bronze import to_bronze, write_slices
 
 
@@ -80,3 +83,50 @@ def upsert_slices(stream: DataFrame, table: str, log: str, keys: Sequence[str])
         write_slices(batch, table, keys=keys)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", log).trigger(availableNow=True).start()
+
+
+def keep_latest(
+    stream: DataFrame,
+    table: str,
+    quarantine: str,
+    log: str,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    ts: str,
+    *,
+    delay: str | None = None,
+    parts: int = 64,
+) -> StreamingQuery:
+    """Keep the first row of each key in ``order``, as ``dedupe_latest`` does with all rows, whatever the order of files.
+
+    The state is a stored table in ``parts`` by a hash of the key; a batch rewrites the parts of its keys and appears at
+    once, with its number, so that a replayed batch changes nothing. With ``delay`` (an interval), rows that are
+    older by more than that than the latest row of the batches before are late: they go to ``quarantine``, a folder
+    for each batch, and none is lost. Rows without a time are late then too. Read the table by ``versions.read``.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = versions.version(spark, table)
+        if before.about.get("batch", -1) >= number:
+            return
+        limit = before.about.get("latest")
+        if delay is not None:
+            mark = F.lit(limit).cast("timestamp") - F.expr(f"interval {delay}")
+            late = F.col(ts).isNull() | F.coalesce(F.col(ts).cast("timestamp") < mark, F.lit(False))
+            batch = batch.withColumn("_late", late).persist()
+            batch.where("_late").drop("_late").write.mode("overwrite").parquet(f"{quarantine}/_batch={number}")
+            rows = batch.where("NOT _late").drop("_late")
+        else:
+            rows = batch
+        about = {"batch": number, "parts": before.about.get("parts", parts)}
+        part = F.pmod(F.xxhash64(*keys), F.lit(about["parts"]))
+        touched = versions.parts_in(rows, part)
+        held = versions.read(spark, table, rows.schema, before, touched)
+        kept = dedupe_latest(held.unionByName(rows), keys, order)
+        latest = rows.agg(F.max(F.col(ts).cast("timestamp")).cast("string")).first()[0]
+        about["latest"] = max(filter(None, (limit, latest)), default=None)
+        versions.replace_parts(kept, table, part, touched=touched, about=about, after=before)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", log).trigger(availableNow=True).start()
