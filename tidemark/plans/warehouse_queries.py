@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rates import ratio
 from tidemark.functions.text import period_label
+from tidemark.plans import table_functions
 from tidemark.plans import warehouse as wh
 from tidemark.plans.inputs import CAREERS_SQL, SIDES_SQL, careers, key_sql, rounded, sides, table
 from tidemark.plans.star_queries import factor_columns_sql
@@ -257,6 +258,23 @@ def top_scorers(spark, sf_dir):
     return wh.top_scorers(warehouse(spark, sf_dir).fact_player_season, "1998-99", 50)
 
 
+def top_scorers_sql(spark, sf_dir):
+    """The same by a table function of SQL."""
+    table_functions.register(spark, {"fact_player_season": warehouse(spark, sf_dir).fact_player_season}, "asked_")
+    return spark.sql("SELECT player_id, player_name, points, games FROM top_scorers('1998-99', 50)")
+
+
+def shot_profiles_sql(spark, sf_dir):
+    """A table function asked for every player and season in a lateral join."""
+    table_functions.register(spark, {"fact_shot": warehouse(spark, sf_dir).fact_shot}, "asked_")
+    out = spark.sql(
+        """SELECT p.player_id, p.season_key, t.* FROM (
+             SELECT DISTINCT player_id, season_key FROM asked_fact_shot WHERE player_id IS NOT NULL AND season_key IS NOT NULL) p,
+           LATERAL player_shot_profile(p.player_id, p.season_key) t"""
+    )
+    return rounded(out, 9, "make_pct")
+
+
 QUERIES = {name: _table(name, stored=()) for name in ("stg_team_roster", "stg_team_coach", "dim_team", "dim_player")}
 QUERIES |= {
     name: _table(name)
@@ -266,7 +284,7 @@ QUERIES |= {
     )
 }
 QUERIES |= {"int_team_game__advanced": int_team_game__advanced, "mart_team_four_factors": mart_team_four_factors}
-QUERIES |= {"top_scorers": top_scorers}
+QUERIES |= {"top_scorers": top_scorers, "top_scorers_sql": top_scorers_sql, "shot_profiles_sql": shot_profiles_sql}
 
 # --- the same in SQL --------------------------------------------------------------
 
@@ -453,3 +471,8 @@ from team_game t join team_game o on t.game_id = o.game_id and t.opponent_team_i
 select player_id, max(player_name) as player_name, cast(sum(points) as bigint) as points, cast(sum(gp) as bigint) as games
 from player_season where season = '1998-99' group by player_id order by points desc, player_id limit 50""",
 }
+ORACLE["top_scorers_sql"] = ORACLE["top_scorers"]
+ORACLE["shot_profiles_sql"] = f"""{_BASE}
+select player_id, season_key, shot_zone, count(*) as attempts, count(*) filter (where is_made) as makes, cast(sum(points) as bigint) as points,
+       round(count(*) filter (where is_made) / count(*), 9) as make_pct
+from ({_SHOT}) as f where player_id is not null and season_key is not null group by 1, 2, 3"""
