@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import history
 from tidemark.operators.incremental import incremental_merge, merge_parts
 from tidemark.operators.quality import RowCheck, SuiteFailed
 from tidemark.session import new_path
@@ -97,3 +98,60 @@ def test_first_merge_of_nothing(spark):
     empty = spark.createDataFrame([], "k int, d date, v int")
     assert merge_parts(empty, path, ["k"], "d", F.col("d")).parts == {}
     assert versions.read(spark, path, empty.schema).count() == 0
+
+
+def history_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_history_by_storage(spark):
+    """The same versions as rewriting all, but only parts with changes are written, and closed versions never again."""
+    path, day = new_path(spark, "history"), datetime.date
+    names = "k long, name string, team string, seen int"
+    first = [(i, f"n{i}", "a", 1) for i in range(300)]
+    second = [(i, f"n{i}", "b" if i in (7, 8) else "a", 2) for i in range(299)]
+    third = [(i, None if i == 7 else f"n{i}", "b" if i in (7, 8) else "a", 3) for i in range(300)] + [(900, "new", None, 3)]
+    current, kept = None, []
+    for n, rows in enumerate((first, second, second, third), 1):
+        df, ts = spark.createDataFrame(rows, names), F.lit(day(2024, n, 1)).cast("date")
+        current = history.scd2_apply(current, df, "k", ["name", "team"], ts).cache()
+        kept.append(history.scd2_store(df, path, "k", ["name", "team"], ts, buckets=16))
+        stored = versions.read(spark, path, current.schema)
+        assert history_rows(stored) == history_rows(current)
+    opened = [{p: f for p, f in v.parts.items() if p.startswith("open")} for v in kept]
+    closed = [{p: f for p, f in v.parts.items() if p.startswith("closed")} for v in kept]
+    assert len(opened[0]) == 16 and 1 <= sum(opened[0][p] != opened[1][p] for p in opened[0]) <= 2
+    assert opened[1] == opened[2] and [len(c) for c in closed] == [0, 1, 1, 2]
+    assert all(closed[3][p] == f for p, f in closed[1].items())
+
+
+def test_interleaved_files_skip_by_either_column(spark):
+    path = new_path(spark, "interleaved")
+    df = spark.range(40_000).select((F.col("id") % 200).alias("a"), F.expr("date_add(date '2020-01-01', cast(id / 200 as int))").alias("b"), F.concat(F.lit("n"), F.col("id") % 100).alias("c"))
+    df = df.unionByName(df.limit(3).select(F.lit(None).cast("long").alias("a"), F.lit(None).cast("date").alias("b"), F.lit(None).cast("string").alias("c")))
+    bronze.write_interleaved(df, path, ["a", "b"], files=16)
+    assert bronze.read_table(spark, path, df.schema).exceptAll(df).isEmpty() and bronze.read_table(spark, path, df.schema).count() == 40_003
+    for column, low, high in (("a", 10, 12), ("b", datetime.date(2020, 3, 1), datetime.date(2020, 3, 4))):
+        r = bronze.files_read(spark, path, df.schema, column, low, high).first()
+        assert r.files == 16 and r.read <= 9
+    # sorted by the first column alone, every file has all values of the second
+    linear = new_path(spark, "linear")
+    df.repartitionByRange(16, "a", "b").sortWithinPartitions("a", "b").write.parquet(linear)
+    assert bronze.files_read(spark, linear, df.schema, "b", datetime.date(2020, 3, 1), datetime.date(2020, 3, 4)).first().read >= 15
+    text = new_path(spark, "interleaved")
+    bronze.write_interleaved(df, text, ["c", "a"], files=8)
+    assert bronze.files_read(spark, text, df.schema, "c", "n1", "n1").first().read <= 6
+    empty = new_path(spark, "interleaved")
+    bronze.write_interleaved(df.limit(0), empty, ["a", "b"], files=4)
+    assert bronze.read_table(spark, empty, df.schema).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    name = new_path(spark, "b").rpartition("-")[2]
+    left = spark.range(5000).select((F.col("id") % 900).alias("game"), "id")
+    facts = bronze.write_bucketed(left, f"l{name}", new_path(spark, "bucketed"), "game", buckets=6)
+    games = bronze.write_bucketed(spark.range(900).withColumnRenamed("id", "game"), f"r{name}", new_path(spark, "bucketed"), "game", buckets=6)
+    joined = facts.hint("merge").join(games.hint("merge"), "game").groupBy("game").count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert joined.count() == 900 and joined.agg(F.sum("count")).first()[0] == 5000
