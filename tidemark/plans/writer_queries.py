@@ -47,6 +47,25 @@ from (select *, case when event_id % 97 <> 0 then cast(ts as date) end as d from
 where d is distinct from date '2024-01-03'"""
 
 
+def slice_append(spark, sf_dir):
+    """Days of events appended in two batches, of which the second repeats some: an append keeps all rows."""
+    days, path = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("date").alias("day")), new_path(spark, "appended")
+
+    def landed(rows, run):
+        return bronze.to_bronze(rows, "feed", "Events", run_id=run, ingested_at=INGESTED_AT, params_from={"day": "day"})
+
+    first = landed(days.where("day <= date '2024-01-20'"), "r1")
+    bronze.write_slices(first, path, replace=False, parts=8)
+    bronze.write_slices(landed(days.where("day >= date '2024-01-18'"), "r2"), path, replace=False)
+    return bronze.read_slices(spark, path, first.schema).select("event_id", "day", "_run_id")
+
+
+SLICE_APPEND_SQL = """
+select cast(event_id as varchar) as event_id, cast(cast(ts as date) as varchar) as day, run as _run_id
+from events, (values ('r1'), ('r2')) as v (run)
+where (run = 'r1' and cast(ts as date) <= date '2024-01-20') or (run = 'r2' and cast(ts as date) >= date '2024-01-18')"""
+
+
 def _daily_orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice")
 
@@ -250,13 +269,14 @@ select cast(event_id as varchar) as event_id, j as _params_json, substr(sha1(j),
 QUERIES = {
     f.__name__: f
     for f in (
-        slice_write, incremental_load, publish_after_gate, clustered_write, interleaved_write, bucketed_join, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
+        slice_write, slice_append, incremental_load, publish_after_gate, clustered_write, interleaved_write, bucketed_join, full_replace, snapshot_reuse, mark_state, gate_blocks_write, contract_duplicates,
         contract_summary, calibration_by_model, hash_of_line_ends,
     )
 }
 
 ORACLE = {
     "slice_write": SLICE_WRITE_SQL,
+    "slice_append": SLICE_APPEND_SQL,
     "incremental_load": INCREMENTAL_SQL,
     "publish_after_gate": PUBLISH_SQL,
     "clustered_write": "select * from lineitem",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,14 +29,14 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    A session without one (a test on one machine) gets a new temporary folder.
+    A session on one machine without one, as in tests, gets a folder of the warehouse, which the session names too.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        configured = tempfile.mkdtemp(prefix="tidemark-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
