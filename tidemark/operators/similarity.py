@@ -8,6 +8,7 @@ similarity rounded to ``DIGITS`` places, ties by key.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from heapq import heappop, heappush
 from typing import NamedTuple
 
@@ -81,14 +82,16 @@ def nearest(df: DataFrame, key: str, vector: str, queries: Column, k: int = 10)
     blocks = max(1, -(-wanted.count() // BLOCK_QUERIES))
     if blocks > 1:
         reduced = written(reduced, "distinct_vectors")
-    found = None
+    found = []
     for i in range(blocks):
         block = wanted.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i).toArrow().combine_chunks()
-        held = block.column("k").to_numpy(), _units(block.column("v").combine_chunks())
-        own = reduced.mapInArrow(_best(spark.sparkContext.broadcast(held), k), "query long, neighbour long, similarity double")
-        found = own if found is None else found.unionAll(own)
+        shared = spark.sparkContext.broadcast((block.column("k").to_numpy(), _units(block.column("v").combine_chunks())))
+        found.append(reduced.mapInArrow(_best(shared, k), "query long, neighbour long, similarity double"))
+        if blocks > 1:  # one block is held at a time
+            found[-1] = written(found[-1], "block_neighbours")
+            shared.unpersist()
     discard(wanted)
-    return _ranked(found, k)
+    return _ranked(reduce(DataFrame.unionAll, found), k)
 
 
 def _best(shared, k: int):
