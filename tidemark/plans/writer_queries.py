@@ -142,11 +142,11 @@ def clustered_write(spark, sf_dir):
 def interleaved_write(spark, sf_dir):
     """Lines written by both date and supplier: a range of either one is in less than three quarters of the files."""
     lines, path = table(spark, sf_dir, "lineitem"), new_path(spark, "interleaved")
-    bronze.write_interleaved(lines, path, ["l_shipdate", "l_suppkey"], files=16)
+    bronze.write_interleaved(lines, path, ["l_shipdate", "l_suppkey"], files=64)
     month = [F.lit(d).cast("timestamp") for d in ("1998-03-01", "1998-03-31")]
     found = [
         bronze.files_read(spark, path, lines.schema, c, low, high).select(F.lit(c).alias("filter"), (F.col("read") * 4 < F.col("files") * 3).alias("skips"))
-        for c, (low, high) in (("l_shipdate", month), ("l_suppkey", (3, 4)))
+        for c, (low, high) in (("l_shipdate", month), ("l_suppkey", (3, 3)))
     ]
     rows = bronze.read_table(spark, path, lines.schema).agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").alias("quantity"))
     return found[0].unionAll(found[1]).select("*", rows.select("rows").scalar().alias("rows"), rows.select("quantity").scalar().alias("quantity"))
