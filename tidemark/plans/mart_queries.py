@@ -213,7 +213,7 @@ from forecasts group by season"""
 
 
 # penalties that are tried, and steps of the SQL counterpart's descent, enough for 9 digits
-PENALTIES = (0.03, 0.1, 0.3)
+PENALTIES = (0.1, 0.3, 1.0)
 _STEPS = 110
 
 
@@ -264,7 +264,7 @@ centre as (select split, term, sum(w) as share from x group by 1, 2),
 descent as (
     select 0 as step, split, penalty, term, 0.0::double as beta from centre, (values {", ".join(f"({p}::double)" for p in PENALTIES)}) as v (penalty)
     union all
-    select step + 1, split, penalty, d.term, d.beta + (g.g - penalty * d.beta) / (0.1 + penalty)
+    select step + 1, split, penalty, d.term, d.beta + (g.g - penalty * d.beta) / (0.5 + penalty)
     from descent d join (
         select split, penalty, x.term, sum(x.w * (x.y - fit + shift)) as g
         from x join (select split, penalty, id, sum(beta) as fit from x join descent using (split, term) group by 1, 2, 3) f using (split, id)
