@@ -472,6 +472,32 @@ def test_headings_that_all_pages_have(spark):
         assert extracted(spark, [pages[0]] * 40 + pages[1:8]) == [want[0]] * 40 + want[1:8]
 
 
+def test_wrappers_count_all_pages(spark):
+    """A text at the end is the template's if half of all pages have it, whichever of them come first by hash."""
+    stories = [" ".join(t.split()) for t in sentences(44, 220, 60)]
+    pages, want = [], {}
+    for host in range(16):
+        common = host % 2 == 0
+        for i in range(200):
+            notice = i * 20 < 200 * (11 if common else 9)  # 55 or 45 in a hundred
+            text = f"{stories[i]} {host}"
+            pages.append((len(pages), f"http://h{host}.example/", f"<body><div class=content><p>{text}</p>{'<p>Written by our staff.</p>' if notice else ''}</div></body>"))
+            want[len(pages) - 1] = text + (" Written by our staff." if notice and not common else "")
+    pages += [(len(pages) + k, *pages[0][1:]) for k in range(300)]  # copies of one page count once
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html.extract_articles(df).collect()}
+    assert got == want | {i: want[0] for i, *_ in pages[3200:]}
+
+
+def test_share_that_differs():
+    assert html.differing([(1, 20)]) == 1 and html.differing([(20, 1)]) == 1 / 20 and html.differing([(2, 10)]) == 0.5
+    assert abs(html.differing([(500, 4)]) - 4 / 32) < 0.001, "four texts by turns on two thousand pages"
+    whole = [0, 0, 0, 1, 1, 2] * 6
+    kinds = [(18, 1), (12, 1), (6, 1)]
+    chosen = [len({*random.Random(s).sample(whole, html.ALIKE_OF)}) / html.ALIKE_OF for s in range(300)]
+    assert abs(html.differing(kinds) - sum(chosen) / 300) < 0.002
+
+
 def keys(expression):
     return [(" ".join(p.key), p.pages) for p in expression.pieces]
 

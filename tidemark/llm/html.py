@@ -3,9 +3,9 @@
 A page is a stream of text tokens, each with the path of its element. The streams of a host are
 aligned into one union-free expression: runs and repeated groups of tokens fold into one piece, pieces that some
 pages lack become optional, and a piece whose texts differ from page to page is a slot. Each task aligns
-the pages it reads, and the expressions of all tasks are merged in a tree. A page is then aligned with its host's
-wrapper; its article is the element that holds most of the text in slots, with all that stands there.
-Pages are parsed once and their blocks stored.
+the pages it reads, and the expressions of all tasks are merged in a tree. All pages are then aligned with their host's
+expression and the texts of its pieces counted, which makes it a wrapper; a page's article is the element that holds most
+of the text in slots, with all that stands there. Pages are parsed once and their blocks stored.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from heapq import nsmallest
 from itertools import groupby
+from math import prod
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import pick
 from tidemark.session import written
 
-#: Distinct pages that a piece remembers, those with the least hashes, whatever the order in which pages come.
+#: Distinct pages that an expression on its own remembers of a piece, those with the least hashes, whatever their order.
 SAMPLE = 32
-#: A piece is no slot if so many of them are known and at most this share of them differ in its text.
-ALIKE_PAGES, ALIKE_SHARE = 3, 0.5
-#: A text at an end of an article is the template's if so many are known, and this share of them have it there.
+#: A piece is no slot if it has so many distinct pages and at most this share of so many of them, on average, differ in its text.
+ALIKE_PAGES, ALIKE_SHARE, ALIKE_OF = 3, 0.5, 32
+#: A text at an end of an article is the template's if the piece has so many pages, and this share of them, at least half, have it there.
 TEMPLATE_PAGES, TEMPLATE_SHARE = 6, 0.5
 #: Pieces of an expression before its paths are cut shorter, tokens of a repeated group, pieces a task holds,
 #: and expressions that one task merges.
@@ -248,7 +249,27 @@ def parsed(page: str) -> list[Block]:
 
 
 def hashed(text: str) -> int:
-    return xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1  # as a signed long
+
+
+def page_hash(blocks: Sequence[Block]) -> int:
+    return hashed("\0".join(f"{b.path}\0{b.value}" for b in blocks))
+
+
+def piece_hashes(blocks: Sequence[Block]) -> tuple[int, int]:
+    """The hashes of a piece's whole text and of its last one."""
+    return hashed("\0".join(b.value for b in blocks)), hashed(blocks[-1].value)
+
+
+def differing(sizes: Sequence[tuple[int, int]]) -> float:
+    """Share of pages that differ in a text, on average over all choices of ALIKE_OF of them.
+
+    ``sizes`` says for all pages how many texts there are that so many pages have: (pages, texts). The mean is exact, and
+    means the same for a small host and a large one: the plain share of distinct texts falls as pages are added.
+    """
+    pages = sum(c * m for c, m in sizes)
+    some = min(pages, ALIKE_OF)
+    return sum(m * (1 - prod(max(pages - c - i, 0) / (pages - i) for i in range(some))) for c, m in sizes) / some
 
 
 class Piece:
@@ -256,7 +277,8 @@ class Piece:
 
     ``pages`` have it, with ``letters`` of text altogether; on ``aside`` of them it surrounds the article, on ``leads`` it is the
     longest piece of the others. ``sample``
-    holds its whole text and its last one, hashed, for the distinct pages with the least hashes; merging keeps it exact.
+    holds its whole text and its last one, hashed, for the distinct pages with the least hashes; merging keeps it exact. It serves
+    expressions that stand alone: wrappers of a table get the counts of all pages instead.
     """
 
     __slots__ = ("key", "pages", "letters", "aside", "leads", "sample", "limit")
@@ -264,14 +286,14 @@ class Piece:
     def __init__(self, key: tuple[str, ...]):
         self.key, self.pages, self.letters, self.aside, self.leads = key, 0, 0, 0, 0
         self.sample: dict[int, tuple[int, int]] = {}
-        self.limit = 1 << 32  # no larger hash can get into the sample
+        self.limit = 1 << 63  # no larger hash can get into the sample
 
     def add(self, page: int, blocks: Sequence[Block]) -> None:
         self.pages += 1
         self.letters += sum(len(b.value) for b in blocks)
         self.aside += all(b.aside for b in blocks)
         if page < self.limit:
-            self.sample[page] = hashed("\0".join(b.value for b in blocks)), hashed(blocks[-1].value)
+            self.sample[page] = piece_hashes(blocks)
             self._cut()
 
     def _cut(self) -> None:
@@ -283,14 +305,14 @@ class Piece:
         for name in ("pages", "letters", "aside", "leads"):
             setattr(self, name, getattr(self, name) + getattr(other, name))
         self.sample |= other.sample
-        self.limit = 1 << 32
+        self.limit = 1 << 63
         self._cut()
 
     def least(self) -> dict[int, tuple[int, int]]:
         return {page: self.sample[page] for page in nsmallest(SAMPLE, self.sample)}
 
-    def stored(self) -> list:
-        return [self.key, self.pages, self.letters, self.aside, self.leads, [[page, *both] for page, both in self.least().items()]]
+    def stored(self, sample: bool) -> list:
+        return [self.key, self.pages, self.letters, self.aside, self.leads, [[page, *both] for page, both in self.least().items()] if sample else []]
 
     @classmethod
     def of(cls, stored: list) -> Piece:
@@ -299,15 +321,25 @@ class Piece:
         piece.sample = {page: (value, tail) for page, value, tail in stored[5]}
         return piece
 
-    def told(self) -> Told:
+    def told(self, counted: Counted | None = None) -> Told:
         """What it says of a page. Its text differs from page to page in a slot; copies of a page count once."""
-        known = list(self.least().values())
-        slot = len(known) < ALIKE_PAGES or len({value for value, _ in known}) > ALIKE_SHARE * len(known)
-        tails = Counter(tail for _, tail in known)
-        repeated = {t for t, n in tails.items() if len(known) >= TEMPLATE_PAGES and n >= TEMPLATE_SHARE * len(known)}
+        if counted is None:
+            known = list(self.least().values())
+            values, tails = (Counter(own) for own in (zip(*known, strict=True) if known else ((), ())))
+            counted = Counted(list(Counter(values.values()).items()), [(n, t) for t, n in tails.items()])
+        n = sum(c * m for c, m in counted.sizes)
+        slot = n < ALIKE_PAGES or differing(counted.sizes) > ALIKE_SHARE
+        repeated = {t for c, t in counted.tails if n >= TEMPLATE_PAGES and c >= TEMPLATE_SHARE * n}
         return Told(self.key, self.pages, self.letters / self.pages, 2 * self.aside > self.pages, slot, 2 * self.leads > self.pages, frozenset(repeated))
 
 
+class Counted(NamedTuple):
+    """Of a piece's distinct pages: (pages, texts) with so many texts that so many pages have, and (pages, text) for last texts that are common."""
+
+    sizes: list[tuple[int, int]]
+    tails: list[tuple[int, int]]
+
+
 class Told(NamedTuple):
     """A piece as pages are matched with it: usual letters, whether it is aside, a slot, the longest on most of
     its pages, and the texts that its pages repeat at its end.
@@ -420,7 +452,7 @@ class Expression:
         """Align a page with the expression; mismatches become optional pieces."""
         if not blocks:
             return
-        page = hashed("\0".join(f"{b.path}\0{b.value}" for b in blocks))
+        page = page_hash(blocks)
         shape = shaped(blocks, self.pieces, self.depth)
         signature = tuple(k for k, *_ in shape)
         if signature not in self.known:
@@ -476,17 +508,18 @@ class Expression:
                 pieces.append(p)
         self.pieces = pieces
 
-    def stored(self) -> str:
-        return json.dumps([self.depth, [p.stored() for p in self.pieces]], separators=(",", ":"))
+    def stored(self, sample: bool = True) -> str:
+        return json.dumps([self.depth, [p.stored(sample) for p in self.pieces]], separators=(",", ":"))
 
     @classmethod
     def of(cls, stored: str) -> Expression:
         depth, pieces = json.loads(stored)
         return cls([Piece.of(p) for p in pieces], depth)
 
-    def wrapper(self) -> str:
-        """What extraction needs of it, stored."""
-        return json.dumps([self.depth, [[*t[:6], sorted(t.tails)] for t in (p.told() for p in self.pieces)]], separators=(",", ":"))
+    def wrapper(self, counted: dict[int, Counted] | None = None) -> str:
+        """What extraction needs of it, stored; ``counted`` tells of all pages by the number of the piece."""
+        told = [p.told() if counted is None else p.told(counted.get(i, Counted([], []))) for i, p in enumerate(self.pieces)]
+        return json.dumps([self.depth, [[*t[:6], sorted(t.tails)] for t in told]], separators=(",", ":"))
 
 
 class Wrapper:
@@ -496,20 +529,26 @@ class Wrapper:
         depth, pieces = json.loads(stored)
         self.pieces = [Told(tuple(key), *rest, frozenset(tails)) for key, *rest, tails in pieces]
         self.depth = depth
-        self.known: dict[tuple, list[Told | None]] = {}
+        self.known: dict[tuple, list[int | None]] = {}
 
-    def matched(self, blocks: Sequence[Block]) -> list[Told]:
-        """The piece of each block; a piece of its own where the host's pages have none."""
+    def placed(self, blocks: Sequence[Block]) -> list[tuple[int | None, tuple[str, ...], int, int]]:
+        """(number of the host's piece, key, start, end): the page's pieces; None where the host has no such piece there."""
         shape = shaped(blocks, self.pieces, self.depth)
         signature = tuple(k for k, *_ in shape)
         if signature not in self.known:
             if len(self.known) > 1000:
                 self.known.clear()
             pairs = aligned([p.key for p in self.pieces], signature)
-            self.known[signature] = [self.pieces[i] if i is not None else None for i, j in pairs if j is not None]
+            self.known[signature] = [i for i, j in pairs if j is not None]
+        return [(i, *part) for i, part in zip(self.known[signature], shape, strict=True)]
+
+    def matched(self, blocks: Sequence[Block]) -> list[Told]:
+        """The piece of each block; a piece of its own where the host's pages have none."""
         out = []
-        for piece, (key, start, end) in zip(self.known[signature], shape, strict=True):
-            if piece is None:
+        for i, key, start, end in self.placed(blocks):
+            if i is not None:
+                piece = self.pieces[i]
+            else:
                 own = Piece(key)
                 own.add(0, blocks[start:end])
                 piece = own.told()
@@ -599,7 +638,7 @@ def article_text(page: str | None, wrapper: Wrapper | None) -> str:
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, blocks) of each page, and (task, host, expression) of each task and host, in one pass.
 
-    Rows of the second kind have an expression. Copies of a page count once in a sketch.
+    Rows of the second kind have an expression.
     """
     id_type = pages.schema["page_id"].dataType.simpleString()
     block = "struct<path: string, value: string, aside: boolean, article: boolean>"
@@ -623,7 +662,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
         task, kind = TaskContext.get().partitionId(), None
 
         def flushed() -> pa.RecordBatch:
-            out = batch_of(pa.nulls(len(held), kind), pa.nulls(len(held), pa.string()), list(held), [[]] * len(held), [e.stored() for e in held.values()], task)
+            out = batch_of(pa.nulls(len(held), kind), pa.nulls(len(held), pa.string()), list(held), [[]] * len(held), [e.stored(sample=False) for e in held.values()], task)
             held.clear()
             return out
 
@@ -644,29 +683,94 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "host", "html").mapInArrow(parse, schema)
 
 
-def merged_wrappers(parts: DataFrame, tasks: int) -> DataFrame:
-    """(host, expression): the wrappers of all hosts, the expressions of all tasks being merged in rounds of a few at a time."""
+def merged_expressions(parts: DataFrame, tasks: int) -> DataFrame:
+    """(host, expression): the expressions of all hosts, those of all tasks being merged in rounds of a few at a time."""
 
-    def merge(last: bool) -> Callable[[pa.Table], pa.Table]:
-        def merged(table: pa.Table) -> pa.Table:
-            rows = sorted(zip(table.column("task").to_pylist(), table.column("expression").to_pylist(), strict=True))
-            whole = Expression.of(rows[0][1])
-            for _, stored in rows[1:]:
-                whole.merge(Expression.of(stored))
-            stored = whole.wrapper() if last else whole.stored()
-            return pa.table({"task": pa.array([rows[0][0] // FAN_IN], pa.int32()), "host": table.column("host")[:1], "expression": [stored]})
-
-        return merged
+    def merged(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("task").to_pylist(), table.column("expression").to_pylist(), strict=True))
+        whole = Expression.of(rows[0][1])
+        for _, stored in rows[1:]:
+            whole.merge(Expression.of(stored))
+        return pa.table({"task": pa.array([rows[0][0] // FAN_IN], pa.int32()), "host": table.column("host")[:1], "expression": [whole.stored(sample=False)]})
 
     last = False
     while not last:
         tasks = -(-tasks // FAN_IN)
         last = tasks <= 1
         grouped = parts.groupBy("host", F.expr(f"task div {FAN_IN}").alias("merged_task"))
-        parts = grouped.applyInArrow(merge(last), "task int, host string, expression string")
+        parts = grouped.applyInArrow(merged, "task int, host string, expression string")
     return parts.select("host", "expression")
 
 
+def _blocks_of(batch: pa.RecordBatch) -> Iterator[list[Block]]:
+    """The blocks of each row."""
+    lists = batch.column("blocks")
+    flat = lists.flatten()
+    blocks = list(map(Block, *(flat.field(n).to_pylist() for n in Block._fields)))
+    bounds = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist() if len(lists) else [0]
+    return (blocks[start:end] for start, end in zip(bounds, bounds[1:], strict=False))
+
+
+def _kept(known: dict[str, Wrapper], stored: str | None, make: Callable[[str], str] = str) -> Wrapper | None:
+    if stored is not None and stored not in known:
+        if len(known) > 1000:
+            known.clear()
+        known[stored] = Wrapper(make(stored))
+    return known.get(stored)
+
+
+def counted_pieces(told: DataFrame) -> DataFrame:
+    """(host, counted): for the pieces of each host how their texts repeat over all its distinct pages.
+
+    ``told`` has the blocks of every page with its host's expression. A page gives one row of hashes, of equal pages one stays,
+    and the rest is sums over hosts, pieces and texts: no task sees a host. At least half of the pages can only
+    share the commonest last text, or the two commonest if these are equally common.
+    """
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Wrapper] = {}
+        for batch in batches:
+            pages, pieces = [], []
+            for blocks, stored in zip(_blocks_of(batch), batch.column("expression").to_pylist(), strict=True):
+                wrapper = _kept(known, stored, lambda e: Expression.of(e).wrapper({}))
+                pages.append(page_hash(blocks))
+                pieces.append([(i, *piece_hashes(blocks[start:end])) for i, _, start, end in wrapper.placed(blocks) if i is not None])
+            listed = pa.array([[dict(zip(("piece", "value", "tail"), p, strict=True)) for p in own] for own in pieces], kind)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(pages, pa.int64()), listed], names=["host", "page", "pieces"])
+
+    kind = pa.list_(pa.struct([("piece", pa.int32()), ("value", pa.int64()), ("tail", pa.int64())]))
+    rows = told.where(F.size("blocks") > 0).select("host", "blocks", "expression")
+    once = rows.mapInArrow(matched, "host string, page long, pieces array<struct<piece: int, value: long, tail: long>>").dropDuplicates(["host", "page"])
+    texts = once.select("host", F.explode("pieces").alias("p")).select(
+        "host", "p.piece", F.explode(F.array(F.struct(F.lit(False).alias("last"), F.col("p.value").alias("text")), F.struct(F.lit(True).alias("last"), F.col("p.tail").alias("text")))).alias("t")
+    )
+    per = texts.groupBy("host", "piece", "t.last", "t.text").agg(F.count(F.lit(1)).alias("pages"))
+    sizes = per.groupBy("host", "piece", "last", "pages").agg(F.count(F.lit(1)).alias("texts"), F.min("text").alias("low"), F.max("text").alias("high"))
+    pieces = sizes.groupBy("host", "piece").agg(
+        F.collect_list(F.when(~F.col("last"), F.struct("pages", "texts"))).alias("sizes"),
+        F.max(F.when(F.col("last"), F.struct("pages", "low", "high"))).alias("tail"),
+    )
+    return pieces.groupBy("host").agg(F.collect_list(F.struct("piece", "sizes", "tail")).alias("counted"))
+
+
+def wrappers_of(expressions: DataFrame, counted: DataFrame) -> DataFrame:
+    """(host, expression): the wrappers of all hosts, from their expressions and the counts of all their pages."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for stored, pieces in zip(batch.column("expression").to_pylist(), batch.column("counted").to_pylist(), strict=True):
+                told = {}
+                for p in pieces or []:
+                    tail = p["tail"]
+                    sizes = sorted((s["pages"], s["texts"]) for s in p["sizes"])
+                    told[p["piece"]] = Counted(sizes, [(tail["pages"], t) for t in {tail["low"], tail["high"]}])
+                out.append(Expression.of(stored).wrapper(told))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.string())], names=["host", "expression"])
+
+    return expressions.join(counted, "host", "left").mapInArrow(made, "host string, expression string")
+
+
 def extract_articles(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row, from whole pages.
 
@@ -679,28 +783,20 @@ def extract_articles(df: DataFrame, id_col: str = "page_id", url_col: str = "url
     pages = pages.withColumn("host", host)
     stored = written(parsed_pages(pages), "html_blocks")
     parts = stored.where("expression is not null").select("task", "host", "expression")
-    wrappers = written(merged_wrappers(parts, pages.rdd.getNumPartitions()), "html_wrappers")
+    # a small stored table is broadcast by the planner, a large one is joined by a shuffle
+    told = stored.where("expression is null").select("page_id", "url", "host", "blocks")
+    expressions = written(merged_expressions(parts, pages.rdd.getNumPartitions()), "html_expressions")
+    wrappers = written(wrappers_of(expressions, counted_pieces(told.join(expressions, "host"))), "html_wrappers")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Wrapper] = {}
         for batch in batches:
-            texts = []
-            lists = batch.column("blocks")
-            flat = lists.flatten()
-            blocks = list(map(Block, *(flat.field(n).to_pylist() for n in Block._fields)))
-            bounds = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist() if len(lists) else [0]
-            for start, end, wrapper in zip(bounds, bounds[1:], batch.column("expression").to_pylist(), strict=False):
-                if wrapper is not None and wrapper not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[wrapper] = Wrapper(wrapper)
-                texts.append(article_of(blocks[start:end], known.get(wrapper)))
+            wrappers = (_kept(known, stored) for stored in batch.column("expression").to_pylist())
+            texts = [article_of(blocks, wrapper) for blocks, wrapper in zip(_blocks_of(batch), wrappers, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    # a small stored table is broadcast by the planner, a large one is joined by a shuffle
-    told = stored.where("expression is null").select("page_id", "url", "host", "blocks").join(wrappers, "host", "left")
-    return told.select("page_id", "url", "blocks", "expression").mapInArrow(extracted, schema)
+    return told.join(wrappers, "host", "left").select("page_id", "url", "blocks", "expression").mapInArrow(extracted, schema)
