@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rates
-from tidemark.operators.ordered import Running, framed, running
+from tidemark.operators.ordered import Running, covered, framed, numbered_stretches, running
 
 OPPONENT_INPUTS = ("points", "fgm", "fga", "fg3m", "fta", "ftm", "oreb", "dreb", "tov")
 
@@ -147,23 +147,16 @@ def zscore_impute(df: DataFrame, group: str, measure: str) -> DataFrame:
     )
 
 
-def stint_intervals(df: DataFrame, game: str, member: str, start: str, stop: str) -> DataFrame:
+def stint_intervals(df: DataFrame, game: str, member: str, start: str, stop: str, tasks: int | None = None) -> DataFrame:
     """Stretches of a game with an unchanged set of members, as sorted id arrays.
 
     Every change point gets its number within the game, so a presence becomes a range of numbers and is
     expanded to rows of the stretches it covers. A game's change points, and a stretch's
-    members, are bounded by their meaning.
+    members, are bounded by their meaning. ``tasks`` is the number of parts that the games are dealt to.
     """
-    present = df.where(F.col(start) < F.col(stop)).select(game, member, start, stop)
-    ends = present.withColumn("_point", F.explode(F.array(start, stop)))
-    numbered = ends.withColumn("_no", F.dense_rank().over(Window.partitionBy(game).orderBy("_point")))
-    spans = numbered.groupBy(game, member, start, stop).agg(F.min("_no").alias("_from"), F.max("_no").alias("_to"))
-    inside = spans.select(game, F.explode(F.sequence("_from", F.col("_to") - 1)).alias("stint_no"), F.col(member).alias("_member"))
-    lineups = inside.groupBy(game, "stint_no").agg(F.array_sort(F.collect_set("_member")).alias("lineup"))
-    points = numbered.groupBy(game, F.col("_no").alias("stint_no")).agg(F.first("_point").alias("stint_start"))
-    closed = framed(points, [game], [F.col("stint_no")], lambda w: [F.lead("stint_start").over(w).alias("stint_end")])
-    found = closed.join(lineups.withColumnsRenamed({game: "_game", "stint_no": "_no"}), F.col(game).eqNullSafe(F.col("_game")) & (F.col("stint_no") == F.col("_no")))
-    return found.where(F.size("lineup") > 0).select(game, "stint_no", "stint_start", "stint_end", "lineup")
+    there = covered(df.where(F.col(start) < F.col(stop)), game, [F.col(member).alias("_member")], start, stop, tasks)
+    found = numbered_stretches(there, {"lineup": F.array_sort(F.collect_set("_member"))}).where(F.size("lineup") > 0)
+    return found.select(F.col("_game").alias(game), "stint_no", "stint_start", "stint_end", "lineup")
 
 
 # A stretch no longer decides the game from these margins on, by period,

@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import dealt
+
 # Periods that make an entity established, and periods shown in the reports.
 THRESHOLD = 4
 REPORT_PERIODS = 20
@@ -53,12 +55,12 @@ def established_in(df: DataFrame, entity: str, period: str, threshold: int = THR
     return done.where(F.col("_nth") == threshold).select(entity, F.col(period).alias("established_by"))
 
 
-def _numbered_spells(df: DataFrame, entity: str, group: str, period: str) -> DataFrame:
+def _numbered_spells(df: DataFrame, entity: str, group: str, period: str, tasks: int | None) -> DataFrame:
     """The distinct (entity, group, period) rows with ``_nth``, the period's number among the entity's.
 
     All that follows groups by the entity, so the rows are shuffled for it only once more.
     """
-    spells = df.where(F.col(period).isNotNull()).select(entity, group, period).distinct()
+    spells = dealt(df.where(F.col(period).isNotNull()).select(entity, group, period).distinct(), entity, tasks)
     return spells.withColumn("_nth", F.dense_rank().over(Window.partitionBy(entity).orderBy(period)))
 
 
@@ -73,13 +75,13 @@ def _attributed(numbered: DataFrame, entity: str, group: str, period: str, thres
     return best.where(F.col("established_by").isNotNull()).select(entity, "_best.*", "established_by")
 
 
-def attribute_cohort(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD) -> DataFrame:
+def attribute_cohort(df: DataFrame, entity: str, group: str, period: str, threshold: int = THRESHOLD, tasks: int | None = None) -> DataFrame:
     """The group each established entity spent most of its first ``threshold`` periods with.
 
     Ties go to the group joined earlier, then to the lower group id; no group is a group too. Rows without a
-    period do not count.
+    period do not count. ``tasks`` is the number of parts that the entities are dealt to.
     """
-    return _attributed(_numbered_spells(df, entity, group, period), entity, group, period, threshold)
+    return _attributed(_numbered_spells(df, entity, group, period, tasks), entity, group, period, threshold)
 
 
 class Cohorts(NamedTuple):
@@ -118,11 +120,15 @@ def cohort_counts(
     label: str,
     threshold: int = THRESHOLD,
     last_n: int = REPORT_PERIODS,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Established active entities per period and attributed group, under the group's latest label."""
+    """Established active entities per period and attributed group, under the group's latest label.
+
+    ``tasks`` is the number of parts that the entities are dealt to.
+    """
     labels = latest_label(df, group, label, period, tie=entity)
     latest = df.select(period).distinct().orderBy(F.col(period).desc()).limit(last_n)
-    numbered = _numbered_spells(df, entity, group, period)
+    numbered = _numbered_spells(df, entity, group, period, tasks)
     since = numbered.where(F.col("_nth") >= threshold).select(entity, period).distinct()
     owner = _attributed(numbered, entity, group, period, threshold).select(entity, group)
     counts = since.join(owner, entity).groupBy(group, period)

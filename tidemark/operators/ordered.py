@@ -80,6 +80,36 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns:
     return df.select("*", *columns(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def dealt(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
+    """The rows dealt by the key to so many tasks; as the session deals them if no number is given.
+
+    For steps that make several rows of one: tasks by the bytes of their input would get too many.
+    """
+    return df if tasks is None else df.repartition(tasks, key)
+
+
+def covered(df: DataFrame, game: str, columns: Sequence[Column], start: str, stop: str, tasks: int | None = None) -> DataFrame:
+    """(_game, columns, stint_no, stint_start): the stretches that each row covers, from its start to its stop.
+
+    The distinct starts and stops of a game are numbered. A row is expanded to the numbers from its start's to its stop's;
+    at the last, where the row has ended, its columns are NULL. Every number's time is known from the rows that
+    start or stop there, NULL in the others. All steps keep the games where they are: they are shuffled once.
+    """
+    rows = df.select(F.col(game).alias("_game"), F.struct(*columns).alias("_row"), F.col(start).alias("_from"), F.col(stop).alias("_to"))
+    ends = dealt(rows, "_game", tasks).withColumn("_point", F.explode(F.array("_from", "_to")))
+    numbered = framed(ends, ["_game"], [F.col("_point")], lambda w: [F.dense_rank().over(w).alias("_no")])
+    spans = numbered.groupBy("_game", "_row", "_from", "_to").agg(F.min("_no").alias("_first"), F.max("_no").alias("_last"))
+    there = spans.select("*", F.explode(F.sequence("_first", "_last")).alias("stint_no"))
+    time = F.when(F.col("stint_no") == F.col("_first"), F.col("_from")).when(F.col("stint_no") == F.col("_last"), F.col("_to"))
+    return there.select("_game", F.when(F.col("stint_no") < F.col("_last"), F.col("_row")).alias("_row"), "stint_no", time.alias("stint_start")).select("_game", "_row.*", "stint_no", "stint_start")
+
+
+def numbered_stretches(there: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """(_game, stint_no, stint_start, measures, stint_end): the stretches of ``covered`` rows, the last of a game without an end."""
+    found = there.groupBy("_game", "stint_no").agg(F.max("stint_start").alias("stint_start"), *[c.alias(n) for n, c in measures.items()])
+    return framed(found, ["_game"], [F.col("stint_no")], lambda w: [F.lead("stint_start").over(w).alias("stint_end")])
+
+
 def quantile_cell(df: DataFrame, value: Column, cells: int, coarse: int = 16) -> DataFrame:
     """Append ``_cell``: the number of the value's interval between approximate quantiles of all values, from 0; null values are in 0.
 

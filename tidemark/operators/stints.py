@@ -12,53 +12,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rates
-from tidemark.operators.ordered import framed, same_keys
+from tidemark.operators.ordered import covered, dealt, framed, numbered_stretches, same_keys
 from tidemark.operators.quality import reconcile
 
 SIDES = ("home", "away")
 
 
-def two_sided_stints(df: DataFrame, game: str, is_home: str, member: str, start: str, stop: str) -> DataFrame:
+def two_sided_stints(df: DataFrame, game: str, is_home: str, member: str, start: str, stop: str, tasks: int | None = None) -> DataFrame:
     """(game, stint_no, stint_start, stint_end, home_lineup, away_lineup): stretches in which neither side changes.
 
     Every time at which anybody of either side comes or goes is a change point, and each stretch between two
     of them a stint, with the sorted ids of both sides; a side can be empty. Presences without a beginning, an
-    end after it or a side do not count.
+    end after it or a side do not count. ``tasks`` is the number of parts that the games are dealt to.
     """
     present = df.where((F.col(start) < F.col(stop)) & F.col(is_home).isNotNull())
-    present = present.select(F.col(game).alias("_game"), F.col(is_home).alias("_home"), F.col(member).alias("_member"), F.col(start).alias("_from"), F.col(stop).alias("_to"))
-    ends = present.withColumn("_point", F.explode(F.array("_from", "_to")))
-    numbered = ends.withColumn("_no", F.dense_rank().over(Window.partitionBy("_game").orderBy("_point")))
-    spans = numbered.groupBy("_game", "_home", "_member", "_from", "_to").agg(F.min("_no").alias("_first"), F.max("_no").alias("_last"))
-    inside = spans.select("_game", "_home", "_member", F.explode(F.sequence("_first", F.col("_last") - 1)).alias("_no"))
-    lineups = inside.groupBy("_game", "_no").agg(
-        *[F.array_sort(F.collect_set(F.when(F.col("_home") == (s == "home"), F.col("_member")))).alias(f"{s}_lineup") for s in SIDES]
-    )
-    points = numbered.groupBy("_game", "_no").agg(F.first("_point").alias("stint_start"))
-    closed = framed(points, ["_game"], [F.col("_no")], lambda w: [F.lead("stint_start").over(w).alias("stint_end")]).where("stint_end is not null")
-    there = lineups.withColumnsRenamed({"_game": "_g", "_no": "_n"})
-    joined = closed.join(there, same_keys(closed, there, [("_game", "_g"), ("_no", "_n")]), "left")
-    nobody = F.array().cast(lineups.schema["home_lineup"].dataType)
-    return joined.select(
-        F.col("_game").alias(game),
-        F.col("_no").alias("stint_no"),
-        "stint_start",
-        "stint_end",
-        *[F.coalesce(f"{s}_lineup", nobody).alias(f"{s}_lineup") for s in SIDES],
-    )
-
-
-def events_in_stints(events: DataFrame, stints: DataFrame, game: str, at: str) -> DataFrame:
+    there = covered(present, game, [F.col(is_home).alias("_home"), F.col(member).alias("_member")], start, stop, tasks)
+    lineups = {f"{s}_lineup": F.array_sort(F.collect_set(F.when(F.col("_home") == (s == "home"), F.col("_member")))) for s in SIDES}
+    return numbered_stretches(there, lineups).where("stint_end is not null").select(F.col("_game").alias(game), "stint_no", "stint_start", "stint_end", *lineups)
+
+
+def events_in_stints(events: DataFrame, stints: DataFrame, game: str, at: str, tasks: int | None = None) -> DataFrame:
     """Append the number of the stint that each event falls into: from its start up to, not including, its end.
 
     Stints and events of a game are merged in time order, and each event takes the last stint begun before it.
-    Nothing is joined by ranges. Events outside all stints, and without a time, get NULL.
+    Nothing is joined by ranges. Events outside all stints, and without a time, get NULL. ``tasks`` is the number of
+    parts that the games are dealt to.
     """
     names = events.columns
     begun = F.struct(F.col("stint_no").alias("no"), F.col("stint_end").alias("until"))
     starts = stints.select(F.col(game).alias("_game"), F.col("stint_start").alias("_at"), F.lit(0).alias("_kind"), begun.alias("_stint"))
     rows = events.select(F.col(game).alias("_game"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*names).alias("_event"))
-    merged = starts.unionByName(rows, allowMissingColumns=True)
+    merged = dealt(starts.unionByName(rows, allowMissingColumns=True), "_game", tasks)
     order = [F.col("_at").asc_nulls_last(), F.col("_kind")]
     last = framed(merged, ["_game"], order, lambda w: [F.last("_stint", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_last")])
     number = F.when(F.col("_at") < F.col("_last.until"), F.col("_last.no"))

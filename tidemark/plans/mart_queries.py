@@ -13,6 +13,7 @@ from tidemark.plans.inputs import (
     FORECASTS_SQL,
     SIDES_SQL,
     careers,
+    finely,
     forecasts,
     rounded,
     sides,
@@ -92,12 +93,12 @@ def _spells(spark, sf_dir):
     return written(careers(spark, sf_dir).select("player_id", "team_id", "season", "label"), "careers")
 
 
-def _counts(spells):
-    return marts.cohort_counts(spells, "player_id", "team_id", "season", "label")
+def _counts(spells, tasks):
+    return marts.cohort_counts(spells, "player_id", "team_id", "season", "label", tasks=tasks)
 
 
 def cohort_attribution(spark, sf_dir):
-    return marts.attribute_cohort(careers(spark, sf_dir), "player_id", "team_id", "season")
+    return marts.attribute_cohort(careers(spark, sf_dir), "player_id", "team_id", "season", tasks=finely(table(spark, sf_dir, "lineitem")))
 
 
 def cohort_summary(spark, sf_dir):
@@ -106,7 +107,7 @@ def cohort_summary(spark, sf_dir):
 
 def cohort_pivot(spark, sf_dir):
     spells = _spells(spark, sf_dir)
-    return marts.cohort_matrix(_counts(spells), "label", "season", marts.latest_values(spells, "season"))
+    return marts.cohort_matrix(_counts(spells, finely(table(spark, sf_dir, "lineitem"))), "label", "season", marts.latest_values(spells, "season"))
 
 
 # the reports' columns are the years of the orders
@@ -119,7 +120,7 @@ select label, {cols} from counts group by label""".format(
 def cohort_share(spark, sf_dir):
     spells = _spells(spark, sf_dir)
     summary = marts.cohort_summary(spells, "player_id", "season")
-    return marts.cohort_share(_counts(spells), summary, "label", "season")
+    return marts.cohort_share(_counts(spells, finely(table(spark, sf_dir, "lineitem"))), summary, "label", "season")
 
 
 def running_distinct(spark, sf_dir):
@@ -388,13 +389,14 @@ select game_id, team_id, unnest(['points', 'fgm', 'oreb', 'dreb', 'tov']) as mea
 
 
 def stint_intervals(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
+    raw = table(spark, sf_dir, "lineitem")
+    lines = raw.select(
         "l_orderkey",
         "l_suppkey",
         F.col("l_shipdate").cast("date").alias("enters"),
         F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_quantity") * 20).cast("int")).alias("leaves"),
     )
-    return efficiency.stint_intervals(lines, "l_orderkey", "l_suppkey", "enters", "leaves")
+    return efficiency.stint_intervals(lines, "l_orderkey", "l_suppkey", "enters", "leaves", finely(raw))
 
 
 STINT_SQL = """
@@ -430,14 +432,14 @@ def _presences(spark, sf_dir):
         flag((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")).alias("oreb"),
         flag(F.col("l_discount") > 0.05).alias("tov"),
     )
-    return present, happened
+    return present, happened, finely(lines)
 
 
 def stint_events(spark, sf_dir):
     """Both lineups of every stint, with the points and possessions of the events in it."""
-    present, happened = _presences(spark, sf_dir)
-    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves")
-    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day")
+    present, happened, tasks = _presences(spark, sf_dir)
+    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves", tasks)
+    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day", tasks)
     return rounded(stints.stint_totals(assigned, found, "l_orderkey", "is_home", ["points", "fga", "fta", "oreb", "tov"]), 6, "home_poss", "away_poss")
 
 
@@ -471,9 +473,9 @@ from stints s left join totals t using (l_orderkey, stint_no)"""
 
 def stint_reconcile(spark, sf_dir):
     """Events that fall into no stint, and games whose points do not add up, of which there must be none."""
-    present, happened = _presences(spark, sf_dir)
-    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves")
-    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day")
+    present, happened, tasks = _presences(spark, sf_dir)
+    found = stints.two_sided_stints(present, "l_orderkey", "is_home", "l_suppkey", "enters", "leaves", tasks)
+    assigned = stints.events_in_stints(happened, found, "l_orderkey", "day", tasks)
     totals = stints.stint_totals(assigned, found, "l_orderkey", "is_home", ["points", "fga", "fta", "oreb", "tov"])
     wrong = stints.unreconciled_games(totals, happened, assigned, "l_orderkey", "points")
     outside = assigned.where("stint_no is null").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("events"), F.sum("points").alias("points"))
