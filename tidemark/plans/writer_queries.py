@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import calibration, quality
-from tidemark.plans.inputs import FORECASTS_SQL, INGESTED_AT, forecasts, rounded, table
+from tidemark.plans.inputs import FORECASTS_SQL, INGESTED_AT, finely, forecasts, rounded, table
 from tidemark.plans.loading_queries import CHECKPOINT_SQL
 from tidemark.session import new_path
 from tidemark.operators.incremental import merge_parts
@@ -156,8 +156,9 @@ def bucketed_join(spark, sf_dir):
     """Facts stored in buckets of their game, joined and summed by game without a shuffle."""
     name = f"b{uuid.uuid4().hex}"
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    facts = bronze.write_bucketed(lines.withColumnRenamed("l_orderkey", "game_id"), f"{name}_lines", new_path(spark, "bucketed"), "game_id", buckets=8)
-    games = bronze.write_bucketed(orders.withColumnRenamed("o_orderkey", "game_id"), f"{name}_orders", new_path(spark, "bucketed"), "game_id", buckets=8)
+    buckets = max(8, finely(lines) // 4)  # a task has one bucket of each table
+    facts = bronze.write_bucketed(lines.withColumnRenamed("l_orderkey", "game_id"), f"{name}_lines", new_path(spark, "bucketed"), "game_id", buckets=buckets)
+    games = bronze.write_bucketed(orders.withColumnRenamed("o_orderkey", "game_id"), f"{name}_orders", new_path(spark, "bucketed"), "game_id", buckets=buckets)
     joined = facts.join(games, "game_id").groupBy("game_id", "o_orderstatus")
     return joined.agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
 
