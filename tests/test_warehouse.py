@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import staging
 from tidemark.operators.quality import SuiteFailed
 from tidemark.plans import warehouse as wh
 from tidemark.session import new_path
@@ -129,6 +130,25 @@ def test_players_of_a_game(first_run):
     assert (rows[13].did_play, rows[13].points, rows[13].player_sk) == (False, None, None)
 
 
+def test_box_scores_are_dealt_once_by_game(spark, bronze):
+    w = wh.Warehouse(spark, bronze, F.lit(RUN1).cast("timestamp"))
+    plan = w.fact_player_game._jdf.queryExecution().executedPlan().toString()
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # both box scores and both sides of the games by game; nothing by game and player, nor games by their season
+    assert sum(d.startswith("game_id#") for d in dealt) == 4
+    assert not any(d.count("#") > 1 and d.startswith("game_id#") for d in dealt)
+    assert sum(d.startswith("season_id#") for d in dealt) == 1  # the distinct seasons
+
+
+def test_variants_within_a_group_equal_their_join(spark):
+    base = spark.createDataFrame([("g", 1, 10), ("g", 2, 20), ("g", 2, 21), ("h", 1, 30), (None, 1, 40), ("g", None, 50), ("i", 7, 60)], "game string, player int, v int")
+    extra = spark.createDataFrame([("g", 1, 0.1), ("g", 2, 0.2), ("g", 2, None), (None, 1, 0.4), ("g", None, 0.5), ("h", 2, 0.6)], "game string, player int, pie double")
+    joined = staging.unify_variants(base, extra, ["game", "player"], ["pie"])
+    within = staging.unify_variants(base, extra, ["game", "player"], ["pie"], within="game")
+    assert within.columns == joined.columns and within.count() == 9
+    assert sorted(map(str, within.collect())) == sorted(map(str, joined.collect()))
+
+
 def test_events_and_shots(first_run):
     events = first_run.fact_play_by_play.collect()
     # the repeated row is gone, the reused number is sequenced, the unknown game's event has no game

@@ -88,6 +88,14 @@ def dealt(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
     return df if tasks is None else df.repartition(tasks, key)
 
 
+def dealt_once(df: DataFrame, key: str | Column) -> DataFrame:
+    """The rows dealt by the key to as many tasks as the session names, for several steps by that key in one place.
+
+    AQE would merge tasks by the bytes of their input, which say too little of the memory such steps take together.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def covered(df: DataFrame, game: str, columns: Sequence[Column], start: str, stop: str, tasks: int | None = None) -> DataFrame:
     """(_game, columns, stint_no, stint_start): the stretches that each row covers, from its start to its stop.
 

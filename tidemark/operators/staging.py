@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -105,6 +107,23 @@ def variant_fallback(primary: DataFrame, fallback: DataFrame, keys: Sequence[str
     )
 
 
-def unify_variants(base: DataFrame, extra: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """All rows of the base with the other variant's columns where it has the key."""
-    return base.join(extra.select(*keys, *columns), list(keys), "left")
+def unify_variants(
+    base: DataFrame, extra: DataFrame, keys: Sequence[str], columns: Sequence[str], *, within: str | None = None
+) -> DataFrame:
+    """All rows of the base with the other variant's columns where it has the key.
+
+    ``within`` names one of several keys, by which both are dealt already and whose groups are bounded by their meaning:
+    a group's rows of the other variant become a list in which the base's rows find theirs, so nothing is dealt by all keys.
+    """
+    if within is None:
+        return base.join(extra.select(*keys, *columns), list(keys), "left")
+    rest = [k for k in keys if k != within]
+    lists = extra.dropna(subset=list(keys)).groupBy(within).agg(F.collect_list(F.struct(*rest, *columns)).alias("_all"))
+
+    def matches(row: Column) -> Column:
+        return reduce(and_, [row[k] == F.col(k) for k in rest])
+
+    rows = base.join(lists, within, "left").withColumn("_found", F.filter("_all", matches)).drop("_all")
+    return rows.select(*base.columns, F.explode_outer("_found").alias("_found")).select(
+        *keys, *[c for c in base.columns if c not in keys], *[F.col(f"_found.{c}").alias(c) for c in columns]
+    )

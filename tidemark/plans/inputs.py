@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import NULL_KEY
-from tidemark.operators.ordered import dealt
+from tidemark.operators.ordered import dealt, dealt_once
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -54,8 +54,8 @@ def sides_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
     The lines of an order's smallest supplier are the home side, those of its other
     suppliers the away side, named by the largest of them. Orders of one supplier give a
-    single side without an opponent. Lines collapse per (order, supplier) first; both sides
-    then meet in one aggregate per order, so no table is joined to itself.
+    single side without an opponent. Lines are dealt by order once; there they collapse per (order, supplier), and both
+    sides meet in one aggregate per order, so no table is joined to itself.
     """
 
     def amount(test: Column) -> Column:
@@ -70,7 +70,7 @@ def sides_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
         "f_lines": F.count_if(F.col("l_linestatus") == "F"),
         "d_lines": F.count_if(F.col("l_discount") > 0.05),
     }
-    totals = lines.groupBy("l_orderkey", "l_suppkey").agg(*[m.alias(k) for k, m in measures.items()])
+    totals = dealt_once(lines, "l_orderkey").groupBy("l_orderkey", "l_suppkey").agg(*[m.alias(k) for k, m in measures.items()])
     both = totals.groupBy("l_orderkey").agg(
         F.min_by(F.struct("l_suppkey", *measures), "l_suppkey").alias("h"),
         F.max("l_suppkey").alias("last"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text
 from tidemark.functions.keys import date_key, surrogate_key
 from tidemark.operators import efficiency, history, marts, quality, staging, star
+from tidemark.operators.ordered import dealt_once
 from tidemark.operators.staging import Field, typed_select
 from tidemark.sources import bronze as raw
 from tidemark.sources import generated
@@ -253,13 +254,14 @@ def stg_team_game(rows: DataFrame) -> DataFrame:
 
 
 def stg_boxscore_player_traditional(rows: DataFrame) -> DataFrame:
+    """One row per game and player, dealt by game: the variants and the game then meet where the rows are."""
     typed = typed_select(rows, [*BOX_KEYS, text.duration_seconds("minutes").alias("seconds_played"), *BOX_COUNTS])
-    return staging.dedupe_latest(typed, ["game_id", "player_id"], [F.col("points").desc_nulls_last()])
+    return staging.dedupe_latest(dealt_once(typed, "game_id"), ["game_id", "player_id"], [F.col("points").desc_nulls_last()])
 
 
 def stg_boxscore_player_advanced(rows: DataFrame) -> DataFrame:
     typed = typed_select(rows, ADVANCED_FIELDS)
-    return staging.dedupe_latest(typed, ["game_id", "player_id"], [F.col("pie").desc_nulls_last()])
+    return staging.dedupe_latest(dealt_once(typed, "game_id"), ["game_id", "player_id"], [F.col("pie").desc_nulls_last()])
 
 
 def stg_play_by_play(rows: DataFrame) -> DataFrame:
@@ -331,6 +333,11 @@ def int_games_deduped(team_games: DataFrame, *, unique_sides: bool = False) -> D
     return games.withColumnRenamed("home_win_flag", "home_win").drop("away_win_flag")
 
 
+def _season(rows: DataFrame, seasons: DataFrame) -> DataFrame:
+    """The season's key. The planner cannot see that there are few season ids, and would deal the rows by them."""
+    return star.lookup(rows, F.broadcast(seasons), [("season_id", "season_id")], [("season_key", "season_key")])
+
+
 def dim_game(games: DataFrame, teams: DataFrame, seasons: DataFrame) -> DataFrame:
     keyed = games.withColumns(
         {
@@ -341,7 +348,7 @@ def dim_game(games: DataFrame, teams: DataFrame, seasons: DataFrame) -> DataFram
     )
     home = star.current_lookup(keyed, teams, "home_team_id", "team_sk", dim_key="team_id", out="home_team_sk")
     both = star.current_lookup(home, teams, "away_team_id", "team_sk", dim_key="team_id", out="away_team_sk")
-    return star.lookup(both, seasons, [("season_id", "season_id")], [("season_key", "season_key")]).select(
+    return _season(both, seasons).select(
         "game_sk", "game_id", "game_date", "date_key", "season_key", "home_team_id", "away_team_id", "home_team_sk",
         "away_team_sk", "home_abbreviation", "away_abbreviation", "home_points", "away_points", "home_win", "total_points",
     )
@@ -367,28 +374,33 @@ def fact_team_game(team_games: DataFrame, games: DataFrame, teams: DataFrame, se
     )
     rows = star.current_lookup(rows, teams, "team_id", "team_sk")
     rows = star.current_lookup(rows, teams, "opponent_team_id", "team_sk", dim_key="team_id", out="opponent_team_sk")
-    rows = star.lookup(rows, seasons, [("season_id", "season_id")], [("season_key", "season_key")])
+    rows = _season(rows, seasons)
     return rows.select(*EFFICIENCY_KEYS[:-1], "win_loss", "win_flag", *_names(TEAM_GAME_COUNTS))
 
 
 def int_player_game_unified(traditional: DataFrame, advanced: DataFrame) -> DataFrame:
-    return staging.unify_variants(traditional, advanced, ["game_id", "player_id"], UNIFIED_ADVANCED)
+    return staging.unify_variants(traditional, advanced, ["game_id", "player_id"], UNIFIED_ADVANCED, within="game_id")
+
 
+def _members(rows: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
+    """The keys of a row's player and team, and those of its game, which are made last so that no shuffle carries them.
 
-def _game_and_members(rows: DataFrame, games: DataFrame, teams: DataFrame, players: DataFrame, take: list[str]) -> DataFrame:
-    rows = star.lookup(rows, games, [("game_id", "game_id")], [(c, c) for c in take], how="inner")
+    Players first: they are too many to broadcast, while teams mostly are not, and then need no shuffle.
+    """
+    rows = star.current_lookup(rows, players, "player_id", "player_sk")
     rows = star.current_lookup(rows, teams, "team_id", "team_sk")
-    return star.current_lookup(rows, players, "player_id", "player_sk")
+    return rows.withColumns({"game_sk": surrogate_key("game_id"), "date_key": date_key("game_date")})
+
+
+def _in_game(rows: DataFrame, games: DataFrame, take: list[str]) -> DataFrame:
+    return star.lookup(rows, games, [("game_id", "game_id")], [(c, c) for c in take], how="inner")
 
 
 def fact_player_game(box: DataFrame, games: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
-    take = ["game_sk", "game_date", "date_key", "season_key", "home_team_id", "away_team_id"]
-    rows = _game_and_members(box, games, teams, players, take).withColumns(
-        {
-            "player_game_sk": surrogate_key("game_id", "player_id"),
-            "opponent_team_id": _opponent(),
-            "did_play": text.null_or_empty("comment"),
-        }
+    rows = _in_game(box, games, ["game_date", "season_key", "home_team_id", "away_team_id"])
+    rows = rows.withColumn("opponent_team_id", _opponent()).drop("home_team_id", "away_team_id")
+    rows = _members(rows, teams, players).withColumns(
+        {"player_game_sk": surrogate_key("game_id", "player_id"), "did_play": text.null_or_empty("comment")}
     )
     return rows.select(
         "player_game_sk", "game_sk", "game_id", "player_id", "team_id", "opponent_team_id", "player_sk", "team_sk",
@@ -398,7 +410,7 @@ def fact_player_game(box: DataFrame, games: DataFrame, teams: DataFrame, players
 
 
 def fact_play_by_play(events: DataFrame, games: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
-    rows = _game_and_members(events, games, teams, players, ["game_sk", "date_key", "season_key"])
+    rows = _members(_in_game(events, games, ["game_date", "season_key"]), teams, players)
     return rows.select(
         surrogate_key("game_id", "action_number", "action_seq").alias("event_sk"),
         "game_sk", "game_id", "action_number", "action_seq", "period", "clock", "team_id", "team_sk", "player_id",
@@ -432,8 +444,7 @@ def classify_shots(events: DataFrame) -> DataFrame:
 
 
 def fact_shot(events: DataFrame, games: DataFrame, teams: DataFrame, players: DataFrame, zones: DataFrame) -> DataFrame:
-    take = ["game_sk", "game_date", "date_key", "season_key"]
-    rows = _game_and_members(classify_shots(events), games, teams, players, take)
+    rows = _members(_in_game(classify_shots(events), games, ["game_date", "season_key"]), teams, players)
     rows = star.lookup(rows, zones, [("shot_zone", "shot_zone")], [("shot_zone_key", "shot_zone_key")])
     return rows.select(
         surrogate_key("game_id", "action_number", "action_seq").alias("shot_sk"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rates import ratio
 from tidemark.functions.text import period_label
+from tidemark.operators.ordered import dealt_once
 from tidemark.plans import table_functions
 from tidemark.plans import warehouse as wh
 from tidemark.plans.inputs import CAREERS_SQL, SIDES_SQL, careers, key_sql, rounded, sides, table
@@ -104,11 +105,13 @@ def _raw_team_games(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    # numbers in place of the flag's text keep the aggregate hashed
+    # numbers in place of the flag's text keep the aggregate hashed; dealt by the game's text, the rows stay where they are
     rank = F.when(col("l_returnflag") == "R", 3).when(col("l_returnflag") == "N", 2).otherwise(1)
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey", "l_partkey").agg(
+    game = col("l_orderkey").cast("string")
+    lines = dealt_once(table(spark, sf_dir, "lineitem").withColumn("rank", rank), game)
+    lines = lines.groupBy(game.alias("game"), "l_suppkey", "l_partkey").agg(
         F.sum("l_quantity").cast("int").alias("q"),
-        F.max(rank).alias("rank"),
+        F.max("rank").alias("rank"),
         F.count(lit(1)).alias("n"),
         F.max("l_linenumber").alias("no"),
     )
@@ -122,7 +125,7 @@ def _raw_box(spark, sf_dir):
         "reboundsTotal", "assists", "steals", "blocks", "turnovers", "foulsPersonal", "plusMinusPoints",
     ]
     return _lines(spark, sf_dir).select(
-        col("l_orderkey").alias("gameId"),
+        col("game").alias("gameId"),
         col("l_suppkey").alias("teamId"),
         _tag("l_suppkey").alias("teamTricode"),
         col("l_partkey").alias("personId"),
@@ -145,7 +148,7 @@ def _raw_advanced(spark, sf_dir):
         "trueShootingPercentage", "usagePercentage", "pace",
     ]
     return _lines(spark, sf_dir).where("flag <> 'A'").select(
-        col("l_orderkey").alias("gameId"),
+        col("game").alias("gameId"),
         col("l_partkey").alias("personId"),
         (col("q") / 2).alias("offensiveRating"),
         col("q").cast("double").alias("possessions"),
