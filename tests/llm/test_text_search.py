@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -98,6 +99,51 @@ def test_strangers_in_one_cluster_cost_in_proportion(spark, monkeypatch):
         assert read[-1] <= (2 * beginning + 4) * len(some), read
 
 
+def test_chance_and_copies_cluster_nobody(spark, monkeypatch):
+    """Of strangers that share grams by chance, and of equal texts, no set is joined; near copies are."""
+    joined, seen, own, store = [], [], jaccard._joined, jaccard.written
+
+    def counted(sets, likeness):
+        joined.append(sets.count())
+        return own(sets, likeness)
+
+    def kept(df, name):
+        out = store(df, name)
+        if name == "shared":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_joined", counted)
+    monkeypatch.setattr(jaccard, "written", kept)
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(40)]
+    strangers = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(1600)]
+    got = jaccard.similar_groups(spark.createDataFrame(rows(strangers + [strangers[0] + " end"]), SCHEMA), 3, 80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {**{i: i for i in range(1600)}, 1600: 0}
+    assert 2 <= sum(joined) <= 100, joined
+    alone = [" ".join(f"t{rng.randrange(10**9)}" for _ in range(60)) for _ in range(30)]
+    got = jaccard.similar_groups(spark.createDataFrame(rows(alone * 3), SCHEMA), 3, 80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i % 30 for i in range(90)}
+    assert seen[-1] == 0, "grams that only equal texts have"
+
+
+def test_family_below_the_limit_is_joined_in_bulk():
+    """Thousands of versions, few linked: pairs are told apart by bits, not one by one."""
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets = []
+    for i in range(4000):
+        s = base.copy()
+        own = rng.choice(300, 45 + i % 40, replace=False)
+        s[own] = rng.integers(0, 1 << 63, len(own)).astype(np.uint64)
+        sets.append(np.unique(s))
+    sets += [s[1:] for s in sets[:50]]
+    began = time.monotonic()
+    found = jaccard.links(sets, jaccard.Likeness(80))
+    assert time.monotonic() - began < 40
+    assert {(max(p), min(p)) for p in found} == {(4000 + i, i) for i in range(50)}
+
+
 def test_links_equal_brute_force():
     for seed in range(30):
         rng = np.random.RandomState(seed)
